@@ -6,6 +6,7 @@ columns are ``n`` (its key), ``n_doc_count`` and the level's metrics.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -68,6 +69,9 @@ class Ranges:
 
 Bucket = Terms | DateHistogram | Ranges
 
+# Name of the level of a single bucket aggregation.
+_ONLY = "key"
+
 
 @dataclass(frozen=True)
 class Level:
@@ -79,7 +83,7 @@ class Level:
 
     @property
     def count(self) -> str:
-        return f"{self.name}_doc_count"
+        return "doc_count" if self.name == _ONLY else f"{self.name}_doc_count"
 
 
 @dataclass(frozen=True)
@@ -143,8 +147,7 @@ def range_buckets(df: DataFrame, field: str, ranges: Sequence[Mapping[str, Any]]
 
 def _single(df: DataFrame, bucket: Bucket, where: Column | None,
             sub: Mapping[str, Column] | None) -> DataFrame:
-    out = nest(df, [Level("key", bucket, sub or {})], where)
-    return out.withColumnRenamed("key_doc_count", "doc_count")
+    return nest(df, [Level(_ONLY, bucket, sub or {})], where)
 
 
 def aggregations(df: DataFrame, *, where: Column | None = None,
@@ -247,16 +250,16 @@ def _with_key(rows: DataFrame, slot: _Slot, df: DataFrame, parents: list[str]) -
     bucket, ref = slot.bucket, FieldScope(df).field(slot.bucket.field)
     spread = F.explode if slot.depth == 0 else F.explode_outer
     if isinstance(bucket, Ranges):
-        rows = rows.withColumn(slot.key, spread(F.array_compact(F.array(*[
-            F.when(test, F.lit(i)) for i, test in enumerate(_range_tests(ref, bucket))]))))
+        rows = rows.withColumn(slot.key, _range_key(ref, bucket, spread))
     elif ref.analyzer is not None:
         rows = rows.withColumn(slot.key, spread(F.array_distinct(
             ref.analyzer.tokens(ref.column))))
     else:
-        start = bucket.interval.start if isinstance(bucket, DateHistogram) else (lambda c: c)
         value = _present(ref, bucket)
-        rows = rows.withColumn(slot.key, spread(F.array_distinct(F.transform(value, start)))
-                               if ref.many else start(value))
+        if isinstance(bucket, DateHistogram):
+            start = bucket.interval.start
+            value = F.transform(value, start) if ref.many else start(value)
+        rows = rows.withColumn(slot.key, spread(F.array_distinct(value)) if ref.many else value)
     key = F.col(slot.key)
     listed = _listed_keys(key, bucket)
     if slot.depth == 0:
@@ -288,6 +291,24 @@ def _listed(key: Column, rule: str | Sequence[Any]) -> Column:
     return key.isin(list(rule))
 
 
+def _range_key(ref: FieldRef, bucket: Ranges, spread: Any) -> Column:
+    """Number of the range a row is in; overlapping ranges spread it over several."""
+    tests = _range_tests(ref, bucket)
+    if not ref.many and _disjoint(bucket.ranges):
+        return F.coalesce(*[F.when(test, F.lit(i)) for i, test in enumerate(tests)])
+    marks = F.array(*[F.when(test, F.lit(i)).otherwise(F.lit(-1)) for i, test in enumerate(tests)])
+    return spread(F.array_remove(marks, -1))
+
+
+def _disjoint(ranges: Sequence[Mapping[str, Any]]) -> bool:
+    try:
+        spans = sorted((float(r["from"]) if r.get("from") is not None else -math.inf,
+                        float(r["to"]) if r.get("to") is not None else math.inf) for r in ranges)
+    except (TypeError, ValueError):
+        return False  # bounds that are not plain numbers
+    return all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def _range_tests(ref: FieldRef, bucket: Ranges) -> list[Column]:
     def inside(r: Mapping[str, Any]) -> Any:
         def test(c: Column) -> Column:
@@ -369,24 +390,24 @@ def _fill_dates(grouped: DataFrame, slot: _Slot, parents: list[str]) -> DataFram
         return (grouped.withColumn("__place", first).where(alive | (F.col("__place") == 1))
                 .drop("__place")
                 .withColumns({slot.key: F.when(alive, key), **slot.blank_unless(alive)}))
-    rows = grouped.withColumns({"__next": F.lead(key).over(inside),
-                                "__place": F.row_number().over(inside)})
-    rows = rows.where(key.isNotNull() | (F.col("__place") == 1))
-    n, chunk = F.col("__n"), F.col("__chunk")
-    gaps = F.when(F.col("__next").isNull(), F.lit(1).cast("long")).otherwise(
-        bucket.interval.steps(key, F.col("__next")))
-    rows = (rows.withColumn("__gaps", gaps)
-            .withColumn("__chunk", F.explode(F.sequence(
-                F.lit(0).cast("long"), F.floor((F.col("__gaps") - 1) / _GAP_STEP))))
-            .withColumn("__n", F.explode(F.sequence(
-                chunk * _GAP_STEP,
-                F.least(chunk * _GAP_STEP + (_GAP_STEP - 1), F.col("__gaps") - 1)))))
+    n, chunk, last = F.col("__n"), F.col("__chunk"), F.col("__last")
+    # Buckets from this one up to the next, less one.
+    following = bucket.interval.steps(key, F.lead(key).over(inside)) - 1
+    columns = grouped.columns
+    rows = grouped.withColumns({
+        "__last": F.coalesce(following, F.lit(0)).cast("long"),
+        **({"__place": F.row_number().over(inside)} if parents else {})})
+    if parents:
+        rows = rows.where(key.isNotNull() | (F.col("__place") == 1))
+    rows = rows.withColumn("__chunk", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor(last / _GAP_STEP))))
+    rows = rows.withColumn("__n", F.explode(F.sequence(
+        chunk * _GAP_STEP, F.least(chunk * _GAP_STEP + (_GAP_STEP - 1), last))))
     own = n == 0
     count = F.when(key.isNotNull(), F.when(own, F.col(slot.count)).otherwise(F.lit(0)))
-    return rows.withColumns({
-        slot.key: F.when(own, key).otherwise(bucket.interval.nth(key, n)),
-        **slot.blank_unless(own), slot.count: count,
-    }).drop("__next", "__place", "__gaps", "__chunk", "__n")
+    changed = {slot.key: F.when(own, key).otherwise(bucket.interval.nth(key, n)),
+               **slot.blank_unless(own), slot.count: count}
+    return rows.select(*[changed[c].alias(c) if c in changed else c for c in columns])
 
 
 def _fill_ranges(grouped: DataFrame, slot: _Slot, parents: list[str]) -> DataFrame:
@@ -434,7 +455,7 @@ def _label(result: DataFrame, slots: Sequence[_Slot]) -> DataFrame:
                        .alias(level.name))
             for side in ("from", "to"):
                 ends = [F.lit(_bound(r, side)).cast("double") for r in bucket.ranges]
-                name = side if level.name == "key" else f"{level.name}_{side}"
+                name = side if level.name == _ONLY else f"{level.name}_{side}"
                 out.append(F.get(F.array(*ends), key).alias(name))
         else:
             out.append(key.alias(level.name))

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from docquarry.operators.mutate import apply_ops, delete_by_ids, upsert, with_ids
 from docquarry.operators.search import ID
-from docquarry.session import shared_folder
+from docquarry.session import checkpointed, shared_folder
 
 _BUCKET = "__bucket"
 _LOG = ("version long, parent long, at timestamp, action string, committed boolean, "
@@ -128,7 +128,7 @@ class SnapshotTable:
     def upsert(self, source: DataFrame, seq: str | None = None) -> int:
         if isinstance(source.schema[self.key].dataType, T.StringType):
             # A generated id has to be the same when the bucket is found and when it is written.
-            source = with_ids(source, self.key).checkpoint()
+            source = checkpointed(with_ids(source, self.key))
         with _kept(source) as rows:
             return self.rewrite(rows, lambda now: upsert(now, rows, self.key, seq), "upsert")
 
