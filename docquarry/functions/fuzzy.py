@@ -29,7 +29,7 @@ def max_edits(fuzziness: int | str, word: str) -> int:
 
 
 def edit_regex(word: str, edits: int, any_char: str, prefix_length: int = 0,
-               transpositions: bool = True) -> str:
+               transpositions: bool = True, min_length: int = 0) -> str:
     """Regex of the strings within ``edits`` of ``word`` that keep its prefix."""
     head, tail = word[:prefix_length], word[prefix_length:]
 
@@ -48,7 +48,7 @@ def edit_regex(word: str, edits: int, any_char: str, prefix_length: int = 0,
             options.append(quote(tail[i + 1] + tail[i]) + rest(i + 2, budget - 1))
         return f"(?:{'|'.join(options)})"
 
-    low, high = max(len(word) - edits, 0), len(word) + edits
+    low, high = max(len(word) - edits, min_length), len(word) + edits
     # The length is checked first, so most tokens fail before any alternative runs.
     bounded = f"(?={any_char}{{{low},{high}}}(?!{any_char}))"
     return bounded + quote(head) + rest(0, edits)

@@ -180,8 +180,9 @@ class Fields(FieldScope):
             if edits == 0:
                 exact.append(word)
             else:
+                # A token has at least one character.
                 bodies.append(edit_regex(word, edits, rule.any_char(), prefix_length,
-                                         transpositions))
+                                         transpositions, min_length=1))
         tests = []
         if exact:
             tests.append(ref.any_value(lambda c: rule.has_any(c, exact)))
