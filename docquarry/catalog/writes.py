@@ -59,13 +59,13 @@ def w1_upsert_last_wins(t: Tables):
 
 
 @query("""
-SELECT count(*) + (SELECT count(*) FROM nation) AS docs,
-  count(*) + (SELECT count(*) FROM nation) AS ids FROM customer""")
+SELECT count(*) + (SELECT count(*) FROM supplier) AS docs,
+  count(*) + (SELECT count(*) FROM supplier) AS ids FROM customer""")
 def w1_generated_ids(t: Tables):
     """Documents without an id get one each."""
     target = t.customer.select(F.concat(F.lit("c"), "c_custkey").alias("_id"), "c_name")
-    source = t.nation.select(F.lit(None).cast("string").alias("_id"),
-                             F.col("n_name").alias("c_name"))
+    source = t.supplier.select(F.lit(None).cast("string").alias("_id"),
+                               F.col("s_name").alias("c_name"))
     return metrics(mutate.upsert(target, source), {
         "docs": m.value_count("_id"), "ids": F.count_distinct("_id")})
 
@@ -179,6 +179,21 @@ def w6_unmatched(t: Tables):
     return mutate.unmatched(t.customer, _changes(t), key="c_custkey")
 
 
+@query("""
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+  CASE WHEN c_custkey % 3 = 0 THEN 'merged' ELSE c_mktsegment END AS c_mktsegment
+FROM customer WHERE c_custkey % 5 <> 0""")
+def w4_w5_w6_stored(t: Tables):
+    """Update, delete and merge on a stored collection, one snapshot each."""
+    stored = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    table = SnapshotTable.create(stored, key="c_custkey", buckets=4)
+    table.update_where(F.col("c_custkey") % 2 == 0, {"c_acctbal": F.col("c_acctbal") + 1})
+    table.delete_where(F.col("c_custkey") % 5 == 0)
+    table.merge(t.customer.where(F.col("c_custkey") % 3 == 0).select(
+        "c_custkey", F.lit("merged").alias("c_mktsegment")))
+    return table.read()
+
+
 @query("""
 SELECT event_id, ts, user_id, event_type, value FROM (SELECT *, row_number() OVER
   (PARTITION BY user_id ORDER BY event_id DESC) AS place FROM events)

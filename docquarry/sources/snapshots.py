@@ -6,7 +6,8 @@ row.  Readers resolve the log when they start and are never disturbed; a failed
 write leaves a folder that no log row names.
 
 Rows are laid out in buckets by a hash of the key.  A change rewrites only the
-buckets it touches and the log row carries the other buckets over.
+buckets it touches and the log row carries the other buckets over.  Choose the
+number of buckets so that one holds a few gigabytes.
 
 The log has one writer at a time, as a streaming query or a scheduled job is.
 """
@@ -14,7 +15,7 @@ The log has one writer at a time, as a streaming query or a scheduled job is.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
@@ -26,8 +27,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docquarry.operators.mutate import apply_ops, delete_by_ids, upsert, with_ids
-from docquarry.operators.search import ID
+from docquarry.operators.mutate import (
+    apply_ops, delete_by_ids, delete_by_query, merge_fields, update_by_query, upsert, with_ids)
+from docquarry.operators.search import ID, get_by_ids
 from docquarry.session import checkpointed, shared_folder
 
 _BUCKET = "__bucket"
@@ -84,6 +86,16 @@ class SnapshotTable:
     def read(self, version: int | None = None) -> DataFrame:
         return self._read(self._expect(version))
 
+    def get(self, ids: Iterable[Any]) -> DataFrame:
+        """The documents with these ids, reading only the buckets they can be in."""
+        ids = list(ids)
+        current = self._expect()
+        keys = self.spark.createDataFrame(
+            [(i,) for i in ids], T.StructType([current.schema[self.key]]))
+        asked = self._buckets_of(keys)
+        folders = tuple(f for f in current.folders if _bucket_of(f) in asked)
+        return get_by_ids(self._read(current, folders), ids, self.key)
+
     def _expect(self, version: int | None = None) -> Commit:
         commit = self.commit(version)
         if commit is None:
@@ -118,7 +130,7 @@ class SnapshotTable:
                 action: str = "write", **log: Any) -> int:
         """Apply ``change`` to the buckets that hold ``keys`` and commit the result."""
         current = self._expect()
-        touched = {r[0] for r in keys.select(self._bucket()).distinct().collect()}
+        touched = self._buckets_of(keys)
         hit = tuple(f for f in current.folders if _bucket_of(f) in touched)
         kept = tuple(f for f in current.folders if _bucket_of(f) not in touched)
         changed = change(self._read(current, hit))
@@ -140,6 +152,19 @@ class SnapshotTable:
         with _kept(ops) as rows:
             return self.rewrite(rows, lambda now: apply_ops(now, rows, self.key, seq, op), "apply")
 
+    def update_where(self, where: Column, updates: Mapping[str, Any]) -> int:
+        """Set fields on the documents that match; other buckets stay as they are."""
+        return self.rewrite(self.read().where(where),
+                            lambda now: update_by_query(now, where, updates), "update")
+
+    def delete_where(self, where: Column) -> int:
+        return self.rewrite(self.read().where(where),
+                            lambda now: delete_by_query(now, where), "delete")
+
+    def merge(self, patch: DataFrame, seq: str | None = None) -> int:
+        with _kept(patch) as rows:
+            return self.rewrite(rows, lambda now: merge_fields(now, rows, self.key, seq), "merge")
+
     def record(self, action: str, *, schema: T.StructType, folders: tuple[str, ...],
                committed: bool = True, token: str | None = None,
                detail: dict[str, Any] | None = None) -> int:
@@ -159,6 +184,10 @@ class SnapshotTable:
         """Whether a committed row already carries this token."""
         return bool(self.log().where(F.col("committed") & (F.col("token") == token)).take(1))
 
+    def _buckets_of(self, keys: DataFrame) -> set[int]:
+        """Buckets the keys fall into: at most ``buckets`` numbers."""
+        return {r[0] for r in keys.select(self._bucket()).distinct().collect()}
+
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int").alias(_BUCKET)
 

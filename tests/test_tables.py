@@ -57,6 +57,19 @@ def test_mixed_batch(people, spark):
     assert rows(people.read()) == [("1", "a", 1), ("3", "c", 3), ("5", "y", 5)]
 
 
+def test_lookup_reads_one_bucket(people):
+    one = people.get(["2"])
+    assert rows(one) == [("2", "b", 2)] and len(one.inputFiles()) == 1
+    assert people.get(["9"]).count() == 0
+
+
+def test_stored_updates(people, spark):
+    people.update_where(F.col("age") >= 2, {"name": F.upper("name")})
+    people.delete_where(F.col("age") == 1)
+    people.merge(spark.createDataFrame([("3", None, 30)], "_id string, name string, age int"))
+    assert rows(people.read()) == [("2", "B", 2), ("3", "C", 30)]
+
+
 def test_a_collection_can_become_empty(people, spark):
     people.delete(people.read().select("_id"))
     assert people.read().count() == 0 and people.read().columns == ["_id", "name", "age"]
