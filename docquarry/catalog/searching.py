@@ -156,6 +156,17 @@ def t3_rank_match(t: Tables):
     return hits.select("doc_id", F.round("_score", 6).alias("score"))
 
 
+@query(_bm25({"a": "the", "b": "und"}, f"{_part('a')} + {_part('b')}", "tf_a > 0 OR tf_b > 0")
+       + "SELECT doc_id, round(score, 6) AS score FROM sc ORDER BY score DESC, doc_id LIMIT 20")
+def t3_rank_stored_tokens(t: Tables):
+    """Texts split once, as a stored column would be; the query is analysed as usual."""
+    docs = t.documents.select("doc_id", STANDARD.tokens(F.col("text")).alias("words"))
+    q = Fields(docs, text={"words": "keyword"})
+    hits = ranking.rank(docs, must=[ranking.scored_match(q, "words", "The und", analyzer="standard")],
+                        key="doc_id", size=20)
+    return hits.select("doc_id", F.round("_score", 6).alias("score"))
+
+
 @query(_bm25({"a": "of", "b": "und"},
              f"2.0 * ({_part('a')}) + CASE WHEN tf_b > 0 THEN {_part('b')} ELSE 0 END "
              "+ CASE WHEN doc_id % 2 = 0 THEN 0.5 ELSE 0 END", "tf_a > 0")

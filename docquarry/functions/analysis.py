@@ -86,6 +86,11 @@ class Analyzer:
         """Whether ``word`` can occur as a token of this analyzer."""
         return self.split(word) == [word]
 
+    @property
+    def plain(self) -> bool:
+        """A value is its own single token: stored tokens are used as they are."""
+        return self.whole and not self.lowercase and not self.stop_words
+
     # -- driver side -----------------------------------------------------
     def split(self, text: str) -> list[str]:
         """Tokens of a query string."""

@@ -129,7 +129,7 @@ class Fields(FieldScope):
 
         def test(group: list[str]) -> Column:
             if fuzziness is None:
-                return ref.any_value(lambda c: ref.analyzer.has_any(c, group))
+                return _any_word(ref, group)
             return self._fuzzy_words(ref, group, fuzziness, prefix_length, fuzzy_transpositions)
 
         if need == 1:
@@ -200,8 +200,7 @@ class Fields(FieldScope):
     def term(self, field: str, value: Any, *, case_insensitive: bool = False) -> Column:
         ref = self.field(field)
         if ref.analyzer is not None:
-            word = str(value).lower() if case_insensitive else str(value)
-            return ref.any_value(lambda c: ref.analyzer.has_any(c, [word]))
+            return _any_word(ref, [str(value).lower() if case_insensitive else str(value)])
         if case_insensitive:
             if not isinstance(ref.dtype, T.StringType):
                 raise TypeError(f"{field!r} is not a string field")
@@ -217,7 +216,7 @@ class Fields(FieldScope):
         if not values:
             return F.lit(_NOTHING)
         if ref.analyzer is not None:
-            return ref.any_value(lambda c: ref.analyzer.has_any(c, map(str, values)))
+            return _any_word(ref, [str(v) for v in values])
         wanted = [literal(v, ref.dtype) for v in values]
         if ref.many:
             return F.arrays_overlap(ref.column, F.array(*wanted).cast(T.ArrayType(ref.dtype)))
@@ -396,6 +395,12 @@ class Fields(FieldScope):
         return ref.any_value(lambda e: inner(self.element(ref.path, ref.dtype, e)))
 
 
+def _any_word(ref: FieldRef, words: list[str]) -> Column:
+    if ref.many and ref.analyzer.plain:
+        return F.arrays_overlap(ref.column, F.array(*map(F.lit, words)))
+    return ref.any_value(lambda c: ref.analyzer.has_any(c, words))
+
+
 def _is_range(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.StructType) and {"gte", "lte"} <= set(dtype.fieldNames())
 

@@ -190,16 +190,16 @@ def bulk_report(target: DataFrame, ops: DataFrame, key: str = ID, seq: str = "se
     rows = rows.withColumn("__piece", F.size(F.filter("__cuts", lambda c: c < F.col(seq))))
     rows = rows.drop("__cuts")
     in_order = Window.partitionBy(key, "__piece").orderBy(seq)
-    rows = rows.withColumn("__before", F.lag(op).over(in_order))
+    # Per key and piece: how the piece before ended, or else whether the target holds the key.
+    # This frame is small and joins on the partitioning the rows already have.
     ends = rows.groupBy(key, "__piece").agg(F.max(F.struct(seq, op)).getField(op).alias("__end"))
     across = Window.partitionBy(key).orderBy("__piece")
     ends = ends.select(key, "__piece", F.lag("__end").over(across).alias("__earlier"))
-    rows = rows.join(ends, [key, "__piece"])
-    # The first operation on a key depends on what the target holds.
-    held = target.select(F.col(key).alias("__held"))
-    first = ends.where(F.col("__earlier").isNull()).select(key)
-    held = held.join(first, F.col("__held") == F.col(key), "left_semi")
-    rows = rows.join(held, F.col(key) == F.col("__held"), "left")
+    held = target.select(F.col(key).alias("__held")).join(
+        ends.where(F.col("__earlier").isNull()).select(key), F.col("__held") == F.col(key),
+        "left_semi")
+    ends = ends.join(held, F.col(key) == F.col("__held"), "left")
+    rows = rows.withColumn("__before", F.lag(op).over(in_order)).join(ends, [key, "__piece"])
     before = F.coalesce(F.col("__before"), F.col("__earlier"))
     found = F.when(before.isNotNull(), before == INDEX).otherwise(F.col("__held").isNotNull())
     result = F.when(F.col(op) == INDEX, F.when(found, "updated").otherwise("created")).otherwise(

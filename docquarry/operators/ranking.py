@@ -117,6 +117,8 @@ def _texts(clauses: list[Scored]) -> dict[str, tuple[FieldRef, list[str]]]:
 
 
 def _tokens(ref: FieldRef) -> Column:
+    if ref.many and ref.analyzer.plain:
+        return ref.column
     if ref.many:
         return F.flatten(F.transform(ref.column, ref.analyzer.tokens))
     return ref.analyzer.tokens(ref.column)

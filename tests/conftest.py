@@ -15,6 +15,7 @@ from docquarry.sources.schema import Field, struct_type  # noqa: E402
 def spark(tmp_path_factory):
     builder = (SparkSession.builder.master("local[4]").appName("docquarry-tests")
                .config("spark.ui.enabled", "false")
+               .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .config("spark.sql.shuffle.partitions", "4")
                .config("spark.sql.maxMetadataStringLength", "5000")
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints"))))

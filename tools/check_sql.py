@@ -47,6 +47,7 @@ def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
     spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
              .getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
