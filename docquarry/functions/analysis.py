@@ -10,7 +10,7 @@ materialising a token array.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -159,6 +159,16 @@ class Normalizer:
             col = F.translate(col, *self.translate)
         return col
 
+    def query(self, value: str) -> str:
+        """The same for a value that is searched for."""
+        value = value.strip(" ") if self.trim else value
+        value = value.lower() if self.lowercase else value
+        if self.translate:
+            old, new = self.translate
+            value = value.translate({ord(c): new[i] if i < len(new) else None
+                                     for i, c in enumerate(old)})
+        return value
+
 
 NORMALIZERS: dict[str, Normalizer] = {
     "lowercase": Normalizer(),
@@ -167,9 +177,13 @@ NORMALIZERS: dict[str, Normalizer] = {
 }
 
 
-def normalizer(spec: str | Normalizer) -> Normalizer:
+def normalizer(spec: str | Mapping | Normalizer) -> Normalizer:
+    """Look up a normalizer by name, or read it from stored field options."""
     if isinstance(spec, Normalizer):
         return spec
+    if isinstance(spec, Mapping):
+        pair = spec.get("translate")
+        return Normalizer(**{**spec, "translate": tuple(pair) if pair else None})
     try:
         return NORMALIZERS[spec]
     except KeyError:

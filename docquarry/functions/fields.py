@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docquarry.functions.analysis import Analyzer, analyzer
+from docquarry.functions.analysis import Analyzer, Normalizer, analyzer, normalizer
 
 # Key of the field options inside StructField.metadata (see sources.schema).
 OPTIONS = "field"
@@ -25,6 +26,20 @@ class FieldRef:
     many: bool
     analyzer: Analyzer | None = None
     search_analyzer: Analyzer | None = None
+    normalizer: Normalizer | None = None
+    boost: float = 1.0
+
+    def query(self, value: Any) -> Any:
+        """A searched value in the form the field stores it."""
+        return self.normalizer.query(value) if self.normalizer and isinstance(value, str) else value
+
+    def tokens(self) -> Column:
+        """All tokens of the field, over every value it holds."""
+        if self.many and self.analyzer.plain:
+            return self.column
+        if self.many:
+            return F.flatten(F.transform(self.column, self.analyzer.tokens))
+        return self.analyzer.tokens(self.column)
 
     def any_value(self, test: Callable[[Column], Column]) -> Column:
         """The test holds for the value, or for one element of an array."""
@@ -80,10 +95,12 @@ class FieldScope:
         if path in self._text:
             name = self._text[path]
         elif meta.get("type") not in ("text", "search_as_you_type"):
-            return FieldRef(path, column, dtype, many)
+            clean = meta.get("normalizer")
+            return FieldRef(path, column, dtype, many, boost=meta.get("boost", 1.0),
+                            normalizer=normalizer(clean) if clean else None)
         index = analyzer(name)
         search = analyzer(meta["search_analyzer"]) if meta.get("search_analyzer") else index
-        return FieldRef(path, column, dtype, many, index, search)
+        return FieldRef(path, column, dtype, many, index, search, boost=meta.get("boost", 1.0))
 
     def _sub_field(self, path: str, rest: list[str], column: Column | None,
                    dtype: T.DataType, many: bool, meta: Mapping) -> FieldRef:

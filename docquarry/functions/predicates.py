@@ -141,7 +141,7 @@ class Fields(FieldScope):
         if fuzziness is not None and isinstance(ref.dtype, T.StringType):
             return self._fuzzy_value(ref, str(value), fuzziness, prefix_length, transpositions)
         try:
-            wanted = literal(value, ref.dtype)
+            wanted = literal(ref.query(value), ref.dtype)
         except Unparsable:
             if lenient:
                 return F.lit(_NOTHING)
@@ -159,6 +159,7 @@ class Fields(FieldScope):
 
     def _fuzzy_value(self, ref: FieldRef, value: str, fuzziness: int | str,
                      prefix_length: int, transpositions: bool) -> Column:
+        value = ref.query(value)
         edits = max_edits(fuzziness, value)
         if edits == 0:
             return ref.any_value(lambda c: c == F.lit(value))
@@ -205,7 +206,7 @@ class Fields(FieldScope):
             if not isinstance(ref.dtype, T.StringType):
                 raise TypeError(f"{field!r} is not a string field")
             return ref.any_value(lambda c: F.lower(c) == F.lit(str(value).lower()))
-        wanted = literal(value, ref.dtype)
+        wanted = literal(ref.query(value), ref.dtype)
         if ref.many:
             return F.array_contains(ref.column, wanted)
         return ref.column == wanted
@@ -217,7 +218,7 @@ class Fields(FieldScope):
             return F.lit(_NOTHING)
         if ref.analyzer is not None:
             return _any_word(ref, [str(v) for v in values])
-        wanted = [literal(v, ref.dtype) for v in values]
+        wanted = [literal(ref.query(v), ref.dtype) for v in values]
         if ref.many:
             return F.arrays_overlap(ref.column, F.array(*wanted).cast(T.ArrayType(ref.dtype)))
         return ref.column.isin(wanted)
@@ -299,6 +300,7 @@ class Fields(FieldScope):
                 return F.lit(_NOTHING)
             body = f"{quote(value)}{ref.analyzer.any_char()}*"
             return self._token_pattern(ref, body, value)
+        value = ref.query(value)
         if case_insensitive:
             return ref.any_value(lambda c: F.lower(c).startswith(value.lower()))
         return ref.any_value(lambda c: c.startswith(value))
@@ -319,7 +321,7 @@ class Fields(FieldScope):
                 else:
                     body += any_char + ("*" if kind == "run" else "")
             return self._token_pattern(ref, body)
-        like = "".join({"run": "%", "one": "_"}.get(kind) or _like_escape(text)
+        like = "".join({"run": "%", "one": "_"}.get(kind) or _like_escape(ref.query(text))
                        for kind, text in parts)
         if case_insensitive:
             return ref.any_value(lambda c: c.ilike(like))

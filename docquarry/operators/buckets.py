@@ -26,7 +26,10 @@ BROADCAST_BUCKETS = 10_000
 
 @dataclass(frozen=True)
 class Terms:
-    """Buckets by value; ``order`` maps ``_count``, ``_key`` or a metric to asc/desc."""
+    """Buckets by value.
+
+    ``order`` maps ``_count``, ``_key``, a metric or its member (``price.avg``) to asc/desc.
+    """
 
     field: str
     size: int = 10
@@ -252,8 +255,7 @@ def _with_key(rows: DataFrame, slot: _Slot, df: DataFrame, parents: list[str]) -
     if isinstance(bucket, Ranges):
         rows = rows.withColumn(slot.key, _range_key(ref, bucket, spread))
     elif ref.analyzer is not None:
-        rows = rows.withColumn(slot.key, spread(F.array_distinct(
-            ref.analyzer.tokens(ref.column))))
+        rows = rows.withColumn(slot.key, spread(F.array_distinct(ref.tokens())))
     else:
         value = _present(ref, bucket)
         if isinstance(bucket, DateHistogram):
@@ -366,7 +368,9 @@ def _terms_order(slot: _Slot) -> list[Column]:
     columns = {"_count": slot.count, "_key": slot.key, **slot.measures}
     out = []
     for name, way in spec.items():
-        col = F.col(columns[name])
+        head, _, member = name.partition(".")
+        col = F.col(columns[head])
+        col = col.getField(member) if member else col
         out.append(col.desc_nulls_last() if way == "desc" else col.asc_nulls_last())
     return out if "_key" in spec else [*out, F.col(slot.key).asc_nulls_last()]
 

@@ -138,14 +138,19 @@ def merge_fields(target: DataFrame, patch: DataFrame, key: str = ID,
     """Merge the non-null fields of ``patch`` into existing rows.
 
     Objects merge member by member.  With ``seq`` several patches of one key are
-    applied in order; ids absent from the target are given by :func:`unmatched`.
+    applied in order, without it the greatest value of each field counts; either
+    way a row of the target stays one row.  Ids absent from the target are given
+    by :func:`unmatched`.
     """
     fields = [c for c in patch.columns if c not in (key, seq)]
-    if seq is not None:
-        # The last non-null value per field, combined inside the map tasks.
-        patch = patch.groupBy(key).agg(*[
-            F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(seq), F.col(c).alias("value"))))
-            .getField("value").alias(c) for c in fields])
+
+    def last(c: str) -> Column:
+        order = [F.col(seq)] if seq is not None else []
+        given = F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("value")))
+        return F.max(given).getField("value").alias(c)
+
+    # Combined inside the map tasks; the join reuses the partitioning by key.
+    patch = patch.groupBy(key).agg(*map(last, fields))
     patch = patch.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__new_{c}") for c in fields])
     joined = target.join(patch, F.col(key) == F.col("__key"), "left")
     return joined.select(*[

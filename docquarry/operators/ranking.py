@@ -50,6 +50,7 @@ def scored_match(fields: Fields, field: str, value: Any, boost: float = 1.0,
     """A ``match`` clause that scores by BM25 on a text field."""
     where = fields.match(field, value, **options)
     ref = fields.field(field)
+    boost *= ref.boost
     if ref.analyzer is None or options.get("fuzziness") is not None:
         return Scored(where, boost)
     searcher = analyzer(options["analyzer"]) if options.get("analyzer") else ref.search_analyzer
@@ -91,7 +92,7 @@ def score_all(df: DataFrame, must: Iterable[Scored] = (), should: Iterable[Score
                           {w: stats.getField(f"df{i}_{j}") for j, w in enumerate(words)})
               for i, (path, (_, words)) in enumerate(texts.items())}
     # A column of its own, so that a text is split once and not once per use.
-    split = {f"__tokens{i}": _tokens(ref) for i, (ref, _) in enumerate(texts.values())}
+    split = {f"__tokens{i}": ref.tokens() for i, (ref, _) in enumerate(texts.values())}
     return hits.withColumns(split).withColumn("_score", _total(scoring, lookup)).drop(*split)
 
 
@@ -116,19 +117,11 @@ def _texts(clauses: list[Scored]) -> dict[str, tuple[FieldRef, list[str]]]:
     return texts
 
 
-def _tokens(ref: FieldRef) -> Column:
-    if ref.many and ref.analyzer.plain:
-        return ref.column
-    if ref.many:
-        return F.flatten(F.transform(ref.column, ref.analyzer.tokens))
-    return ref.analyzer.tokens(ref.column)
-
-
 def _statistics(df: DataFrame, texts: dict[str, tuple[FieldRef, list[str]]]) -> DataFrame:
     split, measures = [], []
     for i, (ref, words) in enumerate(texts.values()):
         tokens = F.col(f"__tokens{i}")
-        split.append(_tokens(ref).alias(f"__tokens{i}"))
+        split.append(ref.tokens().alias(f"__tokens{i}"))
         measures += [F.count(tokens).alias(f"n{i}"), F.avg(F.size(tokens)).alias(f"len{i}")]
         measures += [F.count_if(F.array_contains(tokens, w)).alias(f"df{i}_{j}")
                      for j, w in enumerate(words)]

@@ -8,7 +8,7 @@ knows which of its columns are analysed text.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field as dc_field
+from dataclasses import asdict, dataclass, field as dc_field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,6 +80,7 @@ class Field:
     analyzer: str | None = None
     search_analyzer: str | None = None
     normalizer: str | Normalizer | None = None
+    boost: float | None = None
     null_value: Any = None
     coerce: bool = True
     ignore_malformed: bool = False
@@ -100,9 +101,11 @@ class Field:
     def options(self) -> dict[str, Any]:
         """The part of the options kept as column metadata."""
         out: dict[str, Any] = {"type": self.type}
-        for name in ("analyzer", "search_analyzer", "scaling_factor", "path"):
+        for name in ("analyzer", "search_analyzer", "boost", "scaling_factor", "path"):
             if getattr(self, name) is not None:
                 out[name] = getattr(self, name)
+        if self.normalizer is not None:
+            out["normalizer"] = asdict(normalizer(self.normalizer))
         if self.fields:
             out["fields"] = {n: f.options() for n, f in self.fields.items()}
         return out
@@ -228,6 +231,10 @@ def convert(col: Column, f: Field, raw: T.DataType) -> Column:
 def _constant(value: Any, f: Field) -> Column:
     if callable(value) and not isinstance(value, Column):
         value = value()
+    if isinstance(value, Mapping):
+        value = F.struct(*[F.lit(v).alias(n) for n, v in value.items()])
+    elif f.type in ("geo_point", "xy_point") and isinstance(value, str):
+        value = _point(F.lit(value), f, T.StringType())
     col = value if isinstance(value, Column) else F.lit(value)
     return col if isinstance(f.data_type, T.ArrayType) else col.cast(
         T.ArrayType(f.data_type) if f.many else f.data_type)
@@ -269,6 +276,13 @@ def _convert(col: Column, f: Field, raw: T.DataType) -> Column:
             _convert(col.getField(s), inner, raw[s].dataType).alias(s) for s in ("gte", "lte")]))
     if f.type in ("geo_point", "xy_point"):
         return _point(col, f, raw)
+    if f.type == "completion" and not isinstance(raw, T.StructType):
+        inputs = col if isinstance(raw, T.ArrayType) else F.array(col.cast("string"))
+        return F.when(col.isNotNull(), F.struct(
+            inputs.alias("input"), F.lit(None).cast("int").alias("weight")))
+    if f.type == "join" and isinstance(raw, T.StringType):
+        return F.when(col.isNotNull(), F.struct(
+            col.alias("name"), F.lit(None).cast("string").alias("parent")))
     if f.type in ("text", "keyword", "search_as_you_type"):
         return _string(col.cast("string"), f)
     if f.type == "binary":

@@ -64,6 +64,8 @@ def test_terms_options(spark):
     assert rows(terms(df, "k", exclude=["a"]), "key") == [("c",), ("b",)]
     by_metric = terms(df, "k", order={"top": "desc"}, sub={"top": m.max("v")})
     assert rows(by_metric, "key", "top") == [("b", 9), ("a", 2), ("c", 1)]
+    by_member = terms(df, "k", order={"v.min": "desc"}, sub={"v": m.multi(min=m.min("v"))})
+    assert rows(by_member, "key") == [("b",), ("a",), ("c",)]
     empty = terms(df, "k", where=F.col("v") == 9, min_doc_count=0)
     assert rows(empty, "key", "doc_count") == [("b", 1), ("a", 0), ("c", 0)]
 

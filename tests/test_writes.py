@@ -138,6 +138,7 @@ def test_merge_fields(users, spark):
     assert got["1"].address.asDict() == {"street": "New St", "city": "New York", "country": "USA"}
     assert got["2"].age == 30 and len(got) == 3
     assert ids(mu.unmatched(users, patch)) == ["9"]
+    assert mu.merge_fields(users, patch.drop("seq")).count() == 3
 
 
 # -- constraints ------------------------------------------------------------------
@@ -276,6 +277,36 @@ def test_multi_fields_and_subfields(spark):
     assert got.where(q.term("t.words", "hello")).count() == 0
 
 
+def test_normalizers_apply_to_queries_too(spark):
+    raw = spark.createDataFrame([("1", " New York "), ("2", "Rome")], "_id string, city string")
+    from docquarry.functions.analysis import Normalizer
+    for rule in ("lowercase_trim", Normalizer(trim=True, translate=("o", "0"))):
+        got = typed_load(raw, {"city": Field("keyword", normalizer=rule)})
+        q = Fields(got)
+        for p in (q.term("city", "NEW YORK "), q.match("city", "New York"), q.terms("city", ["NEW YORK"]),
+                  q.prefix("city", "NEW"), q.wildcard("city", "N?W*"), q.fuzzy("city", "NEW YORC")):
+            assert ids(got.where(p)) == ["1"]
+
+
+def test_field_boost_scales_scores(spark):
+    from docquarry.operators import ranking as r
+    raw = spark.createDataFrame([("1", "red fox"), ("2", "blue")], "_id string, t string")
+    plain, boosted = (typed_load(raw, {"t": Field("text", boost=b)}) for b in (None, 3.0))
+    score = lambda df: r.rank(df, must=[r.scored_match(Fields(df), "t", "red")]).first()._score
+    assert score(boosted) == pytest.approx(3 * score(plain))
+
+
+def test_composite_types_load_from_simple_values(spark):
+    raw = spark.createDataFrame([("1", "abc", "question", None, "1,2"), ("2", None, None, None, None)],
+                                "_id string, c string, j string, g string, x string")
+    got = typed_load(raw, {"c": Field("completion"), "j": Field("join"),
+                           "g": Field("geo_point", null_value="10,20"),
+                           "x": Field("xy_point", null_value={"x": 0, "y": 9})}).orderBy("_id").collect()
+    assert got[0].c.input == ["abc"] and got[0].j.name == "question"
+    assert got[0].g.asDict() == {"lat": 10, "lon": 20} and got[0].x.asDict() == {"x": 1, "y": 2}
+    assert got[1].c is None and got[1].x.asDict() == {"x": 0, "y": 9}
+
+
 def test_a_single_object_loads_as_nested(spark):
     raw = spark.createDataFrame([("1", ("x",)), ("2", None)], "_id string, a struct<k:string>")
     got = typed_load(raw, {"a": Field("nested", properties={"k": Field("keyword")})}).orderBy("_id").collect()
