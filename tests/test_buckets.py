@@ -216,6 +216,14 @@ def test_each_level_reads_the_table_once(spark):
     assert "ReadSchema: struct<o_orderstatus:string,o_totalprice:double>" in plan
 
 
+def test_inner_top_k_is_cut_before_the_shuffle(spark):
+    """A status that holds most users sends only its best candidates per task."""
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    plan = plan_of(nest(orders, [Level("status", Terms("o_orderstatus", size=2)),
+                                 Level("user", Terms("o_custkey", size=3))]))
+    assert "row_number(), 3, Partial" in plan
+
+
 def test_siblings_share_a_pass(spark, people):
     got = aggregations(people, where=Fields(people).range("age", gte=30),
                        measures={"a": m.avg("age"), "b": m.max("age")},
