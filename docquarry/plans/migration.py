@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquarry.functions.fields import OPTIONS
-from docquarry.sources.schema import Schema, convert, mapping_rows, struct_type, type_name, typed_load
+from docquarry.functions.predicates import any_of, holds
+from docquarry.sources.schema import (
+    Field, Schema, convert, mapping_rows, struct_type, type_name, typed_load)
 from docquarry.sources.snapshots import SnapshotTable
 
 ADDED, MODIFIED, DELETED = "added", "modified", "deleted"
@@ -61,7 +63,7 @@ def plan_changes(old: T.StructType, new: T.StructType) -> Plan:
     """Difference of two schemas, field by field.
 
     A field counts as modified when its type, its multi-fields or its
-    sub-properties differ.
+    sub-properties differ, or when the same type is stored differently.
     """
     before = {f.name: f for f in old.fields}
     after = {f.name: f for f in new.fields}
@@ -80,7 +82,8 @@ def _shape(f: T.StructField) -> tuple:
     inner = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else f.dataType
     subs = tuple((p, t) for p, t, _ in mapping_rows(inner)) if isinstance(
         inner, T.StructType) else ()
-    return type_name(f), f.metadata.get(OPTIONS, {}).get("fields"), subs
+    return (type_name(f), f.metadata.get(OPTIONS, {}).get("fields"), subs,
+            f.dataType.simpleString())
 
 
 def target_schema(table_schema: T.StructType, schema: Schema, key: str) -> T.StructType:
@@ -154,13 +157,18 @@ def migrate(table: SnapshotTable, schema: Schema, *, backup: bool = False,
 def _rewritten(table: SnapshotTable, current: DataFrame, schema: Schema, plan: Plan,
                losses: Observation) -> DataFrame:
     """Rows in the new schema; values lost on the way are counted as they are written."""
-    lenient = {n: replace(f, ignore_malformed=True) for n, f in schema.items()}
+    lenient = {n: _lenient(f) for n, f in schema.items()}
     counts = [F.count_if(test).alias(n)
               for n, test in _unconvertible(current, schema, plan).items()]
     watched = current.observe(losses, F.count(F.lit(1)).alias("rows"), *counts)
     return typed_load(watched, lenient, table.key)
 
 
+def _lenient(f: Field) -> Field:
+    return replace(f, ignore_malformed=True,
+                   properties={n: _lenient(p) for n, p in f.properties.items()})
+
+
 def _check(losses: Observation) -> None:
     lost = {n: c for n, c in losses.get.items() if n != "rows" and c}
     if lost:
@@ -168,14 +176,21 @@ def _check(losses: Observation) -> None:
 
 
 def _unconvertible(current: DataFrame, schema: Schema, plan: Plan) -> dict[str, Column]:
-    """Per modified field: the stored value is there and its conversion is not."""
-    modified = [n for n in plan.named(MODIFIED) if n in schema]
-    if not modified:
-        return {}
-    lenient = {n: replace(schema[n], ignore_malformed=True, default=None, null_value=None)
-               for n in modified}
-    return {n: F.col(n).isNotNull() & convert(F.col(n), f, current.schema[n].dataType).isNull()
-            for n, f in lenient.items()}
+    """Per modified field: a stored value is there and its conversion is not."""
+    return {n: holds(_lost(F.col(n), schema[n], current.schema[n].dataType))
+            for n in plan.named(MODIFIED) if n in schema}
+
+
+def _lost(col: Column, f: Field, raw: T.DataType) -> Column:
+    if isinstance(raw, T.ArrayType) and (f.many or f.type == "nested"):
+        one = replace(f, many=False, type="object" if f.type == "nested" else f.type)
+        return F.exists(col, lambda e: holds(_lost(e, one, raw.elementType)))
+    if f.type in ("object", "nested") and isinstance(raw, T.StructType):
+        parts = [holds(_lost(col.getField(n), p, raw[n].dataType))
+                 for n, p in f.properties.items() if n in raw.fieldNames()]
+        return any_of(parts) if parts else F.lit(False)
+    lenient = replace(f, ignore_malformed=True, default=None, null_value=None)
+    return col.isNotNull() & convert(col, lenient, raw).isNull()
 
 
 def rollback(table: SnapshotTable, migration_id: str) -> int:

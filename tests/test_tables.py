@@ -156,6 +156,28 @@ def test_a_failed_migration_changes_nothing(people):
     assert lenient.migration_id == "m2" and [r.name for r in people.read().collect()] == [None] * 3
 
 
+def test_losses_inside_objects_and_arrays_are_seen(spark, tmp_path):
+    rows_ = [("1", ("5",), [("7",)], ["1", "2"]), ("2", ("x",), [("7",), ("y",)], ["1", "z"]), ("3", None, None, None)]
+    table = SnapshotTable.create(spark.createDataFrame(
+        rows_, "_id string, o struct<a:string>, l array<struct<b:string>>, t array<string>"), str(tmp_path / "t"))
+    number = Field("integer")
+    new = {"o": Field("object", properties={"a": number}), "l": Field("nested", properties={"b": number}),
+           "t": Field("integer", many=True)}
+    assert {(r.field, r.unconvertible) for r in g.dry_run(table, new).collect()} == {("o", 1), ("l", 1), ("t", 1)}
+    with pytest.raises(g.MigrationError):
+        g.migrate(table, new)
+    g.migrate(table, new, malformed="null")
+    got = {r._id: r for r in table.read().collect()}
+    assert got["1"].o.a == 5 and got["2"].o.a is None and got["2"].t == [1, None]
+    assert [e.b for e in got["2"].l] == [7, None] and got["3"].l is None
+
+
+def test_a_scalar_can_become_many(people):
+    assert plan(people, {**BASE, "name": Field("keyword", many=True)}).named("modified") == ["name"]
+    g.migrate(people, {**BASE, "name": Field("keyword", many=True)})
+    assert sorted(r.name for r in people.read().collect()) == [["a"], ["b"], ["c"]]
+
+
 def test_rollback_needs_a_backup(people):
     done = g.migrate(people, {"name": Field("keyword")})
     with pytest.raises(g.MigrationError, match="backup"):
