@@ -14,19 +14,20 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach: the session's ``spark.checkpoint.dir``.
+    """Folder all executors can reach: ``spark.checkpoint.dir``, or the checkpoint
+    folder the application has set.
 
-    Only a local master may go without the setting; it then gets a temporary
-    folder of its own.
+    Only a local master may go without one; it then gets a temporary folder of its
+    own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="docquarry-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="docquarry-"))
+    return context.getCheckpointDir()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
