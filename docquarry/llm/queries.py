@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 
 from docquarry.catalog.registry import Catalog, Tables
-from docquarry.llm import bpe
+from docquarry.llm import bpe, substring
 
 QUERIES = Catalog()
 query = QUERIES.query
@@ -15,3 +15,8 @@ query = QUERIES.query
 @query()
 def op7_bpe_chunk_reuse(t: Tables) -> DataFrame:
     return bpe.encode_documents(t.documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op3_substring_count_min(t: Tables) -> DataFrame:
+    return substring.remove_repeats(t.documents)
