@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 
 from docquarry.catalog.registry import Catalog, Tables
-from docquarry.llm import bpe, substring
+from docquarry.llm import bpe, minhash, substring
 
 QUERIES = Catalog()
 query = QUERIES.query
@@ -20,3 +20,8 @@ def op7_bpe_chunk_reuse(t: Tables) -> DataFrame:
 @query()
 def op3_substring_count_min(t: Tables) -> DataFrame:
     return substring.remove_repeats(t.documents)
+
+
+@query()
+def op8_minhash_fast_sketch(t: Tables) -> DataFrame:
+    return minhash.near_duplicates(t.documents, words=4)
