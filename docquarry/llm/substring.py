@@ -11,8 +11,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import (Hasher, binaries, keyed, partitions, pieces, planes, unplanes,
-                                  words_of)
+from docquarry.llm.common import (Hasher, binaries, keyed, mix, partitions, pieces, planes,
+                                  unplanes, words_of)
 
 #: Counters of a sketch row, as a power of two.  A row is broadcast as one bit a counter
 #: ("two or more"): 32 MB each at 28, whatever the size of the input.
@@ -22,35 +22,51 @@ SHARD_BITS = 6
 #: Candidate windows a task holds before it sends them on.
 HELD = 3_000_000
 
-_LONG = "k long, th long, starts binary"
+_LONG = "k long, th long, runs binary"
 
 
 class Windows:
-    """Two 64-bit hashes of every window of n consecutive words of a row."""
+    """Hashes of every window of n consecutive words of a row.
+
+    The anchor of a window is the smallest hash of the runs of about n/2 words inside.  It
+    depends on the window's words alone, so a window's anchor is found wherever the window
+    is, and neighbouring windows mostly have the same one.
+    """
 
     def __init__(self, n: int) -> None:
-        self.n, self.one, self.two = n, Hasher(31), Hasher(32)
+        self.n, self.run, self.one, self.two = n, (n + 1) // 2, Hasher(31), Hasher(32)
 
     def of(self, data: np.ndarray, offsets: np.ndarray):
-        """(hash, second hash, row, number of the first word in its row) of each window."""
+        """(hash, second hash, anchor, row, number of the first word in its row)."""
         starts, ends, rows = words_of(data, offsets)
-        a = self.one.windows(self.one.slices(data, starts, ends), self.n)
+        hashes = self.one.slices(data, starts, ends)
+        a = self.one.windows(hashes, self.n)
         b = self.two.windows(self.two.slices(data, starts, ends), self.n)
+        anchor, size = self.one.windows(hashes, self.run), 1
+        width = self.n - self.run + 1
+        while size < width:  # the smallest of 2, 4, ... and in the end width neighbours
+            step = min(size, width - size)
+            anchor = np.minimum(anchor[:max(0, len(anchor) - step)], anchor[step:])
+            size += step
         first = np.searchsorted(rows, np.arange(len(offsets) - 1))
         row = rows[:len(a)]
         whole = np.flatnonzero(row == rows[self.n - 1:][:len(a)])
         row = row[whole]
-        return a[whole], b[whole], row, whole - first[row]
+        return a[whole], b[whole], anchor[whole], row, whole - first[row]
 
 
-def cells(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+def cells(anchors: np.ndarray, row: int, bits: int) -> np.ndarray:
+    """Counters of the anchors in a row of the sketch."""
+    mixed = mix(anchors ^ np.uint64(0x5DEECE66D * (row + 1)))
+    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def sketch(docs: DataFrame, n: int, bits: int = WIDTH_BITS) -> Broadcast:
     """Which counters of the corpus' count-min sketch stand at two or more.
 
-    Each task counts its windows in sketches of its own (two rows of 2^bits counters that
+    What is counted is anchors, once for each run of windows that have one: a window's
+    anchor is in every document that the window is in, so its count is never below the
+    window's.  Each task counts in sketches of its own (two rows of 2^bits counters that
     stop at 2), and sends the counters in use.  The sketches are merged part by part, by
     adding up.  What comes back is one bit a counter, a fixed 2 * 2^bits / 8 bytes.
     """
@@ -75,8 +91,11 @@ def sketch(docs: DataFrame, n: int, bits: int = WIDTH_BITS) -> Broadcast:
         held, waiting = ([], []), 0
         for batch in batches:
             for _, data, offsets in pieces(batch.column(0)):
-                for row, hashes in enumerate(windows.of(data, offsets)[:2]):
-                    held[row].append(cells(hashes, bits))
+                _, _, anchor, owner, _ = windows.of(data, offsets)
+                new = np.ones(len(anchor), bool)
+                new[1:] = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])
+                for row in range(2):
+                    held[row].append(cells(anchor[new], row, bits))
                 waiting += len(held[0][-1])
                 if waiting > HELD:
                     for row in range(2):
@@ -117,34 +136,40 @@ def _covered(a, b, owner, start, names, texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _by_document(owner, start, names, texts) -> pa.RecordBatch:
-    """Starts of covered windows, one row for each document."""
+    """Covered windows, one row for each document: first window and length of each run."""
     order = np.lexsort((start, owner))
     owner, start = owner[order], start[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (start[1:] > start[:-1] + 1)
+    first = np.flatnonzero(new)
+    last = np.r_[first[1:], len(owner)][:len(first)] - 1
+    runs = np.stack([start[first], start[last] - start[first] + 1], 1).astype("<i4")
+    owner = owner[first]
     heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else owner
-    counts = np.diff(np.r_[heads, len(owner)])
+    counts = 2 * np.diff(np.r_[heads, len(owner)])
     return pa.RecordBatch.from_arrays(
         [pa.array(names[owner[heads]], pa.int64()), pa.array(texts[owner[heads]], pa.int64()),
-         binaries(start.astype("<i4"), counts)], ["k", "th", "starts"])
+         binaries(runs.reshape(-1), counts)], ["k", "th", "runs"])
 
 
 def _candidates(heavy: Broadcast, n: int, bits: int, buckets: int):
-    """Windows that the sketch holds for repeated, by bucket of their hash.
+    """Windows that the sketch holds for repeated, by bucket of their anchor.
 
     Documents of one task settle what they can among themselves: of equal windows only
     those of the smallest document go on, so a window of any number of documents is sent
     once a task at most.
     """
-    def send(a, b, owner, start, names, texts):
+    def send(a, b, anchor, owner, start, names, texts):
         order, covered = _covered(a, b, owner, start, names, texts)
         gone = order[covered]
         if len(gone):
             found = _by_document(owner[gone], start[gone], names, texts)
             where = pa.array(-1 - (np.asarray(found.column("k")) % buckets).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([where, *found.columns], ["bucket", "k", "th", "starts"])
+            yield pa.RecordBatch.from_arrays([where, *found.columns], ["bucket", "k", "th", "runs"])
         left = order[~covered]
-        bucket = ((a[left] >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
+        bucket = (mix(anchor[left]) % np.uint64(buckets)).astype(np.int64)
         left = left[np.lexsort((start[left], owner[left], bucket))]
-        bucket = ((a[left] >> np.uint64(8)) % np.uint64(buckets)).astype(np.int64)
+        bucket = (mix(anchor[left]) % np.uint64(buckets)).astype(np.int64)
         edges = np.searchsorted(bucket, np.arange(buckets + 1))
         for i in np.flatnonzero(np.diff(edges)):
             part = left[edges[i]:edges[i + 1]]
@@ -156,7 +181,7 @@ def _candidates(heavy: Broadcast, n: int, bits: int, buckets: int):
                 texts[docs].astype("<i8").tobytes()])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i], pa.int32()), pa.array([0], pa.int64()), pa.array([0], pa.int64()),
-                 pa.array([blob], pa.binary())], ["bucket", "k", "th", "starts"])
+                 pa.array([blob], pa.binary())], ["bucket", "k", "th", "runs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(n)
@@ -166,21 +191,21 @@ def _candidates(heavy: Broadcast, n: int, bits: int, buckets: int):
         held, names, texts, count, docs = [], [], [], 0, 0
 
         def flush():
-            a, b, owner, start = (np.concatenate(x) for x in zip(*held))
-            yield from send(a, b, owner, start, np.concatenate(names), np.concatenate(texts))
+            yield from send(*(np.concatenate(x) for x in zip(*held)), np.concatenate(names),
+                            np.concatenate(texts))
 
         for batch in batches:
             k, th = (np.asarray(batch.column(c)) for c in ("k", "th"))
             for first, data, offsets in pieces(batch.column("text")):
-                a, b, row, start = windows.of(data, offsets)
+                a, b, anchor, row, start = windows.of(data, offsets)
                 some = np.ones(len(a), bool)
-                for hashes, table in zip((a, b), rows):
-                    at = cells(hashes, bits)
+                for turn, table in enumerate(rows):
+                    at = cells(anchor, turn, bits)
                     some &= (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0
                 m = len(offsets) - 1
                 if some.any():
-                    held.append((a[some], (b[some] & np.uint64(0xFFFFFFFF)), row[some] + docs,
-                                 start[some]))
+                    held.append((a[some], b[some] & np.uint64(0xFFFFFFFF), anchor[some],
+                                 row[some] + docs, start[some]))
                     count += len(held[-1][0])
                 names.append(k[first:first + m])
                 texts.append(th[first:first + m])
@@ -198,9 +223,9 @@ def _resolve(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     parts = []
     for batch in batches:
         if key[0].as_py() < 0:  # settled where they were found
-            yield batch.select(["k", "th", "starts"])
+            yield batch.select(["k", "th", "runs"])
             continue
-        for blob in batch.column("starts"):
+        for blob in batch.column("runs"):
             raw = blob.as_py()
             n, m = np.frombuffer(raw, "<i8", 2)
             at = 16
@@ -226,15 +251,15 @@ def _resolve(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 
 def repeated_windows(docs: DataFrame, n: int, bits: int = WIDTH_BITS) -> DataFrame:
-    """``k``, ``th`` and ``starts`` (binary lists of 32-bit word numbers): windows of each
+    """``k``, ``th`` and ``runs`` (binary lists of 32-bit first windows and lengths): windows of each
     document that also start in a document with a smaller id."""
     keys = docs.select("k", "th", "text")
     heavy = sketch(keys, n, bits)
-    buckets = 2 * partitions(docs.sparkSession)
+    buckets = 4 * partitions(docs.sparkSession)
     sent = keys.mapInArrow(_candidates(heavy, n, bits, buckets),
                            f"bucket int, {_LONG}")
     found = sent.groupBy("bucket").applyInArrow(_resolve, _LONG)
-    return found.groupBy("k", "th").agg(F.collect_list("starts").alias("starts"))
+    return found.groupBy("k", "th").agg(F.collect_list("runs").alias("runs"))
 
 
 def remove_repeats(docs: DataFrame, n: int = 13, id_col: str = "doc_id", text_col: str = "text",
@@ -256,14 +281,14 @@ def remove_repeats(docs: DataFrame, n: int = 13, id_col: str = "doc_id", text_co
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [[], [], [], []]
-            for value, starts in zip(batch.column("text"), batch.column("starts")):
+            for value, runs in zip(batch.column("text"), batch.column("runs")):
                 words = (value.as_py() or "").encode().split()
-                total, blobs = len(words), starts.as_py()
+                total, blobs = len(words), runs.as_py()
                 if blobs:
                     gone = np.zeros(total + 1, np.int32)
-                    at = np.unique(np.frombuffer(b"".join(blobs), "<i4"))
-                    np.add.at(gone, at, 1)
-                    np.subtract.at(gone, at + n, 1)
+                    runs = np.unique(np.frombuffer(b"".join(blobs), "<i4").reshape(-1, 2), axis=0)
+                    np.add.at(gone, runs[:, 0], 1)
+                    np.subtract.at(gone, runs.sum(axis=1) + n - 1, 1)
                     keep = np.cumsum(gone[:total]) == 0
                     words = [w for w, k in zip(words, keep.tolist()) if k]
                 kept = b" ".join(words)
@@ -279,4 +304,4 @@ def remove_repeats(docs: DataFrame, n: int = 13, id_col: str = "doc_id", text_co
 
     schema = (f"`{id_col}` long, n_words long, n_removed long, kept_sha256 string"
               + ", kept_text string" * text)
-    return frame.join(hits, ["k", "th"], "left").select("id", "text", "starts").mapInArrow(finish, schema)
+    return frame.join(hits, ["k", "th"], "left").select("id", "text", "runs").mapInArrow(finish, schema)
