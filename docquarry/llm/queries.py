@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 
 from docquarry.catalog.registry import Catalog, Tables
-from docquarry.llm import bpe, minhash, substring
+from docquarry.llm import bpe, minhash, substring, toxicity
 
 QUERIES = Catalog()
 query = QUERIES.query
@@ -25,3 +25,8 @@ def op3_substring_count_min(t: Tables) -> DataFrame:
 @query()
 def op8_minhash_fast_sketch(t: Tables) -> DataFrame:
     return minhash.near_duplicates(t.documents, words=4)
+
+
+@query()
+def op6_toxicity_string_kernel(t: Tables) -> DataFrame:
+    return toxicity.toxicity(t.documents, t.labels)
