@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 
 from docquarry.catalog.registry import Catalog, Tables
-from docquarry.llm import bpe, minhash, substring, toxicity
+from docquarry.llm import balltree, bpe, minhash, mixing, substring, toxicity
 
 QUERIES = Catalog()
 query = QUERIES.query
@@ -30,3 +30,13 @@ def op8_minhash_fast_sketch(t: Tables) -> DataFrame:
 @query()
 def op6_toxicity_string_kernel(t: Tables) -> DataFrame:
     return toxicity.toxicity(t.documents, t.labels)
+
+
+@query(mixing.MIX_SQL)
+def op4_mixing_pareto(t: Tables) -> DataFrame:
+    return mixing.mix(t.documents)
+
+
+@query(balltree.TOP_SQL)
+def op10_top_k_ball_tree(t: Tables) -> DataFrame:
+    return balltree.top_k(t.embeddings)
