@@ -15,6 +15,8 @@ from docquarry.llm.components import components
 #: Coordinates of a sketch, and coordinates of a band.  32 bands of 4 miss a pair of
 #: similarity 0.8 with probability 5e-8.
 COORDINATES, BAND = 128, 4
+#: Bytes of sets that are compared in one block with each other, or with another block's.
+BLOCK = 16 << 20
 #: Stand-ins for missing ids begin here, above all ids.
 NO_IDS = 1 << 62
 
@@ -139,6 +141,37 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         _similar(percent), "a long, b long")
 
 
+def _compared(percent: int):
+    """Similar pairs of different components among the members of one group, or across two
+    parts of it.  Each member that isn't in the most common component is held against all
+    others at once."""
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        rep, label, part = (np.asarray(table.column(c)) for c in ("rep", "label", "part"))
+        sizes, items = [], []
+        for value in table.column("items"):
+            items.append(np.frombuffer(value.as_py(), np.uint64))
+            sizes.append(len(items[-1]))
+        sizes, (_, flat) = np.array(sizes), np.unique(np.concatenate(items), return_inverse=True)
+        ends = np.cumsum(sizes)
+        names, counts = np.unique(label, return_counts=True)
+        mark, across, out = np.zeros(flat.max() + 1, bool), len(set(part)) > 1, [[], []]
+        for x in np.flatnonzero(label != names[counts.argmax()]):
+            own = flat[ends[x] - sizes[x]:ends[x]]
+            mark[own] = True
+            common = np.add.reduceat(mark[flat].astype(np.int64), ends - sizes)
+            mark[own] = False
+            good = 100 * common >= percent * (sizes + sizes[x] - common)
+            good &= label != label[x]
+            if across:
+                good &= part != part[x]
+            for y in np.flatnonzero(good):
+                out[0].append(rep[x])
+                out[1].append(rep[y])
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
+    return run
+
+
 def _labelled(frame: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
     named = labels.select(F.col("node").alias(node), F.col("component").alias(label))
     return frame.join(named, node, "left").withColumn(label, F.coalesce(label, node))
@@ -152,12 +185,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     Returns, for each row, ``id_col``, ``n_shingles``, ``component_id`` (the smallest id
     reachable over links) and ``kept`` (whether that is the row's own id).
 
-    Equal sets are one class, known by its smallest id; only classes are compared.  A
-    bucket of a band proposes pairs with its smallest class first; after these are
-    verified on full sets and joined into components, every class is compared with the
-    members of its buckets that are still in another component.  So a large group of near
-    copies costs a few pairs a member, and no pair in a common bucket goes unseen unless
-    both are in one component already.
+    Equal sets are one class, known by its smallest id; only classes are compared.  Classes
+    that agree in a band share a bucket.  The most central class of a bucket, that with most
+    company in its own buckets, stands for it.  First every class is compared with the most
+    central one it meets, and components are formed.  Then the classes that meet one center
+    are compared, in blocks inside a task, as far as they are in different components still.
+    So a group of near copies costs a pair a member and a comparison for each that is left;
+    pairs are not written out, and no two classes of a bucket go unseen.
 
     Null and blank texts have no shingles, and link with nothing.  Rows without id count
     as larger than all others; ``component_id`` is null if no row of the component has an
@@ -173,9 +207,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     rows_of = rows.join(classes, ["c1", "c2"], "left").withColumn("rep", F.coalesce("rep", "k"))
     reps = stored(rows_of.where("n > 0 AND k = rep").select("rep", "th", "bands"), "classes")
     members = reps.select("rep", F.explode("bands").alias("h"))
-    pivots = (members.groupBy("h").agg(F.min("rep").alias("p"), F.max("rep").alias("q"))
-              .where("p < q").select("h", "p"))
-    shared = stored(members.join(pivots, "h").distinct(), "buckets")
+    full = members.groupBy("h").agg(F.count("*").alias("size"), F.min("rep").alias("x"),
+                                    F.max("rep").alias("y")).where("x < y").select("h", "size")
+    met = stored(members.join(full, "h"), "buckets")
+    mass = met.groupBy("rep").agg(F.sum("size").alias("mass"))
+    first_of = lambda c: F.max(F.struct("mass", (-F.col(c)).alias("minus")))
+    pivots = met.join(mass, "rep").groupBy("h").agg(first_of("rep").alias("best")).select(
+        "h", F.col("best.mass").alias("mass"), (-F.col("best.minus")).alias("p"))
+    shared = stored(met.select("h", "rep").join(pivots, "h").select("rep", "p", "mass").distinct(), "centers")
     wanted = reps.select("rep", "th").join(shared.select("rep").distinct(), "rep", "left_semi")
     sets = stored(frame.join(wanted.select(F.col("rep").alias("k"), "th").distinct(), ["k", "th"],
                              "left_semi").select("k", "text").mapInArrow(
@@ -185,24 +224,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     links = (rows_of.where("n > 0").groupBy("k").agg(F.min("rep").alias("b"), F.max("rep").alias("q"))
              .where("b < q").select("k", "b")
              .join(rows_of.where("n > 0").select("k", F.col("rep").alias("a")), "k").select("a", "b"))
-    first = (shared.where("rep > p").groupBy("rep").agg(F.min("p").alias("p"))
-             .select(F.col("p").alias("a"), F.col("rep").alias("b")))
+    first = (shared.where("rep <> p").groupBy("rep").agg(first_of("p").alias("best"))
+             .select((-F.col("best.minus")).alias("a"), F.col("rep").alias("b")))
     labels = components(links.unionByName(_verified(first, sets, percent)))
-    for whole in (False, True):
-        open_ = _labelled(shared, labels, "rep", "label")
-        if whole:
-            mixed = (open_.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-                     .where("x < y").select("h"))
-            open_ = open_.join(mixed, "h", "left_semi")
-            pairs = open_.select("h", F.col("rep").alias("a"), F.col("label").alias("la")).join(
-                open_.select("h", F.col("rep").alias("b"), F.col("label").alias("lb")), "h").where(
-                "a < b AND la <> lb")
-        else:
-            pairs = _labelled(open_.where("rep > p"), labels, "p", "lp").where("label <> lp").select(
-                F.col("p").alias("a"), F.col("rep").alias("b"))
-        found = _verified(pairs.select("a", "b").distinct(), sets, percent)
-        labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                            .unionByName(found))
+    groups = _labelled(shared.select("p", "rep"), labels, "rep", "label")
+    open_ = (groups.groupBy("p").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+             .where("x < y").select("p"))
+    held = stored(groups.join(open_, "p").join(
+        sets.select("rep", F.octet_length("items").alias("bytes")), "rep"), "groups")
+    parts = held.groupBy("p").agg((F.ceil(F.sum("bytes") / F.lit(BLOCK)) - 1).cast("int").alias("last"))
+    part = F.pmod(F.xxhash64("rep"), F.col("last") + 1).cast("int")
+    blocks = (held.join(parts, "p").withColumn("part", part)
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+              .select("p", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+                      "part", "label", "rep"))
+    found = blocks.join(sets, "rep").groupBy("p", "i", "j").applyInArrow(
+        _compared(percent), "a long, b long")
+    labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                        .unionByName(found))
     out = _labelled(rows_of.select("k", "n", "rep"), labels, "rep", "component")
     real = lambda c: F.when(F.col(c) < NO_IDS, F.col(c))
     return out.select(real("k").alias(id_col), F.col("n").alias("n_shingles"),

@@ -68,6 +68,18 @@ def test_a_chain_of_edits_is_one_component(make):
     assert rows_of(minhash.near_duplicates(make(rows), 4)) == brute(rows, 4)
 
 
+def test_groups_in_blocks(make, monkeypatch):
+    """Members around a center, many too far from it: compared block by block."""
+    monkeypatch.setattr(minhash, "BLOCK", 20_000)
+    rng, base, rows = random.Random(4), [f"w{i}" for i in range(120)], []
+    for i in range(90):
+        words = list(base) if i % 3 else list(rows[-1][1].split()) if rows else list(base)
+        for _ in range(rng.randrange(1, 9)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10 ** 6)}"
+        rows.append((rng.randrange(10 ** 6), " ".join(words)))
+    assert rows_of(minhash.near_duplicates(make(rows), 4)) == brute(rows, 4)
+
+
 def test_empty_table(make):
     assert minhash.near_duplicates(make([(1, "a")]).limit(0)).collect() == []
 
