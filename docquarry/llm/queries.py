@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 
 from docquarry.catalog.registry import Catalog, Tables
-from docquarry.llm import balltree, bpe, minhash, mixing, substring, toxicity
+from docquarry.llm import balltree, bpe, minhash, mixing, substring, toxicity, winnowing
 
 QUERIES = Catalog()
 query = QUERIES.query
@@ -40,3 +40,8 @@ def op4_mixing_pareto(t: Tables) -> DataFrame:
 @query(balltree.TOP_SQL)
 def op10_top_k_ball_tree(t: Tables) -> DataFrame:
     return balltree.top_k(t.embeddings)
+
+
+@query()
+def op9_fingerprints_winnowing(t: Tables) -> DataFrame:
+    return winnowing.edited(t.documents)
