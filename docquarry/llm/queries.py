@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from docquarry.catalog.registry import Catalog, Tables
-from docquarry.llm import balltree, bpe, minhash, mixing, substring, toxicity, winnowing
+from docquarry.llm import (balltree, bpe, lines, minhash, mixing, revisits, substring, toxicity,
+                           winnowing)
 
 QUERIES = Catalog()
 query = QUERIES.query
@@ -45,3 +47,16 @@ def op10_top_k_ball_tree(t: Tables) -> DataFrame:
 @query()
 def op9_fingerprints_winnowing(t: Tables) -> DataFrame:
     return winnowing.edited(t.documents)
+
+
+@query()
+def op5_line_chunks(t: Tables) -> DataFrame:
+    return lines.remove_repeats(t.documents)
+
+
+@query(revisits.REVISIT_SQL)
+def op1_warc_revisits(t: Tables) -> DataFrame:
+    found = revisits.resolve(revisits.captures(t.pages))
+    return found.select("record_id", "canonical_url", "refers_to", "verdict",
+                        *[F.col("headers")[name].alias(name.replace("-", "_"))
+                          for name in ("date", "cache-control", "content-type", "server")])
