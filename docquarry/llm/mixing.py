@@ -45,28 +45,14 @@ def targets(sizes: DataFrame) -> DataFrame:
             ).alias("target")))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source") -> DataFrame:
-    """How often the mix takes each document, so that sources come near their targets.
-
-    Each document is wanted target / source_size times.  The whole copies in that are
-    certain.  The rest is the inclusion probability p of one copy more: documents are
-    ranked by random odds u / (1 - u) divided by the inclusion odds p / (1 - p), and those
-    of lowest rank are taken as long as their words fit what is left of the source's
-    target.  One more document, the one whose size fits best, closes the gap if that brings
-    the source nearer.
-
-    Returns, for each row, ``id_col``, ``size`` (words), ``source_size``, ``target``,
-    ``copies`` and ``taken`` (copies times size).  Randomness comes from the id and the
-    text, so reruns agree.  Null texts have size 0; a null source is a source, the last;
-    null ids are drawn by text.  Repeated rows are drawn one by one.  Without any words all
-    targets are 0.  Other columns play no part.
-    """
+def _drawn(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """``id``, ``key`` (hash of the text), ``size``, ``row``, ``source_size``, ``target`` and
+    ``copies`` of each row."""
     digits = F.substring(F.md5(F.concat_ws(":", F.col("id").cast("string"), "text").cast("binary")), 1, 12)
     rows = stored(
         docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                     F.col(text_col).alias("text"))
-        .select("id", "source", word_count("text").alias("size"),
+        .select("id", "source", F.xxhash64("text").alias("key"), word_count("text").alias("size"),
                 ((F.conv(digits, 16, 10).cast("double") + 0.5) / float(16 ** 12)).alias("u"),
                 F.monotonically_increasing_id().alias("row")), "sizes")
     sources = stored(
@@ -97,7 +83,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .withColumn("cut", F.col("before") + F.sum("size").over(inside) <= F.col("rest"))
             .select("row", "cut"))
     drawn = stored(placed.join(edge, "row", "left").select(
-        "id", "source", "size", "row", "rank", "source_size", "target", "certain", "rest", "p",
+        "id", "source", "key", "size", "row", "rank", "source_size", "target", "certain", "rest", "p",
         F.coalesce((F.col("part") < F.col("end")) | F.col("cut"), F.lit(False)).alias("drawn")), "drawn")
     gaps = (drawn.groupBy("source").agg(
         (F.first("rest") - F.sum(F.when(F.col("drawn"), F.col("size")).otherwise(0))).alias("gap"))
@@ -108,11 +94,50 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .select(F.col("best.row").alias("row"), F.lit(1).alias("extra")))
     return drawn.join(best, "row", "left").withColumn(
         "copies", F.col("certain") + F.when(F.col("drawn"), 1).otherwise(0)
-        + F.coalesce("extra", F.lit(0))).select(
+        + F.coalesce("extra", F.lit(0)))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        source_col: str = "source") -> DataFrame:
+    """How often the mix takes each document, so that sources come near their targets.
+
+    Each document is wanted target / source_size times.  The whole copies in that are
+    certain.  The rest is the inclusion probability p of one copy more: documents are
+    ranked by random odds u / (1 - u) divided by the inclusion odds p / (1 - p), and those
+    of lowest rank are taken as long as their words fit what is left of the source's
+    target.  One more document, the one whose size fits best, closes the gap if that brings
+    the source nearer.
+
+    Returns, for each row, ``id_col``, ``size`` (words), ``source_size``, ``target``,
+    ``copies`` and ``taken`` (copies times size).  Randomness comes from the id and the
+    text, so reruns agree.  Null texts have size 0; a null source is a source, the last;
+    null ids are drawn by text.  Repeated rows are drawn one by one.  Without any words all
+    targets are 0.  Other columns play no part.
+    """
+    return _drawn(docs, id_col, text_col, source_col).select(
         F.col("id").alias(id_col), "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           source_col: str = "source") -> DataFrame:
+    """All columns of the rows and ``copies``, as ``mix`` has them.
+
+    Rows that agree in id, text and source are drawn one by one; as nothing tells them apart,
+    one of them comes out with the copies of all.
+    """
+    key = [F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("_i"), F.xxhash64(text_col).alias("_t"),
+           F.coalesce(F.xxhash64(source_col, F.col(source_col).isNull()), F.lit(0)).alias("_s")]
+    drawn = _drawn(docs, id_col, text_col, source_col).select(
+        F.coalesce(F.col("id").cast("string"), F.lit("")).alias("_i"), F.col("key").alias("_t"),
+        F.coalesce(F.xxhash64("source", F.col("source").isNull()), F.lit(0)).alias("_s"), "copies")
+    totals = drawn.groupBy("_i", "_t", "_s").agg(F.sum("copies").alias("all"), F.count("*").alias("rows"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *key)
+    once = rows.join(totals.where("rows = 1"), ["_i", "_t", "_s"])
+    several = rows.join(totals.where("rows > 1"), ["_i", "_t", "_s"]).dropDuplicates(["_i", "_t", "_s"])
+    return once.unionByName(several).select("row.*", F.col("all").alias("copies"))
+
+
 #: The same rows in DuckDB: everything in one window over each source.
 MIX_SQL = r"""
 WITH s AS (

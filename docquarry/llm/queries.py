@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from docquarry.catalog.registry import Catalog, Tables
 from docquarry.llm import (balltree, bpe, lines, minhash, mixing, revisits, substring, toxicity,
                            winnowing)
@@ -60,3 +61,12 @@ def op1_warc_revisits(t: Tables) -> DataFrame:
     return found.select("record_id", "canonical_url", "refers_to", "verdict",
                         *[F.col("headers")[name].alias(name.replace("-", "_"))
                           for name in ("date", "cache-control", "content-type", "server")])
+
+
+def pipeline(spark, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES.runs["pipeline"] = pipeline
+if corpus_pipeline.ORACLE_SQL:
+    QUERIES.sql["pipeline"] = corpus_pipeline.ORACLE_SQL

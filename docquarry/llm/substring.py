@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -11,14 +12,10 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import (Hasher, binaries, keyed, mix, partitions, pieces, planes,
-                                  unplanes, words_of)
+from docquarry.llm.common import (Hasher, keyed, mix, partitions, pieces, planes, unplanes,
+                                  words_of)
+from docquarry.llm.prefilter import WIDTH_BITS, by_document, repeated, sketch
 
-#: Counters of a sketch row, as a power of two.  A row is broadcast as one bit a counter
-#: ("two or more"): 32 MB each at 28, whatever the size of the input.
-WIDTH_BITS = 28
-#: Parts of a row that are merged by different tasks, as a power of two.
-SHARD_BITS = 6
 #: Candidate windows a task holds before it sends them on.
 HELD = 3_000_000
 
@@ -36,6 +33,10 @@ class Windows:
     def __init__(self, n: int) -> None:
         self.n, self.run, self.one, self.two = n, (n + 1) // 2, Hasher(31), Hasher(32)
 
+    def anchors(self, data: np.ndarray, offsets: np.ndarray):
+        """(anchor, row) of each window."""
+        return self.of(data, offsets)[2:4]
+
     def of(self, data: np.ndarray, offsets: np.ndarray):
         """(hash, second hash, anchor, row, number of the first word in its row)."""
         starts, ends, rows = words_of(data, offsets)
@@ -55,76 +56,6 @@ class Windows:
         return a[whole], b[whole], anchor[whole], row, whole - first[row]
 
 
-def cells(anchors: np.ndarray, row: int, bits: int) -> np.ndarray:
-    """Counters of the anchors in a row of the sketch."""
-    mixed = mix(anchors ^ np.uint64(0x5DEECE66D * (row + 1)))
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def sketch(docs: DataFrame, n: int, bits: int = WIDTH_BITS) -> Broadcast:
-    """Which counters of the corpus' count-min sketch stand at two or more.
-
-    What is counted is anchors, once for each run of windows that have one: a window's
-    anchor is in every document that the window is in, so its count is never below the
-    window's.  Each task counts in sketches of its own (two rows of 2^bits counters that
-    stop at 2), and sends the counters in use.  The sketches are merged part by part, by
-    adding up.  What comes back is one bit a counter, a fixed 2 * 2^bits / 8 bytes.
-    """
-    low = bits - SHARD_BITS
-    size = 1 << low
-
-    def send(row: int, found: np.ndarray) -> Iterator[pa.RecordBatch]:
-        found.sort()
-        new = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
-        used, two = found[new], np.diff(np.r_[new, len(found)]) > 1
-        edges = np.searchsorted(used, np.arange((1 << SHARD_BITS) + 1) * size)
-        for shard in np.flatnonzero(np.diff(edges)):
-            part = slice(edges[shard], edges[shard + 1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row * (1 << SHARD_BITS) + shard], pa.int32()),
-                 pa.array([planes(np.diff(used[part], prepend=shard * size))], pa.binary()),
-                 pa.array([np.packbits(two[part]).tobytes()], pa.binary())],
-                ["part", "used", "two"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = Windows(n)
-        held, waiting = ([], []), 0
-        for batch in batches:
-            for _, data, offsets in pieces(batch.column(0)):
-                _, _, anchor, owner, _ = windows.of(data, offsets)
-                new = np.ones(len(anchor), bool)
-                new[1:] = (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])
-                for row in range(2):
-                    held[row].append(cells(anchor[new], row, bits))
-                waiting += len(held[0][-1])
-                if waiting > HELD:
-                    for row in range(2):
-                        yield from send(row, np.concatenate(held[row]))
-                    held, waiting = ([], []), 0
-        if waiting:
-            for row in range(2):
-                yield from send(row, np.concatenate(held[row]))
-
-    def merge(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.uint8)
-        for batch in batches:
-            for used, two in zip(batch.column("used"), batch.column("two")):
-                at = np.cumsum(unplanes(used.as_py()).astype(np.int64))
-                more = np.unpackbits(np.frombuffer(two.as_py(), np.uint8), count=len(at))
-                total[at] = np.minimum(2, total[at] + 1 + more)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0].as_py()], pa.int32()),
-             pa.array([np.packbits(total == 2, bitorder="little").tobytes()], pa.binary())],
-            ["part", "heavy"])
-
-    merged = (docs.select("text").mapInArrow(count, "part int, used binary, two binary")
-              .groupBy("part").applyInArrow(merge, "part int, heavy binary"))
-    rows = np.zeros((2 << SHARD_BITS, size // 8), np.uint8)
-    for part in merged.toLocalIterator():
-        rows[part.part] = np.frombuffer(part.heavy, np.uint8)
-    return docs.sparkSession.sparkContext.broadcast(rows.tobytes())
-
-
 def _covered(a, b, owner, start, names, texts) -> tuple[np.ndarray, np.ndarray]:
     """For windows with equal hashes: order, and whether a smaller document has it too."""
     order = np.lexsort((start, names[owner], b, a))
@@ -135,23 +66,6 @@ def _covered(a, b, owner, start, names, texts) -> tuple[np.ndarray, np.ndarray]:
     return order, name > least
 
 
-def _by_document(owner, start, names, texts) -> pa.RecordBatch:
-    """Covered windows, one row for each document: first window and length of each run."""
-    order = np.lexsort((start, owner))
-    owner, start = owner[order], start[order]
-    new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (start[1:] > start[:-1] + 1)
-    first = np.flatnonzero(new)
-    last = np.r_[first[1:], len(owner)][:len(first)] - 1
-    runs = np.stack([start[first], start[last] - start[first] + 1], 1).astype("<i4")
-    owner = owner[first]
-    heads = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else owner
-    counts = 2 * np.diff(np.r_[heads, len(owner)])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(names[owner[heads]], pa.int64()), pa.array(texts[owner[heads]], pa.int64()),
-         binaries(runs.reshape(-1), counts)], ["k", "th", "runs"])
-
-
 def _candidates(heavy: Broadcast, n: int, bits: int, buckets: int):
     """Windows that the sketch holds for repeated, by bucket of their anchor.
 
@@ -163,7 +77,7 @@ def _candidates(heavy: Broadcast, n: int, bits: int, buckets: int):
         order, covered = _covered(a, b, owner, start, names, texts)
         gone = order[covered]
         if len(gone):
-            found = _by_document(owner[gone], start[gone], names, texts)
+            found = by_document(owner[gone], start[gone], names, texts)
             where = pa.array(-1 - (np.asarray(found.column("k")) % buckets).astype(np.int32))
             yield pa.RecordBatch.from_arrays([where, *found.columns], ["bucket", "k", "th", "runs"])
         left = order[~covered]
@@ -185,9 +99,6 @@ def _candidates(heavy: Broadcast, n: int, bits: int, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(n)
-        size = (1 << bits) // 8
-        table = np.frombuffer(heavy.value, np.uint8)
-        rows = table[:size], table[size:]
         held, names, texts, count, docs = [], [], [], 0, 0
 
         def flush():
@@ -198,10 +109,7 @@ def _candidates(heavy: Broadcast, n: int, bits: int, buckets: int):
             k, th = (np.asarray(batch.column(c)) for c in ("k", "th"))
             for first, data, offsets in pieces(batch.column("text")):
                 a, b, anchor, row, start = windows.of(data, offsets)
-                some = np.ones(len(a), bool)
-                for turn, table in enumerate(rows):
-                    at = cells(anchor, turn, bits)
-                    some &= (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0
+                some = repeated(anchor, heavy.value, bits)
                 m = len(offsets) - 1
                 if some.any():
                     held.append((a[some], b[some] & np.uint64(0xFFFFFFFF), anchor[some],
@@ -247,14 +155,14 @@ def _resolve(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         order, covered = _covered(a, b, owner, start, names, texts)
         gone = order[covered]
         if len(gone):
-            yield _by_document(owner[gone], start[gone], names, texts)
+            yield by_document(owner[gone], start[gone], names, texts)
 
 
 def repeated_windows(docs: DataFrame, n: int, bits: int = WIDTH_BITS) -> DataFrame:
     """``k``, ``th`` and ``runs`` (binary lists of 32-bit first windows and lengths): windows of each
     document that also start in a document with a smaller id."""
     keys = docs.select("k", "th", "text")
-    heavy = sketch(keys, n, bits)
+    heavy = sketch(keys, partial(Windows, n), bits)
     buckets = 4 * partitions(docs.sparkSession)
     sent = keys.mapInArrow(_candidates(heavy, n, bits, buckets),
                            f"bucket int, {_LONG}")

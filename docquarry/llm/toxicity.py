@@ -297,7 +297,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     got = rows.mapInArrow(run, "x array<double>, toxic long").toArrow()
     y = np.where(np.asarray(got.column("toxic")) > 0, 1.0, -1.0)
     if not words or len(set(y)) < 2:
-        share = (np.sum(y > 0) + 1) / (len(y) + 2)
+        share = (np.sum(y > 0) + 0.1) / (len(y) + 1)
         return Model([], np.zeros((0, 0)), np.zeros(1), 1.0, float(np.log(share / (1 - share))))
     x = np.asarray(got.column("x").combine_chunks().flatten()).reshape(len(y), len(words))
     order = np.lexsort((*x.T, y))  # the rows' order in the cluster must not matter
