@@ -240,29 +240,47 @@ def _members(candidates: list[bytes]):
 
 
 def _chosen(held: list[list[int]], words: int, wanted: int) -> list[int]:
-    """Words that cover the texts best, one after the other.  A text counts less for each
-    word it is covered by, so copies of one text don't bring all of its words in."""
+    """Words that cover the texts best, one after the other.
+
+    A text counts a fifth for each word it is covered by, and a word has to bring a few
+    texts in every thousand: so copies of one text don't bring all of its words in.
+    """
     rows = [[] for _ in range(words)]
     for i, own in enumerate(held):
         for w in own:
             rows[w].append(i)
     rows = [np.array(r, np.int64) for r in rows]
-    weight, chosen = np.ones(len(held)), []
+    weight, chosen, enough = np.ones(len(held)), [], max(0.3, 0.001 * len(held))
     gain = np.array([float(len(r)) for r in rows])
     while len(chosen) < wanted and len(gain):
         best = int(gain.argmax())
         real = weight[rows[best]].sum()
+        if gain[best] < enough:
+            break
         if real < gain[best] - 1e-9:  # an old value: gains only fall
             gain[best] = real
-        elif real < 0.05:
-            break
         else:
             chosen.append(best)
-            weight[rows[best]] *= 0.5
+            weight[rows[best]] *= 0.2
             gain[best] = -1
     return chosen
 
 
+def _sums(rows: DataFrame, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Kernel values of the sampled texts with the words, and their labels as 1 and -1."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kernel = Kernel(words) if words else None
+        for batch in batches:
+            sums = kernel.documents(batch.column("text")) if kernel else np.zeros((batch.num_rows, 0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums.astype("<f8")), pa.list_(pa.float64())), batch.column("toxic")],
+                ["x", "toxic"])
+
+    got = rows.mapInArrow(run, "x array<double>, toxic long").toArrow()
+    y = np.where(np.asarray(got.column("toxic")) > 0, 1.0, -1.0)
+    return np.asarray(got.column("x").combine_chunks().flatten()).reshape(len(y), len(words)), y
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         sample: int = SAMPLE, landmarks: int = LANDMARKS) -> Model:
     """Fits the classifier on at most ``sample`` labelled rows that aren't held out.
@@ -284,22 +302,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     held = [r.held for r in rows.where("toxic > 0").mapInArrow(
         _members(typical), "held array<int>").collect()]
     words = [typical[i] for i in _chosen(sorted(held), len(typical), landmarks)]
-    kernel = Kernel(words) if words else None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = (kernel.documents(batch.column("text")) if kernel
-                    else np.zeros((batch.num_rows, 0)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums.astype("<f8")), pa.list_(pa.float64())), batch.column("toxic")],
-                ["x", "toxic"])
-
-    got = rows.mapInArrow(run, "x array<double>, toxic long").toArrow()
-    y = np.where(np.asarray(got.column("toxic")) > 0, 1.0, -1.0)
+    x, y = _sums(rows, words)
+    if words:  # words that clean texts resemble too tell nothing, and cost most
+        bad, good = (x[y == side].mean(axis=0) if (y == side).any() else np.zeros(len(words)) for side in (1, -1))
+        tell = bad > 4 * good
+        words, x = [w for w, t in zip(words, tell) if t], x[:, tell]
     if not words or len(set(y)) < 2:
         share = (np.sum(y > 0) + 0.1) / (len(y) + 1)
         return Model([], np.zeros((0, 0)), np.zeros(1), 1.0, float(np.log(share / (1 - share))))
-    x = np.asarray(got.column("x").combine_chunks().flatten()).reshape(len(y), len(words))
+    kernel = Kernel(words)
     order = np.lexsort((*x.T, y))  # the rows' order in the cluster must not matter
     x, y = x[order], y[order]
     value, vector = np.linalg.eigh((kernel.square + kernel.square.T) / 2)
