@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from docquarry.catalog.registry import Catalog, Tables
-from docquarry.llm import (balltree, bpe, lines, minhash, mixing, revisits, substring, toxicity,
-                           winnowing)
+from docquarry.llm import (balltree, bpe, lines, minhash, mixing, revisits, substring, suffixes,
+                           toxicity, winnowing)
 
 QUERIES = Catalog()
 query = QUERIES.query
@@ -70,3 +70,8 @@ def pipeline(spark, sf_dir: str) -> DataFrame:
 QUERIES.runs["pipeline"] = pipeline
 if corpus_pipeline.ORACLE_SQL:
     QUERIES.sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+@query()
+def op2_suffix_difference_cover(t: Tables) -> DataFrame:
+    return suffixes.remove_repeats(t.documents)
