@@ -130,17 +130,18 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     size = F.length("text").cast("long")
     keys = stored(frame.select("k", "th", size.alias("n")).distinct(), "keys")
     next_ = stored(followers(keys.select("k", "th")).join(keys, ["k", "th"]), "next")
-    # One exchange of the texts, by key; every later step on this key stays in place.
-    whole = (frame.withColumn("found", marks(F.col("text"), gram, window)).groupBy("k", "th").agg(
-        F.first("text").alias("text"), F.first("found").alias("found"), F.count("*").alias("rows")))
+    # Both sides of the join below need the same columns of the texts, so that one exchange
+    # serves both; marks are made after it, on each side, rather than shuffled.
+    whole = frame.groupBy("k", "th").agg(F.first("text").alias("text"), F.count("*").alias("rows")).where("rows > 0")
+    own = marks(F.col("text"), gram, window)
     sent = whole.join(next_.select(F.col("k").alias("pk"), F.col("th").alias("pth"), F.col("n").alias("pn"),
                                    F.col("nk").alias("k"), F.col("nth").alias("th")), ["k", "th"]).select(
         F.col("pk").alias("k"), F.col("pth").alias("th"),
-        F.substring("text", F.lit(1), F.floor(F.col("pn") / 3).cast("int")).alias("head"),
-        F.transform(hashes(F.col("found")), lambda h: (h - (1 << 31)).cast("int")).alias("next"))
+        F.substring("text", F.lit(1), F.floor(F.col("pn") / 3).cast("int")).alias("head"), own.alias("found")).select(
+        "k", "th", "head", F.transform(hashes(F.col("found")), lambda h: (h - (1 << 31)).cast("int")).alias("next"))
     both = whole.join(sent, ["k", "th"]).withColumn("n", size).withColumn(
         "edited", F.concat(F.substring("text", F.lit(1), (F.col("n") - F.floor(F.col("n") / 3)).cast("int")), "head"))
-    both = both.select("k", "rows", "n", "found", "next", F.sha2(F.col("edited").cast("binary"), 256).alias("sha"),
+    both = both.select("k", "rows", "n", own.alias("found"), "next", F.sha2(F.col("edited").cast("binary"), 256).alias("sha"),
                        marks(F.col("edited"), gram, window).alias("changed"))
     both = both.select("*", hashes(F.col("found")).alias("own"), hashes(F.col("changed")).alias("other"))
     out = both.select(
