@@ -267,6 +267,18 @@ def p10_fuzzy_value(t: Tables):
         "p_partkey", "p_name")
 
 
+# Text fields whose tokens keep their case.
+@query("SELECT p_partkey, p_name FROM part WHERE len(list_filter(string_split(upper(p_name), ' '), "
+       "lambda x: x = 'RING' OR starts_with(x, 'BL') OR x LIKE '%EE_')) > 0")
+def p2_p7_p8_case_insensitive(t: Tables):
+    docs = t.part.select("p_partkey", F.upper("p_name").alias("p_name"))
+    q = Fields(docs, text={"p_name": "whitespace"})
+    lower = docs.where(q.bool(should=[
+        q.term("p_name", "ring", case_insensitive=True), q.prefix("p_name", "bl", case_insensitive=True),
+        q.wildcard("p_name", "*ee?", case_insensitive=True)]))
+    return lower.select("p_partkey", F.lower("p_name").alias("p_name"))
+
+
 # -- geo ------------------------------------------------------------------------------
 _LAT, _LON = "(c_custkey * 37 % 180) - 90", "(c_custkey * 73 % 360) - 180"
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.catalog.registry import Catalog, Tables
@@ -71,12 +71,12 @@ def w1_generated_ids(t: Tables):
 
 
 @query("""
-SELECT c_custkey, c_name FROM customer
+SELECT * FROM customer
 WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 450000)""")
 def w2_delete_by_ids(t: Tables):
     ids = t.orders.where(Fields(t.orders).range("o_totalprice", gt=450000))
     return mutate.delete_by_ids(
-        t.customer.select("c_custkey", "c_name"),
+        t.customer,
         ids.select(F.col("o_custkey").alias("c_custkey")), key="c_custkey")
 
 
@@ -118,7 +118,7 @@ def w3_mixed_batch(t: Tables):
 def w3_mixed_batch_stored(t: Tables):
     """The same batch on a stored collection: a new snapshot, then read back."""
     table = SnapshotTable.create(t.customer, key="c_custkey", buckets=4)
-    table.apply(_ops(t).where(F.col("op").isin("index", "delete")))
+    table.apply(_ops(t))
     return table.read()
 
 
@@ -161,7 +161,8 @@ def w5_delete_by_query(t: Tables):
 WITH p AS (SELECT o_custkey, max(o_orderpriority) AS last_priority,
   arg_max(o_orderpriority, o_orderkey) FILTER (WHERE o_orderstatus <> 'O') AS seg,
   arg_max(o_totalprice, o_orderkey) AS bal FROM orders GROUP BY 1)
-SELECT c_custkey, c_name, coalesce(bal, c_acctbal) AS c_acctbal, coalesce(seg, c_mktsegment) AS c_mktsegment
+SELECT c_custkey, c_name, c_nationkey, coalesce(bal, c_acctbal) AS c_acctbal,
+  coalesce(seg, c_mktsegment) AS c_mktsegment
 FROM customer LEFT JOIN p ON o_custkey = c_custkey""")
 def w6_merge_fields(t: Tables):
     """Several patches per key: the last value given for each field is kept."""
@@ -169,8 +170,7 @@ def w6_merge_fields(t: Tables):
         F.col("o_custkey").alias("c_custkey"), "o_orderkey",
         F.col("o_totalprice").alias("c_acctbal"),
         F.when(F.col("o_orderstatus") != "O", F.col("o_orderpriority")).alias("c_mktsegment"))
-    target = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    return mutate.merge_fields(target, patch, key="c_custkey", seq="o_orderkey")
+    return mutate.merge_fields(t.customer, patch, key="c_custkey", seq="o_orderkey")
 
 
 @query(f"""
@@ -180,36 +180,151 @@ def w6_unmatched(t: Tables):
 
 
 @query("""
-SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
   CASE WHEN c_custkey % 3 = 0 THEN 'merged' ELSE c_mktsegment END AS c_mktsegment
 FROM customer WHERE c_custkey % 5 <> 0""")
 def w4_w5_w6_stored(t: Tables):
     """Update, delete and merge on a stored collection, one snapshot each."""
-    stored = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    table = SnapshotTable.create(stored, key="c_custkey", buckets=4)
+    table = SnapshotTable.create(t.customer, key="c_custkey", buckets=4)
     table.update_where(F.col("c_custkey") % 2 == 0, {"c_acctbal": F.col("c_acctbal") + 1})
     table.delete_where(F.col("c_custkey") % 5 == 0)
     table.merge(t.customer.where(F.col("c_custkey") % 3 == 0).select(
-        "c_custkey", F.lit("merged").alias("c_mktsegment")))
+        "c_custkey", F.lit("merged").alias("c_mktsegment")), missing="skip")
     return table.read()
 
 
 @query("""
-SELECT event_id, ts, user_id, event_type, value FROM (SELECT *, row_number() OVER
+SELECT event_id, ts, user_id, event_type, value, props FROM (SELECT *, row_number() OVER
   (PARTITION BY user_id ORDER BY event_id DESC) AS place FROM events)
 WHERE place = 1 AND event_type <> 'error'""")
 def w7_upsert_stream(t: Tables):
     """Events streamed into a keyed collection; an error event deletes its user."""
+    return upserts.live(_streamed(t, F.col("user_id"), 4)[0])
+
+
+def _streamed(t: Tables, user: Column, files: int) -> tuple[SnapshotTable, str]:
+    """A collection kept from a stream of ``files`` batches, each with every ``files``-th event:
+    all but the first come late for some users."""
     folder = f"{shared_folder(t.spark)}/streams/{uuid4().hex}"
-    files = (t.spark.readStream.schema(t.events.schema)
-             .option("pathGlobFilter", "events.parquet").parquet(t.folder))
-    changes = files.drop("props").withColumns({
+    events = t.events.withColumn("user_id", user)
+    for i in range(files):
+        events.where(F.col("event_id") % files == (i * 3 + 1) % files).coalesce(1).write.mode(
+            "append").parquet(f"{folder}/events")
+    stream = (t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+              .parquet(f"{folder}/events"))
+    changes = stream.withColumns({
         "op": F.when(F.col("event_type") == "error", "delete").otherwise("index"),
         "seq": F.col("event_id")})
     table = upserts.open_table(changes, f"{folder}/table", "user_id", "seq", "op", buckets=4)
-    upserts.upsert_stream(changes, table, key="user_id", seq="seq", op="op", every=None,
-                          checkpoint=f"{folder}/checkpoint").awaitTermination()
-    return upserts.live(table)
+    for run in ("once", "again"):  # the second run repeats every batch
+        upserts.upsert_stream(changes, table, key="user_id", seq="seq", op="op", every=None,
+                              checkpoint=f"{folder}/{run}").awaitTermination()
+    return table, folder
+
+
+@query("""
+SELECT event_id, ts, user_id, event_type, value, props FROM (SELECT *, row_number() OVER
+  (PARTITION BY user_id ORDER BY event_id DESC) AS place FROM events)
+WHERE place = 1 AND event_type <> 'error'""")
+def w7_compacted_stream(t: Tables):
+    """The same after the changes are merged into the collection."""
+    table, _ = _streamed(t, F.col("user_id"), 4)
+    upserts.compact(table)
+    return table.read().where(~F.col(upserts.GONE)).drop(upserts.SEQ, upserts.GONE)
+
+
+@query("""
+SELECT (SELECT count(*) FROM events WHERE user_id % 3 = 0 AND event_type <> 'error') + (SELECT count(*) FROM (
+  SELECT event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS place
+  FROM events WHERE user_id % 3 <> 0) WHERE place = 1 AND event_type <> 'error') AS docs,
+  (SELECT count(*) FROM events WHERE user_id % 3 = 0 AND event_type <> 'error') + (SELECT count(*) FROM (
+  SELECT event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS place
+  FROM events WHERE user_id % 3 <> 0) WHERE place = 1 AND event_type <> 'error') AS ids""")
+def w7_stream_without_ids(t: Tables):
+    """Events of every third user have no key: each is a document of its own."""
+    user = F.when(F.col("user_id") % 3 != 0, F.col("user_id").cast("string"))
+    return metrics(upserts.live(_streamed(t, user, 4)[0]), {
+        "docs": F.count(F.lit(1)), "ids": F.count_distinct("user_id")})
+
+
+# A third of a batch has no id; the rest repeats ids.
+_LOOSE = """
+SELECT CASE WHEN event_id % 3 <> 0 THEN 'c' || user_id END AS _id, event_id AS seq,
+  CASE WHEN event_type = 'error' THEN 'delete' ELSE 'index' END AS op, event_type AS c_name FROM events"""
+
+
+def _loose(t: Tables) -> DataFrame:
+    return t.events.select(
+        F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("c"), "user_id")).alias("_id"),
+        F.col("event_id").alias("seq"),
+        F.when(F.col("event_type") == "error", "delete").otherwise("index").alias("op"),
+        F.col("event_type").alias("c_name"))
+
+
+def _named(t: Tables) -> DataFrame:
+    return t.customer.select(F.concat(F.lit("c"), "c_custkey").alias("_id"), "c_name")
+
+
+_COUNTED = "SELECT c_name, count(*) AS docs, count(DISTINCT _id) AS ids FROM d GROUP BY 1"
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    return docs.groupBy("c_name").agg(F.count(F.lit(1)).alias("docs"),
+                                      F.count_distinct("_id").alias("ids"))
+
+
+@query(f"""
+WITH o AS ({_LOOSE}), l AS (SELECT coalesce(_id, 'new' || seq) AS _id, c_name, row_number() OVER (
+  PARTITION BY coalesce(_id, 'new' || seq) ORDER BY seq DESC) AS place FROM o),
+d AS (SELECT _id, c_name FROM l WHERE place = 1 UNION ALL SELECT 'c' || c_custkey, c_name FROM customer
+  WHERE 'c' || c_custkey NOT IN (SELECT _id FROM l)) {_COUNTED}""")
+def w1_upsert_without_ids(t: Tables):
+    return _counted(mutate.upsert(_named(t), _loose(t).drop("op"), seq="seq"))
+
+
+_MIXED = f"""
+WITH o AS ({_LOOSE}), l AS (SELECT coalesce(_id, 'new' || seq) AS _id, op, c_name, row_number() OVER (
+  PARTITION BY coalesce(_id, 'new' || seq) ORDER BY seq DESC) AS place FROM o),
+d AS (SELECT _id, c_name FROM l WHERE place = 1 AND op = 'index' UNION ALL SELECT 'c' || c_custkey, c_name
+  FROM customer WHERE 'c' || c_custkey NOT IN (SELECT _id FROM l)) {_COUNTED}"""
+
+
+@query(_MIXED)
+def w3_without_ids(t: Tables):
+    return _counted(mutate.apply_ops(_named(t), _loose(t)))
+
+
+@query(_MIXED)
+def w3_without_ids_stored(t: Tables):
+    table = SnapshotTable.create(_named(t), buckets=4)
+    table.apply(_loose(t))
+    return _counted(table.read())
+
+
+@query(f"""
+WITH o AS ({_LOOSE}), b AS (SELECT *, lag(op) OVER (PARTITION BY coalesce(_id, 'new' || seq) ORDER BY seq) AS before FROM o),
+f AS (SELECT *, CASE WHEN before IS NOT NULL THEN before = 'index'
+  ELSE coalesce(_id IN (SELECT 'c' || c_custkey FROM customer), false) END AS found FROM b),
+r AS (SELECT seq, op, _id, CASE WHEN op = 'index' THEN CASE WHEN found THEN 'updated'
+  ELSE 'created' END WHEN found THEN 'deleted' ELSE 'not_found' END AS result FROM f)
+SELECT *, CASE result WHEN 'created' THEN 201 WHEN 'not_found' THEN 404 ELSE 200 END AS status,
+  CAST(NULL AS VARCHAR) AS error FROM r""")
+def w8_without_ids(t: Tables):
+    """One row for each operation, those without an id too."""
+    return mutate.bulk_report(_named(t), _loose(t))
+
+
+@query("""
+WITH p AS (SELECT o_custkey, max(o_orderkey) AS last FROM orders GROUP BY 1)
+SELECT c_custkey, c_name, c_nationkey, CASE WHEN last IS NULL THEN c_acctbal
+  WHEN o_orderstatus <> 'O' THEN o_totalprice END AS c_acctbal, c_mktsegment
+FROM customer LEFT JOIN p ON p.o_custkey = c_custkey LEFT JOIN orders ON o_orderkey = last""")
+def w6_merge_nulls(t: Tables):
+    """A patch whose nulls count: the last order sets the balance or clears it."""
+    patch = t.orders.select(
+        F.col("o_custkey").alias("c_custkey"), "o_orderkey",
+        F.when(F.col("o_orderstatus") != "O", F.col("o_totalprice")).alias("c_acctbal"))
+    return mutate.merge_fields(t.customer, patch, key="c_custkey", seq="o_orderkey", nulls=True)
 
 
 _REPORT = f"""
@@ -362,8 +477,9 @@ def m5_failed_migration(t: Tables):
 
 @query("""
 SELECT 'm1' AS migration_id, 'migrate' AS action, true AS success, 2::BIGINT AS version,
-  1::BIGINT AS backup_version, count(p_partkey) AS docs FROM part
-UNION ALL SELECT 'm1', 'rollback', true, 3, 1, count(p_partkey) FROM part""")
+  1::BIGINT AS backup_version, CAST(NULL AS VARCHAR) AS error, 'p_brand deleted,p_note added,p_size modified,p_type deleted' AS changes,
+  count(p_partkey) AS docs FROM part
+UNION ALL SELECT 'm1', 'rollback', true, 3, 1, NULL, '', count(p_partkey) FROM part""")
 def m7_history(t: Tables):
     """The history, with the number of documents at each of its versions."""
     table = _part_table(t)
@@ -375,7 +491,10 @@ def m7_history(t: Tables):
     counts = docs[0].unionByName(docs[1]).groupBy("version").agg(
         F.count("p_partkey").alias("docs"))
     return migration.history(table).select(
-        "migration_id", "action", "success", "version", "backup_version").join(counts, "version")
+        "migration_id", "action", "success", "version", "backup_version", "error",
+        F.array_join(F.array_sort(F.transform(
+            "changes", lambda c: F.concat(c["field"], F.lit(" "), c["change"]))), ",").alias("changes")).join(
+        counts, "version")
 
 
 @query("""

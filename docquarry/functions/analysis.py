@@ -57,6 +57,11 @@ class Analyzer:
     def with_stop_words(self, words: Iterable[str] = ENGLISH_STOP_WORDS) -> Analyzer:
         return replace(self, stop_words=frozenset(words))
 
+    def lowered(self) -> Analyzer:
+        """The same rule over lower-cased text, for comparing without regard to case."""
+        return self if self.lowercase else replace(
+            self, lowercase=True, stop_words=frozenset(w.lower() for w in self.stop_words))
+
     # -- column side -----------------------------------------------------
     def text(self, col: Column) -> Column:
         return F.lower(col) if self.lowercase else col

@@ -17,38 +17,42 @@ def _column(value: str | Column, missing: Any = None) -> Column:
     return col if missing is None else F.coalesce(col, F.lit(missing))
 
 
+def _values(value: str | Column, missing: Any) -> Column:
+    """The values of a multi-valued field; a document without any has ``missing``."""
+    found = F.array_compact(F.col(value) if isinstance(value, str) else value)
+    if missing is None:
+        return found
+    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit(missing)))
+
+
 def _sum_of(array: Column) -> Column:
-    return F.aggregate(F.array_compact(array), F.lit(0.0), lambda s, x: s + x)
+    return F.aggregate(array, F.lit(0.0), lambda s, x: s + x)
 
 
 def avg(value: str | Column, missing: Any = None, many: bool = False) -> Column:
-    col = _column(value, missing)
     if many:
-        return F.sum(_sum_of(col)) / F.sum(F.size(F.array_compact(col)))
-    return F.avg(col)
+        found = _values(value, missing)
+        return F.try_divide(F.sum(_sum_of(found)), F.sum(F.size(found)))
+    return F.avg(_column(value, missing))
 
 
 def sum(value: str | Column, missing: Any = None, many: bool = False) -> Column:
-    col = _column(value, missing)
-    return F.sum(_sum_of(col) if many else col)
+    return F.sum(_sum_of(_values(value, missing)) if many else _column(value, missing))
 
 
 def min(value: str | Column, missing: Any = None, many: bool = False) -> Column:
-    col = _column(value, missing)
-    return F.min(F.array_min(col) if many else col)
+    return F.min(F.array_min(_values(value, missing)) if many else _column(value, missing))
 
 
 def max(value: str | Column, missing: Any = None, many: bool = False) -> Column:
-    col = _column(value, missing)
-    return F.max(F.array_max(col) if many else col)
+    return F.max(F.array_max(_values(value, missing)) if many else _column(value, missing))
 
 
 def value_count(value: str | Column, missing: Any = None, many: bool = False) -> Column:
     """Number of values, not of documents."""
-    col = _column(value, missing)
     if many:
-        return F.coalesce(F.sum(F.size(F.array_compact(col))), F.lit(0)).cast("long")
-    return F.count(col)
+        return F.coalesce(F.sum(F.size(_values(value, missing))), F.lit(0)).cast("long")
+    return F.count(_column(value, missing))
 
 
 def stats(value: str | Column, missing: Any = None) -> Column:

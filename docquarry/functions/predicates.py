@@ -201,7 +201,9 @@ class Fields(FieldScope):
     def term(self, field: str, value: Any, *, case_insensitive: bool = False) -> Column:
         ref = self.field(field)
         if ref.analyzer is not None:
-            return _any_word(ref, [str(value).lower() if case_insensitive else str(value)])
+            if case_insensitive:
+                return ref.any_value(lambda c: ref.analyzer.lowered().has_any(c, [str(value).lower()]))
+            return _any_word(ref, [str(value)])
         if case_insensitive:
             if not isinstance(ref.dtype, T.StringType):
                 raise TypeError(f"{field!r} is not a string field")
@@ -299,7 +301,7 @@ class Fields(FieldScope):
             if not ref.analyzer.whole and not all(map(ref.analyzer.is_inside, value)):
                 return F.lit(_NOTHING)
             body = f"{quote(value)}{ref.analyzer.any_char()}*"
-            return self._token_pattern(ref, body, value)
+            return self._token_pattern(ref, body, value, case_insensitive)
         value = ref.query(value)
         if case_insensitive:
             return ref.any_value(lambda c: F.lower(c).startswith(value.lower()))
@@ -320,7 +322,7 @@ class Fields(FieldScope):
                     body += quote(text)
                 else:
                     body += any_char + ("*" if kind == "run" else "")
-            return self._token_pattern(ref, body)
+            return self._token_pattern(ref, body, "", case_insensitive)
         like = "".join({"run": "%", "one": "_"}.get(kind) or _like_escape(ref.query(text))
                        for kind, text in parts)
         if case_insensitive:
@@ -337,8 +339,9 @@ class Fields(FieldScope):
                 lambda c: F.exists(ref.analyzer.tokens(c), lambda t: t.rlike(whole)))
         return ref.any_value(lambda c: c.rlike(whole))
 
-    def _token_pattern(self, ref: FieldRef, body: str, hint: str = "") -> Column:
-        rule = ref.analyzer
+    def _token_pattern(self, ref: FieldRef, body: str, hint: str = "",
+                       lowered: bool = False) -> Column:
+        rule = ref.analyzer.lowered() if lowered else ref.analyzer
         if rule.stop_words:
             whole = rf"(?s)\A(?:{body})\z"
             return ref.any_value(lambda c: F.exists(rule.tokens(c), lambda t: t.rlike(whole)))

@@ -14,15 +14,13 @@ from typing import Any
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docquarry.functions.fields import FieldRef, FieldScope
 from docquarry.functions.intervals import Interval
 from docquarry.functions.predicates import all_of
 from docquarry.functions.values import literal
 
-# A kept outer level of at most this many buckets is sent to every executor.
-BROADCAST_BUCKETS = 10_000
-
 
 @dataclass(frozen=True)
 class Terms:
@@ -180,56 +178,28 @@ def nest(df: DataFrame, levels: Sequence[Level], where: Column | None = None) ->
     """Bucket levels inside each other, outermost first.
 
     Each level is one hash aggregation over just the columns it needs, so counts
-    of an outer level are exact whatever the inner one does, and a level reads
-    the collection once.  Outer terms levels keep few buckets, a checked bound:
-    those are broadcast to the rows, which drops rows of other buckets before the
-    inner shuffle and brings the outer columns along.  Other outer levels are
-    joined to the inner one after both are aggregated.
+    of an outer level are exact whatever the inner one does.  A level is joined to
+    those outside it after both are aggregated: what meets is buckets, not documents,
+    and Spark picks the join by their measured size.
     """
     _check_names(levels)
     slots = [_Slot(level, depth) for depth, level in enumerate(levels)]
     rows = _matching(df, where)
-    result, carried, kept = None, False, 1
+    result = None
     for slot in slots:
         parents = [up.key for up in slots[:slot.depth]]
         rows = _with_key(rows, slot, df, parents)
-        owners = result.columns if carried else parents
-        grouped = rows.groupBy(*owners, slot.key).agg(
+        grouped = rows.groupBy(*parents, slot.key).agg(
             F.count(F.lit(1)).alias(slot.count),
             *[slot.level.metrics[n].alias(m) for n, m in slot.measures.items()])
         if result is None:
             result = _shape_outermost(grouped, slot, df, where)
-        elif carried:
-            result = _shape(grouped, slot, parents)
         elif isinstance(slot.bucket, Ranges):
             result = _shape(result.join(grouped, parents, "left"), slot, parents)
         else:
             result = result.join(_shape(grouped, slot, parents), parents, "left")
-        if slot is not slots[-1]:
-            kept *= _most_buckets(slot.bucket)
-            carried = (carried or slot.depth == 0) and kept <= BROADCAST_BUCKETS
-            if carried:
-                rows = _carry(rows, result.select(*parents, *slot.columns), [*parents, slot.key])
-            else:
-                rows = rows.where(F.col(slot.key).isNotNull())
-    return _label(result, slots)
-
-
-def _carry(rows: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of kept buckets, with the columns of those buckets.
-
-    Null keys meet: they stand for an outer bucket with nothing inside it.
-    """
-    kept = kept.withColumnsRenamed({k: f"{k}_kept" for k in keys})
-    same = all_of([F.col(k).eqNullSafe(F.col(f"{k}_kept")) for k in keys])
-    return rows.join(F.broadcast(kept), same).drop(*[f"{k}_kept" for k in keys])
-
-
-def _most_buckets(bucket: Bucket) -> int:
-    """Upper bound on the buckets a level keeps inside each parent."""
-    if isinstance(bucket, Terms) and bucket.min_doc_count > 0:
-        return bucket.size
-    return BROADCAST_BUCKETS + 1
+        rows = rows.where(F.col(slot.key).isNotNull())
+    return _label(result, slots, FieldScope(df))
 
 
 def _matching(df: DataFrame, where: Column | None) -> DataFrame:
@@ -379,6 +349,26 @@ def _terms_order(slot: _Slot) -> list[Column]:
 _GAP_STEP = 10_000
 
 
+_NEXT = "__following"
+# Seconds of time whose buckets are put in order together.
+_BLOCK = 7 * 86_400
+
+
+def _followed(grouped: DataFrame, key: Column) -> tuple[DataFrame, Column]:
+    """Buckets with the key of the next one, at any number of buckets.
+
+    The next bucket is looked up inside a week.  The last bucket of a week is followed by
+    the first of a later one: one row a week, whatever the interval.
+    """
+    rows = grouped.withColumn("__block", F.floor(F.unix_timestamp(key.cast("timestamp")) / _BLOCK))
+    inside, weeks = Window.partitionBy("__block").orderBy(key), Window.orderBy("__block")
+    firsts = rows.groupBy("__block").agg(F.min(key).alias("__first")).select(
+        "__block", F.lead("__first").over(weeks).alias("__later"))
+    rows = rows.withColumn(_NEXT, F.lead(key).over(inside)).join(firsts, "__block")
+    return (rows.withColumn(_NEXT, F.coalesce(_NEXT, "__later")).drop("__block", "__later"),
+            F.col(_NEXT))
+
+
 def _fill_dates(grouped: DataFrame, slot: _Slot, parents: list[str]) -> DataFrame:
     """Each bucket also writes the empty buckets up to the next one.
 
@@ -386,6 +376,9 @@ def _fill_dates(grouped: DataFrame, slot: _Slot, parents: list[str]) -> DataFram
     """
     bucket, key = slot.bucket, F.col(slot.key)
     inside = Window.partitionBy(*parents).orderBy(key.asc_nulls_last())
+    upcoming = F.lead(key).over(inside)
+    if bucket.min_doc_count == 0 and not parents:
+        grouped, upcoming = _followed(grouped, key)
     if bucket.min_doc_count > 0:
         alive = key.isNotNull() & (F.col(slot.count) >= bucket.min_doc_count)
         if not parents:
@@ -396,8 +389,8 @@ def _fill_dates(grouped: DataFrame, slot: _Slot, parents: list[str]) -> DataFram
                 .withColumns({slot.key: F.when(alive, key), **slot.blank_unless(alive)}))
     n, chunk, last = F.col("__n"), F.col("__chunk"), F.col("__last")
     # Buckets from this one up to the next, less one.
-    following = bucket.interval.steps(key, F.lead(key).over(inside)) - 1
-    columns = grouped.columns
+    following = bucket.interval.steps(key, upcoming) - 1
+    columns = [c for c in grouped.columns if c != _NEXT]
     rows = grouped.withColumns({
         "__last": F.coalesce(following, F.lit(0)).cast("long"),
         **({"__place": F.row_number().over(inside)} if parents else {})})
@@ -436,20 +429,23 @@ def _range_counts(rows: DataFrame, bucket: Ranges) -> DataFrame:
     """Counts of all ranges in one pass, one row per range."""
     tests = _range_tests(FieldScope(rows).field(bucket.field), bucket)
     counts = rows.agg(*[F.count_if(t).alias(f"c{i}") for i, t in enumerate(tests)])
+    ends = _ends(bucket, FieldScope(rows).field(bucket.field).dtype)
     return counts.select(F.explode(F.array(*[
-        F.struct(F.lit(k).alias("key"),
-                 F.lit(_bound(r, "from")).cast("double").alias("from"),
-                 F.lit(_bound(r, "to")).cast("double").alias("to"),
-                 F.col(f"c{i}").alias("doc_count"))
-        for i, (k, r) in enumerate(zip(bucket.keys(), bucket.ranges))])).alias("r")).select("r.*")
+        F.struct(F.lit(k).alias("key"), low.alias("from"), high.alias("to"), F.col(f"c{i}").alias("doc_count"))
+        for i, (k, (low, high)) in enumerate(zip(bucket.keys(), ends))])).alias("r")).select("r.*")
+
 
+def _ends(bucket: Ranges, dtype: T.DataType) -> list[tuple[Column, Column]]:
+    """Both bounds of each range: numbers as doubles, others in the field's own type."""
+    given = [r[side] for r in bucket.ranges for side in ("from", "to") if r.get(side) is not None]
+    kind = T.DoubleType() if all(isinstance(v, (int, float)) for v in given) else dtype
 
-def _bound(r: Mapping[str, Any], side: str) -> float | None:
-    value = r.get(side)
-    return float(value) if isinstance(value, (int, float)) else None
+    def end(value: Any) -> Column:
+        return (F.lit(None) if value is None else literal(value, kind)).cast(kind)
+    return [(end(r.get("from")), end(r.get("to"))) for r in bucket.ranges]
 
 
-def _label(result: DataFrame, slots: Sequence[_Slot]) -> DataFrame:
+def _label(result: DataFrame, slots: Sequence[_Slot], scope: FieldScope) -> DataFrame:
     """Final column names, and what a key stands for."""
     out: list[Column] = []
     for slot in slots:
@@ -457,10 +453,10 @@ def _label(result: DataFrame, slots: Sequence[_Slot]) -> DataFrame:
         if isinstance(bucket, Ranges):
             out.append(F.get(F.array(*map(F.lit, bucket.keys())), key)
                        .alias(level.name))
-            for side in ("from", "to"):
-                ends = [F.lit(_bound(r, side)).cast("double") for r in bucket.ranges]
+            ends = _ends(bucket, scope.field(bucket.field).dtype)
+            for place, side in enumerate(("from", "to")):
                 name = side if level.name == _ONLY else f"{level.name}_{side}"
-                out.append(F.get(F.array(*ends), key).alias(name))
+                out.append(F.get(F.array(*[e[place] for e in ends]), key).alias(name))
         else:
             out.append(key.alias(level.name))
         if isinstance(bucket, DateHistogram) and bucket.format:

@@ -22,16 +22,24 @@ INDEX, DELETE = "index", "delete"
 
 # -- whole documents -----------------------------------------------------------
 def last_per_key(ops: DataFrame, key: str, seq: str) -> DataFrame:
-    """The row with the highest ``seq`` of every key.
+    """The row with the highest ``seq`` of every key; rows without a key are all kept.
 
-    A maximum over structs is combined inside the map tasks, so a key that holds
-    a large share of the rows sends one row per task to its reducer.
+    Only key and order are aggregated, by hashing and combined inside the map tasks; the
+    documents are then picked by a join on both.  Where several rows of a key share the
+    highest order, the greatest of them counts.
     """
-    rest = [c for c in ops.columns if c not in (key, seq)]
-    last = F.max(F.struct(seq, *rest)).alias("__last")
-    return ops.groupBy(key).agg(last).select(
-        key, *[F.col("__last").getField(c).alias(c) for c in ops.columns if c != key]
-    ).select(*ops.columns)
+    given = ops.where(F.col(key).isNotNull())
+    last = (given.groupBy(key, seq).agg(F.count(F.lit(1)).alias("__n")).groupBy(key)
+            .agg(F.max(seq).alias("__seq"), F.max_by("__n", seq).alias("__n"))
+            .withColumnRenamed(key, "__key"))
+    same = (F.col(key) == F.col("__key")) & F.col(seq).eqNullSafe(F.col("__seq"))
+    single = given.join(last.where("__n = 1"), same, "left_semi")
+    tied = given.join(last.where("__n > 1"), same, "left_semi")
+    rest = [c for c in ops.columns if c != key]
+    tied = tied.groupBy(key).agg(F.max(F.struct(*rest)).alias("__last")).select(
+        key, *[F.col("__last").getField(c).alias(c) for c in rest])
+    return (single.unionByName(tied.select(*ops.columns))
+            .unionByName(ops.where(F.col(key).isNull())))
 
 
 def with_ids(df: DataFrame, key: str = ID) -> DataFrame:
@@ -46,11 +54,11 @@ def upsert(target: DataFrame, source: DataFrame, key: str = ID, seq: str | None
     """Replace or create whole documents.
 
     Fields a source row lacks become null.  With ``seq`` the last source row per
-    key wins; without it the source has to hold each key once.  ``allow_new``
-    lets the source add columns.
+    key wins; without it a source that repeats a key fails.  Rows without a key are
+    documents of their own, and get an id if ids are strings.  ``allow_new`` lets the
+    source add columns.
     """
-    if seq is not None:
-        source = last_per_key(source, key, seq).drop(seq)
+    source = last_per_key(source, key, seq).drop(seq) if seq is not None else _unrepeated(source, key)
     if isinstance(target.schema[key].dataType, T.StringType):
         source = with_ids(source, key)
     extra = [c for c in source.columns if c not in target.columns]
@@ -60,6 +68,16 @@ def upsert(target: DataFrame, source: DataFrame, key: str = ID, seq: str | None
     return kept.unionByName(_typed_like(source, target), allowMissingColumns=True)
 
 
+def _unrepeated(source: DataFrame, key: str) -> DataFrame:
+    """The rows; reading them fails if a key is there twice."""
+    if key not in source.columns:
+        return source
+    most = (source.where(F.col(key).isNotNull()).groupBy(key).count()
+            .agg(F.coalesce(F.max("count"), F.lit(0)).alias("n")).select("n"))
+    return source.where(F.assert_true(
+        most.scalar() <= 1, "a key is given twice: name the column that orders its rows").isNull())
+
+
 def _typed_like(source: DataFrame, target: DataFrame) -> DataFrame:
     known = {f.name: f.dataType for f in target.schema.fields}
     return source.select(*[F.col(c).cast(known[c]).alias(c) if c in known else F.col(c)
@@ -77,17 +95,21 @@ def apply_ops(target: DataFrame, ops: DataFrame, key: str = ID, seq: str = "seq"
               op: str = "op") -> DataFrame:
     """Apply a mixed batch of index and delete operations; the last one per key wins.
 
-    Other operations have no effect; :func:`bulk_report` lists them as errors.
+    Other operations have no effect; :func:`bulk_report` lists them as errors.  A document
+    without a key is a new one, and gets an id if ids are strings.
     """
     last = last_per_key(ops.where(F.col(op).isin(INDEX, DELETE)), key, seq)
     kept = target.join(last.select(key), key, "left_anti").select(*target.columns)
     added = last.where(F.col(op) == INDEX).drop(op, seq)
+    if isinstance(target.schema[key].dataType, T.StringType):
+        added = with_ids(added, key)
     return kept.unionByName(_typed_like(added, target), allowMissingColumns=True)
 
 
 # -- parts of documents ----------------------------------------------------------
-def update_by_query(df: DataFrame, where: Column, updates: Mapping[str, Any]) -> DataFrame:
-    """Set fields on the rows that match.
+def update_by_query(df: DataFrame, where: Column, updates: Mapping[str, Any],
+                    key: str = ID) -> DataFrame:
+    """Set fields on the rows that match; the key can't be changed.
 
     A mapping value sets members of an object, a dotted name sets one member, and
     an array field is replaced as a whole.  Values are literals or Columns.
@@ -96,6 +118,8 @@ def update_by_query(df: DataFrame, where: Column, updates: Mapping[str, Any]) ->
     columns: dict[str, Column] = {}
     for path, value in updates.items():
         name, _, inner = path.partition(".")
+        if name == key:
+            raise ValueError(f"the key {key!r} can't be updated")
         if name not in schema.fieldNames():
             raise ValueError(f"unknown field {name!r}")
         dtype = schema[name].dataType
@@ -134,28 +158,34 @@ def delete_by_query(df: DataFrame, where: Column) -> DataFrame:
 
 
 def merge_fields(target: DataFrame, patch: DataFrame, key: str = ID,
-                 seq: str | None = None) -> DataFrame:
-    """Merge the non-null fields of ``patch`` into existing rows.
+                 seq: str | None = None, nulls: bool = False) -> DataFrame:
+    """Merge the fields of ``patch`` into existing rows.
 
     Objects merge member by member.  With ``seq`` several patches of one key are
     applied in order, without it the greatest value of each field counts; either
-    way a row of the target stays one row.  Ids absent from the target are given
-    by :func:`unmatched`.
+    way a row of the target stays one row.  A null leaves a field as it is, or with
+    ``nulls`` clears it, as every column of the patch then counts as given.  Ids absent
+    from the target are given by :func:`unmatched`.
     """
     fields = [c for c in patch.columns if c not in (key, seq)]
 
     def last(c: str) -> Column:
         order = [F.col(seq)] if seq is not None else []
-        given = F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("value")))
-        return F.max(given).getField("value").alias(c)
+        given = F.struct(*order, F.col(c).alias("value"))
+        return F.max(given if nulls else F.when(F.col(c).isNotNull(), given)).getField("value").alias(c)
 
     # Combined inside the map tasks; the join reuses the partitioning by key.
-    patch = patch.groupBy(key).agg(*map(last, fields))
+    patch = patch.where(F.col(key).isNotNull()).groupBy(key).agg(*map(last, fields))
     patch = patch.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__new_{c}") for c in fields])
     joined = target.join(patch, F.col(key) == F.col("__key"), "left")
-    return joined.select(*[
-        _overlay(F.col(f"`{f.name}`"), F.col(f"`__new_{f.name}`"), f.dataType).alias(f.name)
-        if f.name in fields else F.col(f"`{f.name}`") for f in target.schema.fields])
+
+    def merged(f: T.StructField) -> Column:
+        old, new = F.col(f"`{f.name}`"), F.col(f"`__new_{f.name}`")
+        kept = _overlay(old, new, f.dataType)
+        return F.when(F.col("__key").isNotNull() & new.isNull(), F.lit(None).cast(f.dataType)).otherwise(
+            kept) if nulls else kept
+    return joined.select(*[merged(f).alias(f.name) if f.name in fields else F.col(f"`{f.name}`")
+                           for f in target.schema.fields])
 
 
 def _overlay(old: Column, new: Column, dtype: T.DataType) -> Column:
@@ -167,8 +197,11 @@ def _overlay(old: Column, new: Column, dtype: T.DataType) -> Column:
 
 
 def unmatched(target: DataFrame, patch: DataFrame, key: str = ID) -> DataFrame:
-    """Ids of ``patch`` that the target does not hold."""
-    return patch.select(key).distinct().join(target.select(key), key, "left_anti")
+    """Ids of ``patch`` that the target does not hold; a null id is one of them."""
+    asked = patch.select(key).distinct()
+    met = target.select(F.col(key).alias("__key")).join(
+        asked, F.col("__key") == F.col(key), "left_semi").distinct()
+    return asked.join(met, F.col(key) == F.col("__key"), "left_anti")
 
 
 # -- report ------------------------------------------------------------------------
@@ -181,17 +214,17 @@ def bulk_report(target: DataFrame, ops: DataFrame, key: str = ID, seq: str = "se
     """Outcome of every operation, in the order given by ``seq``.
 
     Columns: seq, op, key, result (created, updated, deleted, not_found), status,
-    error.  Whether an operation finds its document depends on the one before it
+    error.  Each operation has one row, those without a key too.  Whether an operation finds its document depends on the one before it
     on the same key.  The batch is cut into pieces by quantiles of ``seq``, and a
     key is looked at one piece at a time, so a key with a large share of the
     operations never has to fit one task.
     """
     ops = ops.select(seq, op, key)
-    known = F.col(op).isin(INDEX, DELETE)
+    known, named = F.col(op).isin(INDEX, DELETE), F.col(key).isNotNull()
     steps = [F.lit(i / _SEQ_PIECES) for i in range(1, _SEQ_PIECES)]
-    cuts = ops.where(known).agg(F.approx_percentile(seq, F.array(*steps)).alias("c")).select("c")
+    cuts = ops.where(known & named).agg(F.approx_percentile(seq, F.array(*steps)).alias("c")).select("c")
     # A scalar subquery: at most 99 numbers, whatever the size of the batch.
-    rows = ops.where(known).withColumn("__cuts", cuts.scalar())
+    rows = ops.where(known & named).withColumn("__cuts", cuts.scalar())
     rows = rows.withColumn("__piece", F.size(F.filter("__cuts", lambda c: c < F.col(seq))))
     rows = rows.drop("__cuts")
     in_order = Window.partitionBy(key, "__piece").orderBy(seq)
@@ -215,7 +248,12 @@ def bulk_report(target: DataFrame, ops: DataFrame, key: str = ID, seq: str = "se
     bad = ops.where(~holds(known)).select(
         seq, op, key, F.lit(None).cast("string").alias("result"), F.lit(400).alias("status"),
         F.lit("unknown operation").alias("error"))
-    return done.unionByName(bad)
+    # Without a key, an index operation makes a document of its own and a delete finds none.
+    new = F.col(op) == INDEX
+    loose = ops.where(known & ~named).select(
+        seq, op, key, F.when(new, "created").otherwise("not_found").alias("result"),
+        F.when(new, 201).otherwise(404).alias("status"), F.lit(None).cast("string").alias("error"))
+    return done.unionByName(loose).unionByName(bad)
 
 
 def bulk_summary(report: DataFrame) -> DataFrame:

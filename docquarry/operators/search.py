@@ -15,8 +15,6 @@ from docquarry.functions.fields import FieldScope
 from docquarry.functions.predicates import all_of, any_of
 
 ID = "_id"
-# Largest capped count read by early stopping; above it a full count is cheaper.
-EARLY_STOP_LIMIT = 100_000
 
 
 @dataclass(frozen=True)
@@ -202,19 +200,15 @@ def total_hits(df: DataFrame, where: Column | None = None,
                track: bool | int = True) -> DataFrame:
     """Hit total as ``(value, relation)``; a number ``track`` caps the count.
 
-    A small cap is answered by ``take``, which scans partitions in growing steps
-    and stops once the cap is passed, holding at most ``track + 1`` empty rows.
-    A large cap is a plain count, which every task pre-aggregates.
+    ``False`` asks for no total: one row of nulls, and nothing is read.  All others are
+    one lazy aggregate that every task pre-aggregates.
     """
+    if track is False:
+        return df.sparkSession.range(1).select(F.lit(None).cast("long").alias("value"),
+                                               F.lit(None).cast("string").alias("relation"))
     hits = df if where is None else df.where(where)
     if track is True:
         return hits.agg(F.count(F.lit(1)).alias("value")).withColumn("relation", F.lit("eq"))
-    if track is False:
-        raise ValueError("no total is tracked")
-    if track <= EARLY_STOP_LIMIT:
-        seen = len(hits.select(F.lit(1)).take(track + 1))
-        return df.sparkSession.createDataFrame(
-            [(min(seen, track), "gte" if seen > track else "eq")], "value long, relation string")
     found = F.count(F.lit(1))
     return hits.agg(F.least(found, F.lit(track)).alias("value"),
                     F.when(found > track, "gte").otherwise("eq").alias("relation"))

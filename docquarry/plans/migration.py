@@ -16,7 +16,6 @@ from docquarry.sources.schema import (
 from docquarry.sources.snapshots import SnapshotTable
 
 ADDED, MODIFIED, DELETED = "added", "modified", "deleted"
-HISTORY_ROWS = 100
 _HISTORY_ACTIONS = ("migrate", "rollback")
 
 
@@ -209,17 +208,18 @@ def rollback(table: SnapshotTable, migration_id: str) -> int:
                         detail={"id": migration_id, "backup_version": kept, "changes": []})
 
 
-def history(table: SnapshotTable, limit: int = HISTORY_ROWS) -> DataFrame:
-    """Migrations and rollbacks, newest first."""
+def history(table: SnapshotTable, limit: int | None = None) -> DataFrame:
+    """Migrations and rollbacks, newest first: all, or the last ``limit``."""
     detail = F.from_json("detail", "id string, backup_version long, error string, "
                          "changes array<struct<field:string,change:string,"
                          "old_type:string,new_type:string>>")
-    return (table.log().where(F.col("action").isin(*_HISTORY_ACTIONS))
+    rows = (table.log().where(F.col("action").isin(*_HISTORY_ACTIONS))
             .withColumn("d", detail)
             .select(F.col("d.id").alias("migration_id"), "action",
                     F.col("committed").alias("success"), "version",
                     "d.backup_version", "d.error", "d.changes", "at")
-            .orderBy(F.desc("at"), F.desc("version")).limit(limit))
+            .orderBy(F.desc("at"), F.desc("version")))
+    return rows if limit is None else rows.limit(limit)
 
 
 def _entries(table: SnapshotTable) -> list[dict]:

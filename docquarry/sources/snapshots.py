@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquarry.operators.mutate import (
-    apply_ops, delete_by_ids, delete_by_query, merge_fields, update_by_query, upsert, with_ids)
+    apply_ops, delete_by_ids, delete_by_query, merge_fields, unmatched, update_by_query, upsert,
+    with_ids)
 from docquarry.operators.search import ID, get_by_ids
-from docquarry.session import checkpointed, shared_folder
+from docquarry.session import shared_folder
 
 _BUCKET = "__bucket"
 _LOG = ("version long, parent long, at timestamp, action string, committed boolean, "
@@ -76,7 +77,9 @@ class SnapshotTable:
         """The newest commit, or a given one."""
         try:
             rows = self.log().where("committed")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
         if version is not None:
             rows = rows.where(F.col("version") == version)
@@ -120,6 +123,8 @@ class SnapshotTable:
         path = f"{self.root}/data/{folder}"
         # Rebalancing gathers each bucket into files of the advisory size, splitting large ones.
         rows = df.withColumn(_BUCKET, self._bucket()).hint("rebalance", _BUCKET)
+        # In order of the key, so that a lookup skips row groups.
+        rows = rows.sortWithinPartitions(_BUCKET, self.key)
         rows.write.partitionBy(_BUCKET).parquet(path)
         schema = T.StructType().add(self.key, df.schema[self.key].dataType)
         written = self.spark.read.schema(schema.add(_BUCKET, T.IntegerType())).parquet(path)
@@ -138,32 +143,51 @@ class SnapshotTable:
                            folders=kept + self.write(changed), **log)
 
     def upsert(self, source: DataFrame, seq: str | None = None) -> int:
-        if isinstance(source.schema[self.key].dataType, T.StringType):
-            # A generated id has to be the same when the bucket is found and when it is written.
-            source = checkpointed(with_ids(source, self.key))
+        source = self._with_ids(source)
         with _kept(source) as rows:
             return self.rewrite(rows, lambda now: upsert(now, rows, self.key, seq), "upsert")
 
+    def _with_ids(self, source: DataFrame) -> DataFrame:
+        """Rows with generated ids written down: an id has to be the same when its bucket is
+        found and when it is written."""
+        if not isinstance(source.schema[self.key].dataType, T.StringType):
+            return source
+        path = f"{self.root}/incoming/{uuid4().hex}"
+        with_ids(source, self.key).write.parquet(path)
+        return self.spark.read.schema(source.schema).parquet(path)
+
     def delete(self, ids: DataFrame) -> int:
         with _kept(ids.select(self.key)) as rows:
             return self.rewrite(rows, lambda now: delete_by_ids(now, rows, self.key), "delete")
 
     def apply(self, ops: DataFrame, seq: str = "seq", op: str = "op") -> int:
-        with _kept(ops) as rows:
+        with _kept(self._with_ids(ops)) as rows:
             return self.rewrite(rows, lambda now: apply_ops(now, rows, self.key, seq, op), "apply")
 
     def update_where(self, where: Column, updates: Mapping[str, Any]) -> int:
         """Set fields on the documents that match; other buckets stay as they are."""
+        if any(path.partition(".")[0] == self.key for path in updates):
+            raise ValueError(f"the key {self.key!r} can't be updated")
         return self.rewrite(self.read().where(where),
-                            lambda now: update_by_query(now, where, updates), "update")
+                            lambda now: update_by_query(now, where, updates, self.key), "update")
 
     def delete_where(self, where: Column) -> int:
         return self.rewrite(self.read().where(where),
                             lambda now: delete_by_query(now, where), "delete")
 
-    def merge(self, patch: DataFrame, seq: str | None = None) -> int:
+    def merge(self, patch: DataFrame, seq: str | None = None, nulls: bool = False,
+              missing: str = "error") -> int:
+        """Merge fields into stored documents.
+
+        An id the collection doesn't hold is an error, or passed over with
+        ``missing="skip"``; :func:`~docquarry.operators.mutate.unmatched` lists such ids.
+        """
         with _kept(patch) as rows:
-            return self.rewrite(rows, lambda now: merge_fields(now, rows, self.key, seq), "merge")
+            if missing != "skip":
+                found = unmatched(self.read(), rows, self.key).limit(3).collect()
+                if found:
+                    raise LookupError(f"no documents {[r[0] for r in found]}")
+            return self.rewrite(rows, lambda now: merge_fields(now, rows, self.key, seq, nulls), "merge")
 
     def record(self, action: str, *, schema: T.StructType, folders: tuple[str, ...],
                committed: bool = True, token: str | None = None,
@@ -180,10 +204,6 @@ class SnapshotTable:
          .select(*columns).coalesce(1).write.mode("append").json(f"{self.root}/log"))
         return version
 
-    def has_token(self, token: str) -> bool:
-        """Whether a committed row already carries this token."""
-        return bool(self.log().where(F.col("committed") & (F.col("token") == token)).take(1))
-
     def _buckets_of(self, keys: DataFrame) -> set[int]:
         """Buckets the keys fall into: at most ``buckets`` numbers."""
         return {r[0] for r in keys.select(self._bucket()).distinct().collect()}

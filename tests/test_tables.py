@@ -220,7 +220,21 @@ FINAL = [("1", "a2", 3), ("2", "b3", 9)]
 def test_stream_equals_one_batch_in_any_order(spark, tmp_path, order):
     table = run(spark, tmp_path / "in", [BATCHES[i] for i in order], tmp_path)
     assert rows(u.live(table)) == FINAL
-    assert table.commit().version == 4  # created, then one commit per file
+    assert table.commit().version == 1  # nothing stored is rewritten
+    for i, j in enumerate(order):  # a batch writes its own rows, collapsed by key
+        written = spark.read.parquet(f"{table.root}/changes/stream=s/batch={i}")
+        assert written.count() == len({r[0] for r in BATCHES[j]})
+    assert u.compact(table) == 2 and u.compact(table) == 3
+    assert rows(u.live(table)) == FINAL == rows(table.read().where("NOT _deleted").drop("_deleted", "_seq"))
+
+
+def test_changes_after_a_compaction(spark, tmp_path):
+    table = run(spark, tmp_path / "in", BATCHES[:2], tmp_path)
+    u.compact(table)
+    late = [("3", "late", 1, "index", 1), ("4", "d", 4, "index", 9), (None, "x", 1, "index", 1), (None, "y", 1, "index", 1)]
+    got = rows(u.live(run(spark, tmp_path / "in", [*BATCHES[2:], late], tmp_path)).where("_id in ('1', '2', '3', '4')"))
+    assert got == [*FINAL, ("4", "d", 4)]
+    assert u.live(table).count() == 5 and u.live(table).select("_id").distinct().count() == 5
 
 
 def test_stream_continues_and_repeats_nothing(spark, tmp_path):
@@ -240,3 +254,43 @@ def test_a_repeated_batch_is_skipped(spark, tmp_path):
     u.upsert_stream(stream, table, key="_id", seq="seq", op="op", every=None, name="s",
                     checkpoint=str(tmp_path / "other")).awaitTermination()
     assert table.commit().version == version and rows(u.live(table)) == FINAL
+
+
+# -- refusals ------------------------------------------------------------------------
+def test_repeated_keys_need_an_order(spark):
+    from docquarry.operators import mutate
+    target = spark.createDataFrame([("1", "a")], "_id string, name string")
+    twice = spark.createDataFrame([("2", "b"), ("2", "c")], "_id string, name string")
+    with pytest.raises(Exception, match="given twice"):
+        mutate.upsert(target, twice).collect()
+    ordered = twice.withColumn("n", F.length("name") + F.ascii("name"))
+    assert rows(mutate.upsert(target, ordered, seq="n")) == [("1", "a"), ("2", "c")]
+    loose = spark.createDataFrame([(None, "x"), (None, "y"), (None, "y")], "_id string, name string")
+    got = mutate.upsert(target, loose)
+    assert got.count() == 4 and got.select("_id").distinct().count() == 4
+
+
+def test_the_key_cannot_be_updated(people, spark):
+    from docquarry.operators import mutate
+    with pytest.raises(ValueError, match="key"):
+        people.update_where(F.col("_id") == "1", {"_id": "2"})
+    with pytest.raises(ValueError, match="key"):
+        mutate.update_by_query(people.read(), F.lit(True), {"_id": "2"})
+
+
+def test_merging_into_missing_documents_is_an_error(people, spark):
+    patch = spark.createDataFrame([("1", "changed"), ("nobody", "x")], "_id string, name string")
+    version = people.commit().version
+    with pytest.raises(LookupError, match="nobody"):
+        people.merge(patch)
+    assert people.commit().version == version
+    people.merge(patch, missing="skip")
+    assert people.get(["1"]).first().name == "changed"
+
+
+def test_last_per_key_keeps_one_row_for_equal_order(spark):
+    from docquarry.operators.mutate import last_per_key
+    ops = spark.createDataFrame([("1", "a", 1), ("1", "b", 1), ("1", "b", 1), ("2", "c", 0), (None, "d", 1), (None, "d", 1)],
+                                "_id string, name string, seq int")
+    got = sorted((tuple(r) for r in last_per_key(ops, "_id", "seq").collect()), key=repr)
+    assert got == sorted([("1", "b", 1), ("2", "c", 0), (None, "d", 1), (None, "d", 1)], key=repr)
