@@ -48,9 +48,11 @@ def suffix_order(s: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     one, two = np.arange(1, n, 3), np.arange(2, n, 3)
     sample, base = np.concatenate([one, two]), int(s.max()) + 1
     if base < 1 << 20:
-        names = _named((s[sample] * base + s[sample + 1]) * base + s[sample + 2])
+        key = lambda i: (s[i] * base + s[i + 1]) * base + s[i + 2]
+        names = _named(key(sample))
     else:
-        names = _named(_named(s[sample] * base + s[sample + 1]) * base + s[sample + 2])
+        key = lambda i: s[i] * base + s[i + 1]
+        names = _named(_named(key(sample)) * base + s[sample + 2])
     if depth > 3:
         _, deep = suffix_order(np.r_[names[:len(one)], 0, names[len(one):]], -(-depth // 3) + 1)
         names = np.r_[deep[:len(one)], deep[len(one) + 1:]]
@@ -59,16 +61,14 @@ def suffix_order(s: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     sample = sample[np.argsort(names, kind="stable")]
     rest = np.arange(0, n, 3)
     rest = rest[np.argsort(s[rest] * (n + 2) + rank[rest + 1], kind="stable")]
-    # Where each of the rest goes among the sample: binary search for all of them at once.
-    low, high = np.zeros(len(rest), np.int64), np.full(len(rest), len(sample))
+    # Where each of the rest goes among the sample: among those with the same first items,
+    # by binary search for all at once.
+    low, high = (np.searchsorted(key(sample), key(rest), side) for side in ("left", "right"))
     while (active := np.flatnonzero(low < high)).size:
         middle = (low[active] + high[active]) // 2
         i, j = rest[active], sample[middle]
-        first = np.sign(s[j] - s[i])
-        near = np.sign(rank[j + 1] - rank[i + 1])
-        far = np.sign(s[j + 1] - s[i + 1])
-        far = np.where(far == 0, np.sign(rank[j + 2] - rank[i + 2]), far)
-        less = np.where(first == 0, np.where(j % 3 == 1, near, far), first) < 0
+        shift = np.where(j % 3 == 1, 1, 2)
+        less = rank[j + shift] < rank[i + shift]
         low[active] = np.where(less, middle + 1, low[active])
         high[active] = np.where(less, high[active], middle)
     # Among suffixes that agree in ``depth`` items the comparisons may contradict each other.
@@ -300,7 +300,7 @@ def repeated_strings(docs: DataFrame, n: int, bits: int = WIDTH_BITS) -> DataFra
     each document whose n bytes also start in a document with a smaller id."""
     keys = docs.select("k", "th", "text")
     heavy = sketch(keys, partial(Segments, n), bits)
-    buckets = 4 * partitions(docs.sparkSession)
+    buckets = 8 * partitions(docs.sparkSession)
     sent = keys.mapInArrow(_candidates(heavy, n, bits, buckets), f"bucket int, {_LONG}")
     found = sent.groupBy("bucket").applyInArrow(_resolve(n), _LONG)
     return found.groupBy("k", "th").agg(F.collect_list("runs").alias("runs"))
