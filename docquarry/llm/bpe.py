@@ -16,8 +16,9 @@ from docquarry.llm.common import Hasher, pieces, words_of
 
 #: Words that a rolling hash looks at, and the mean number of words between boundaries.
 ROLL, MEAN = 4, 48
-#: Entries that a task keeps of chunks and of words; a full table is emptied.
-KEPT_CHUNKS, KEPT_WORDS = 60_000, 600_000
+#: Entries that a Python worker keeps of chunks, words and joins, about 150 MB in all; a full
+#: table is emptied.
+KEPT_CHUNKS, KEPT_WORDS, KEPT_JOINS = 16_000, 250_000, 60_000
 #: Punctuation that may close a word.
 CLOSING = b".,!?;:"
 
@@ -130,7 +131,7 @@ class Encoder:
 
     def sound(self, sides: list[tuple[bytes, bytes]]) -> list[bool]:
         """Whether the ids of two neighbouring words also come from encoding both as one."""
-        if len(self.joins) > KEPT_WORDS:
+        if len(self.joins) > KEPT_JOINS:
             self.joins.clear()
         keys = [a + b"\0" + b for a, b in sides]
         new = {k: side for k, side in zip(keys, sides) if k not in self.joins}

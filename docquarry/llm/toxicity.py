@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docquarry.llm.common import Hasher, pieces, stored, words_of
 
@@ -323,21 +324,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", into: str = "score") -> DataFrame:
-    """All columns of the rows, and the score of each whole text (0 to 1); null is empty."""
-    frame = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                        F.col(text_col).alias("text"))
+    """All columns of the rows, and the score of each whole text (0 to 1); null is empty.
+
+    A column that is called like the score is replaced.
+    """
+    frame = docs.drop(into)
+    names = frame.columns
+    at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kernel = Kernel(model.landmarks) if model.landmarks else None
-        for batch in batches:
-            sums = (kernel.documents(batch.column("text")) if kernel
-                    else np.zeros((batch.num_rows, 0)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(np.round(model.score(sums), 12))], ["row", "score"])
+        for whole in batches:
+            for first in range(0, whole.num_rows, 1000):  # what is held twice stays small
+                batch = whole.slice(first, 1000)
+                sums = kernel.documents(batch.column(at)) if kernel else np.zeros((batch.num_rows, 0))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(np.round(model.score(sums), 12))], [*names, into])
 
-    kind = frame.schema["row"].dataType.simpleString()
-    out = frame.mapInArrow(run, f"row {kind}, score double")
-    return out.select("row.*", F.col("score").alias(into))
+    return frame.mapInArrow(run, T.StructType([*frame.schema.fields, T.StructField(into, T.DoubleType())]))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
