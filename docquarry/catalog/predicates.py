@@ -467,3 +467,11 @@ def r3_not_nested(t: Tables):
     q = Fields(docs)
     return _hits(docs, q.bool(must_not=[q.nested("lines", lambda e: e.bool(must=[
         e.range("chars", gt=60), e.range("words", lt=10)]))]))
+
+
+@query("SELECT p_partkey, rpad(p_name, 500, 'x') AS p_name FROM part WHERE damerau_levenshtein(p_name, 'red rign') <= 2")
+def p10_fuzzy_long_value(t: Tables):
+    """Values of 500 characters, as cheap as short ones."""
+    docs = t.part.select("p_partkey", F.rpad("p_name", 500, "x").alias("p_name"))
+    wanted = "red rign".ljust(500, "x")
+    return docs.where(Fields(docs).fuzzy("p_name", wanted, fuzziness=2))

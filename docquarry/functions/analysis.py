@@ -66,13 +66,15 @@ class Analyzer:
     def text(self, col: Column) -> Column:
         return F.lower(col) if self.lowercase else col
 
-    def tokens(self, col: Column) -> Column:
-        """Tokens of a text column, in order, repeats kept."""
+    def tokens(self, col: Column, shortest: int = 1, longest: int | None = None) -> Column:
+        """Tokens of a text column, in order, repeats kept; of certain lengths, if given."""
         if self.whole:
             parts = F.when(col.isNotNull(), F.array(self.text(col)))
         else:
+            pattern = self.inside + "+" if longest is None else (
+                f"(?<!{self.inside}){self.inside}{{{shortest},{longest}}}+(?!{self.inside})")
             # Unlike split, this compiles the pattern once and not for every row.
-            parts = F.regexp_extract_all(self.text(col), F.lit(self.inside + "+"), F.lit(0))
+            parts = F.regexp_extract_all(self.text(col), F.lit(pattern), F.lit(0))
         if self.stop_words:
             stop = sorted(self.stop_words)
             parts = F.filter(parts, lambda t: ~t.isin(stop))

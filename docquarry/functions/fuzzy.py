@@ -1,16 +1,15 @@
-"""Edit-distance matching compiled to one regular expression.
+"""Edit-distance matching of strings of any length.
 
 The distance is optimal string alignment: insert, delete, substitute and swap of
-two neighbours, no part edited twice.  For a literal word and a bound of at most
-two edits, the accepted strings form a small regular language, so the test runs
-as a single ``rlike`` over the raw text: no token array, no per-token lambda.
+two neighbours, no part edited twice.  A swap costs two edits of the plain Levenshtein
+distance at most, so lengths and then ``levenshtein`` at twice the bound leave few
+strings, and only these are aligned.  Without swaps ``levenshtein`` is the distance.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-from docquarry.functions.analysis import quote
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 
 def max_edits(fuzziness: int | str, word: str) -> int:
@@ -28,27 +27,47 @@ def max_edits(fuzziness: int | str, word: str) -> int:
     return edits
 
 
-def edit_regex(word: str, edits: int, any_char: str, prefix_length: int = 0,
-               transpositions: bool = True, min_length: int = 0) -> str:
-    """Regex of the strings within ``edits`` of ``word`` that keep its prefix."""
-    head, tail = word[:prefix_length], word[prefix_length:]
-
-    @lru_cache(maxsize=None)
-    def rest(i: int, budget: int) -> str:
-        if budget == 0:
-            return quote(tail[i:])
-        if i == len(tail):
-            return f"{any_char}{{0,{budget}}}"
-        options = [
-            quote(tail[i]) + rest(i + 1, budget),
-            f"{any_char}?" + rest(i + 1, budget - 1),  # substitute or delete
-            any_char + rest(i, budget - 1),  # insert
-        ]
-        if transpositions and i + 1 < len(tail) and tail[i] != tail[i + 1]:
-            options.append(quote(tail[i + 1] + tail[i]) + rest(i + 2, budget - 1))
-        return f"(?:{'|'.join(options)})"
-
-    low, high = max(len(word) - edits, min_length), len(word) + edits
-    # The length is checked first, so most tokens fail before any alternative runs.
-    bounded = f"(?={any_char}{{{low},{high}}}(?!{any_char}))"
-    return bounded + quote(head) + rest(0, edits)
+def lengths(word: str, edits: int) -> tuple[int, int]:
+    """Shortest and longest string within ``edits`` of ``word``."""
+    return max(len(word) - edits, 1), len(word) + edits
+
+
+def within(value: Column, word: str, edits: int, prefix_length: int = 0,
+           transpositions: bool = True) -> Column:
+    """Whether a string is within ``edits`` of ``word`` and keeps its prefix."""
+    low, high = len(word) - edits, len(word) + edits
+    test = F.length(value).between(low, high)
+    if prefix_length:
+        test &= value.startswith(word[:prefix_length])
+    # A kept prefix is not edited, so what follows it is compared alone.
+    tail = F.substring(value, prefix_length + 1, high) if prefix_length else value
+    rest = word[prefix_length:]
+    if not transpositions:
+        return test & (F.levenshtein(tail, F.lit(rest), edits) >= 0)
+    return test & (F.levenshtein(tail, F.lit(rest), 2 * edits) >= 0) & (_aligned(tail, rest) <= edits)
+
+
+def _aligned(value: Column, word: str) -> Column:
+    """Optimal string alignment distance, row by row of the usual table."""
+    chars = F.array(*map(F.lit, word)) if word else F.array().cast("array<string>")
+    start = F.struct(F.array().cast("array<int>").alias("before"),
+                     F.sequence(F.lit(0), F.lit(len(word))).alias("row"), F.lit("").alias("last"))
+
+    def step(state: Column, char: Column) -> Column:
+        above, before, last = state["row"], state["before"], state["last"]
+
+        def cell(row: Column, j: Column) -> Column:
+            swapped = F.when((j > 1) & (char == F.get(chars, j - 2)) & (last == F.get(chars, j - 1)),
+                             F.get(before, j - 2) + 1)
+            changed = F.get(above, j - 1) + F.when(char == F.get(chars, j - 1), 0).otherwise(1)
+            return F.concat(row, F.array(F.least(
+                F.get(row, j - 1) + 1, F.get(above, j) + 1, changed, swapped)))
+
+        first = F.array(F.get(above, F.lit(0)) + 1)
+        row = F.aggregate(F.sequence(F.lit(1), F.lit(len(word))), first, cell) if word else first
+        return F.struct(above.alias("before"), row.alias("row"), char.alias("last"))
+
+    size = F.length(value)
+    letters = F.when(size > 0, F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(value, i, F.lit(1)))
+                     ).otherwise(F.array().cast("array<string>"))
+    return F.aggregate(letters, start, step, lambda s: F.get(s["row"], F.lit(len(word))))

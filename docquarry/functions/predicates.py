@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from docquarry.functions import geo
 from docquarry.functions.analysis import Analyzer, analyzer as find_analyzer, quote
 from docquarry.functions.fields import FieldRef, FieldScope
-from docquarry.functions.fuzzy import edit_regex, max_edits
+from docquarry.functions.fuzzy import lengths, max_edits, within
 from docquarry.functions.values import Unparsable, literal
 
 _RANGE_KEYS = {"gt", "gte", "lt", "lte"}
@@ -163,38 +163,31 @@ class Fields(FieldScope):
         edits = max_edits(fuzziness, value)
         if edits == 0:
             return ref.any_value(lambda c: c == F.lit(value))
-        body = edit_regex(value, edits, r"[\s\S]", prefix_length, transpositions)
-        head = value[:prefix_length]
-
-        def test(col: Column) -> Column:
-            found = col.rlike(rf"(?s)\A(?:{body})\z")
-            return col.startswith(head) & found if head else found
-
-        return ref.any_value(test)
+        return ref.any_value(lambda c: within(c, value, edits, prefix_length, transpositions))
 
     def _fuzzy_words(self, ref: FieldRef, words: list[str], fuzziness: int | str,
                      prefix_length: int, transpositions: bool) -> Column:
         rule = ref.analyzer
-        exact, bodies = [], []
+        exact, near = [], []
         for word in words:
             edits = max_edits(fuzziness, word)
             if edits == 0:
                 exact.append(word)
             else:
-                # A token has at least one character.
-                bodies.append(edit_regex(word, edits, rule.any_char(), prefix_length,
-                                         transpositions, min_length=1))
+                near.append((word, edits))
         tests = []
         if exact:
             tests.append(ref.any_value(lambda c: rule.has_any(c, exact)))
-        if bodies and rule.stop_words:
-            # A stop word is no token, so it must not count as a near spelling.
-            pattern = rf"\A(?:{'|'.join(bodies)})\z"
+        if near:
+            bounds = [lengths(word, edits) for word, edits in near]
+            shortest, longest = min(b[0] for b in bounds), max(b[1] for b in bounds)
+
+            def close(token: Column) -> Column:
+                return any_of([within(token, word, edits, prefix_length, transpositions)
+                               for word, edits in near])
+
             tests.append(ref.any_value(
-                lambda c: F.exists(rule.tokens(c), lambda t: t.rlike(pattern))))
-        elif bodies:
-            pattern = rule.token_regex("|".join(bodies))
-            tests.append(ref.any_value(lambda c: rule.text(c).rlike(pattern)))
+                lambda c: F.exists(rule.tokens(c, shortest, longest), close)))
         return any_of(tests)
 
     # -- exact values ----------------------------------------------------

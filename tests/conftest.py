@@ -49,20 +49,20 @@ PEOPLE = {
 @pytest.fixture(scope="session")
 def users(spark):
     return spark.createDataFrame([
-        ("1", "user1", "user1@example.com", 25, ("123 Main St", "New York", "USA")),
-        ("2", "user2", "user2@example.com", 30, ("456 Oak Ave", "Los Angeles", "USA")),
-        ("3", "user3", "user3@example.com", 35, ("789 Pine St", "Chicago", "USA")),
+        ("1", "user1", "user1@example.com", 25, ("7 Quay Lane", "New York", "USA")),
+        ("2", "user2", "user2@example.com", 30, ("12 Mill Row", "Los Angeles", "USA")),
+        ("3", "user3", "user3@example.com", 35, ("3 Fern Way", "Chicago", "USA")),
     ], struct_type(USERS))
 
 
 @pytest.fixture(scope="session")
 def people(spark):
     return spark.createDataFrame([
-        ("1", "John Doe", 25, "Software Developer", ["developer", "typescript"],
-         dt.datetime(2024, 1, 1), [("123 Main St", "New York", "USA")]),
-        ("2", "Jane Smith", 30, "Data Scientist", ["data", "python"],
-         dt.datetime(2024, 1, 15), [("456 Park Ave", "Boston", "USA")]),
-        ("3", "Bob Johnson", 35, "DevOps Engineer", ["devops", "kubernetes"],
+        ("1", "Mara Voss", 25, "Software Developer", ["developer", "typescript"],
+         dt.datetime(2024, 1, 1), [("7 Quay Lane", "New York", "USA")]),
+        ("2", "Ilse Brandt", 30, "Data Scientist", ["data", "python"],
+         dt.datetime(2024, 1, 15), [("21 Dove Court", "Boston", "USA")]),
+        ("3", "Teo Marchetti", 35, "DevOps Engineer", ["devops", "kubernetes"],
          dt.datetime(2024, 2, 1), None),
     ], struct_type(PEOPLE))
 

@@ -55,10 +55,10 @@ def test_sales(spark):
 def test_bulk_documents(spark):
     schema = "_id string, name string, age int, description string"
     empty = spark.createDataFrame([], schema)
-    batch = spark.createDataFrame([(None, "John Doe", 25, "Software Developer"),
-                                   (None, "Jane Smith", 30, "Data Scientist")], schema)
+    batch = spark.createDataFrame([(None, "Mara Voss", 25, "Software Developer"),
+                                   (None, "Ilse Brandt", 30, "Data Scientist")], schema)
     stored = mutate.upsert(empty, spark.createDataFrame(
-        [("x", "John Doe", 25, "d"), ("y", "Jane Smith", 30, "e")], schema))
+        [("x", "Mara Voss", 25, "d"), ("y", "Ilse Brandt", 30, "e")], schema))
     assert mutate.upsert(empty, batch).where("_id is not null").count() == 2
     assert ids(mutate.delete_by_ids(stored, ["x"])) == ["y"]
     with pytest.raises(ValueError, match="invalidField"):
@@ -73,13 +73,13 @@ def test_user_accounts(spark):
                                                "country": Field("keyword")}),
     }
     raw = spark.createDataFrame([
-        ("1", "john doe", "john@example.com", ("1 Main St", "New York", "USA")),
+        ("1", "mara voss", "mara@example.com", ("1 Quay Lane", "New York", "USA")),
         ("2", None, "nobody", None)],
         "_id string, username string, email string, address struct<street:string,city:string,country:string>")
     users = typed_load(raw, schema)
     q = Fields(users)
-    assert ids(users.where(q.match("username", "JOHN", operator="AND", fuzziness="AUTO"))) == ["1"]
-    assert ids(users.where(q.term("username.keyword", "john doe"))) == ["1"]
+    assert ids(users.where(q.match("username", "MARA", operator="AND", fuzziness="AUTO"))) == ["1"]
+    assert ids(users.where(q.term("username.keyword", "mara voss"))) == ["1"]
     assert sorted((v.field, v.rule) for v in constraints.violations(users, schema).collect()) == [
         ("email", "validate"), ("username", "required")]
 

@@ -2,12 +2,11 @@ import datetime as dt
 import random
 
 import pytest
-from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import ids, plan_of
 from docquarry.functions.analysis import ANALYZERS, STANDARD, Analyzer
-from docquarry.functions.fuzzy import edit_regex, max_edits
+from docquarry.functions.fuzzy import max_edits, within
 from docquarry.functions.predicates import Fields, bool_, required_matches
 from docquarry.functions.values import Unparsable
 
@@ -22,7 +21,7 @@ def test_goldens(users):
     assert ids(users.where(q.bool(should=[("age", 25), ("age", 30)]))) == ["1", "2"]
     assert ids(users.where(q.bool(filter=[("age", 25)]))) == ["1"]
     assert ids(users.where(q.term("address.city.keyword", "Chicago"))) == ["3"]
-    assert ids(users.where(q.match("address.street", "MAIN st", operator="and"))) == ["1"]
+    assert ids(users.where(q.match("address.street", "QUAY lane", operator="and"))) == ["1"]
     assert ids(users.where(q.bool())) == ["1", "2", "3"]
 
 
@@ -36,14 +35,14 @@ def test_arrays_match_any_element(people):
     assert ids(people.where(q.fuzzy("tags", "pyhton"))) == ["2"]
     assert ids(people.where(q.exists("address"))) == ["1", "2"]
     assert ids(people.where(q.term("address.city", "Boston"))) == ["2"]
-    assert ids(people.where(q.match("address.street", "park"))) == ["2"]
+    assert ids(people.where(q.match("address.street", "dove"))) == ["2"]
 
 
 def test_fuzzy_on_a_keyword_is_whole_value(people):
     q = Fields(people)
     assert ids(people.where(q.fuzzy("name", "Jon"))) == []
-    assert ids(people.where(q.fuzzy("name", "Jhon Doe"))) == ["1"]
-    assert ids(people.where(q.fuzzy("name", "Jhon Doe", fuzziness=1, transpositions=False))) == []
+    assert ids(people.where(q.fuzzy("name", "Mraa Voss"))) == ["1"]
+    assert ids(people.where(q.fuzzy("name", "Mraa Voss", fuzziness=1, transpositions=False))) == []
     assert ids(people.where(q.fuzzy("description", "developr"))) == ["1"]
 
 
@@ -124,7 +123,7 @@ def test_clause_reads_ranges_lists_and_terms(people):
     assert ids(people.where(q.clause("age", {"gt": 25, "lt": 35}))) == ["2"]
     assert ids(people.where(q.clause("age", {"gt": 30}))) == ["3"]
     assert ids(people.where(q.clause("tags", ["data", "devops"]))) == ["2", "3"]
-    assert ids(people.where(q.clause("name", "Jane Smith"))) == ["2"]
+    assert ids(people.where(q.clause("name", "Ilse Brandt"))) == ["2"]
     with pytest.raises(ValueError):
         q.clause("age", None)
     with pytest.raises(ValueError):
@@ -156,7 +155,7 @@ def test_term_on_text_is_a_token(people):
     assert ids(people.where(q.term("description", "Software"))) == []
     assert ids(people.where(q.term("description", "Software", case_insensitive=True))) == ["1"]
     assert ids(people.where(q.term("description", "software developer"))) == []
-    assert ids(people.where(q.term("name", "john doe", case_insensitive=True))) == ["1"]
+    assert ids(people.where(q.term("name", "mara voss", case_insensitive=True))) == ["1"]
 
 
 def test_wildcard_escapes(spark):
@@ -269,13 +268,33 @@ def test_auto_fuzziness():
             max_edits(bad, "word")
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text(alphabet="abcd", min_size=1, max_size=6), st.text(alphabet="abcd", max_size=8),
-       st.integers(1, 2))
-def test_edit_regex_accepts_exactly_the_near_words(word, other, k):
-    import regex
-    pattern = regex.compile(edit_regex(word, k, r"[\s\S]"))
-    assert bool(pattern.fullmatch(other)) == (osa(word, other) <= k)
+@pytest.mark.parametrize("word,prefix", [("abcd", 0), ("ba", 0), ("abcabd", 2), ("dcba", 1), ("a", 0)])
+def test_within_is_the_distance(spark, word, prefix):
+    rng = random.Random(word)
+    others = list({"".join(rng.choice("abcd") for _ in range(rng.randrange(9))) for _ in range(300)})
+    df = spark.createDataFrame([(o,) for o in others], "o string")
+    for k in (1, 2):
+        for swaps in (True, False):
+            got = {r.o for r in df.where(within(F.col("o"), word, k, prefix, swaps)).collect()}
+            near = osa if swaps else levenshtein
+            assert got == {o for o in others if o[:prefix] == word[:prefix] and near(word[prefix:], o[prefix:]) <= k}
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        row, above = [i + 1], row
+        for j, y in enumerate(b):
+            row.append(min(row[j] + 1, above[j + 1] + 1, above[j] + (x != y)))
+    return row[-1]
+
+
+def test_long_values(spark):
+    word = "ab" * 400
+    df = spark.createDataFrame([(word,), ("ba" + word[2:],), (word[1:],), (word[3:],), (None,)], "o string")
+    q = Fields(df)
+    assert df.where(q.fuzzy("o", word, fuzziness=1)).count() == 3
+    assert df.where(q.fuzzy("o", word, fuzziness=1, transpositions=False)).count() == 2
 
 
 TEXTS = ["The quick-brown fox", "naïve café_42 ÜBER", "", "a  b", "don't stop", "東京 2020!", None,

@@ -100,7 +100,7 @@ def test_last_operation_is_found_before_the_shuffle(spark):
 
 def test_update_by_query(people):
     q = Fields(people)
-    old = q.match_each({"name": "John Doe", "age": 25})
+    old = q.match_each({"name": "Mara Voss", "age": 25})
     got = mu.update_by_query(people, old, {
         "age": F.col("age") + 1, "description": None, "tags": ["x"],
         "address": [{"street": "1 A St", "city": "Rome"}]})
@@ -116,7 +116,7 @@ def test_update_sets_members_of_objects(users):
     got = mu.update_by_query(users, q.range("age", gte=30), {
         "address": {"city": "X"}, "address.country": "Y"})
     rows = {r._id: r.address for r in got.collect()}
-    assert rows["2"].asDict() == {"street": "456 Oak Ave", "city": "X", "country": "Y"}
+    assert rows["2"].asDict() == {"street": "12 Mill Row", "city": "X", "country": "Y"}
     assert rows["1"].city == "New York"
     with pytest.raises(ValueError):
         mu.update_by_query(users, q.exists("age"), {"address": {"zip": 1}})
