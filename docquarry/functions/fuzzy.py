@@ -44,30 +44,37 @@ def within(value: Column, word: str, edits: int, prefix_length: int = 0,
     rest = word[prefix_length:]
     if not transpositions:
         return test & (F.levenshtein(tail, F.lit(rest), edits) >= 0)
-    return test & (F.levenshtein(tail, F.lit(rest), 2 * edits) >= 0) & (_aligned(tail, rest) <= edits)
+    return test & (F.levenshtein(tail, F.lit(rest), 2 * edits) >= 0) & (_aligned(tail, rest, edits) <= edits)
 
 
-def _aligned(value: Column, word: str) -> Column:
-    """Optimal string alignment distance, row by row of the usual table."""
+def _aligned(value: Column, word: str, most: int) -> Column:
+    """Optimal string alignment distance, if it is at most ``most``, else a larger number.
+
+    Only cells of the usual table that are at most ``most`` off its diagonal are made: cell d
+    of row i stands for column i + d - most.
+    """
+    size, over, width = len(word), F.lit(most + 1), 2 * most
     chars = F.array(*map(F.lit, word)) if word else F.array().cast("array<string>")
-    start = F.struct(F.array().cast("array<int>").alias("before"),
-                     F.sequence(F.lit(0), F.lit(len(word))).alias("row"), F.lit("").alias("last"))
+    first = [d - most if 0 <= d - most <= size else most + 1 for d in range(width + 1)]
+    start = F.struct(F.lit(0).alias("i"), F.array(*[over] * (width + 1)).alias("before"),
+                     F.array(*map(F.lit, first)).alias("row"), F.lit("").alias("last"))
 
     def step(state: Column, char: Column) -> Column:
-        above, before, last = state["row"], state["before"], state["last"]
-
-        def cell(row: Column, j: Column) -> Column:
-            swapped = F.when((j > 1) & (char == F.get(chars, j - 2)) & (last == F.get(chars, j - 1)),
-                             F.get(before, j - 2) + 1)
-            changed = F.get(above, j - 1) + F.when(char == F.get(chars, j - 1), 0).otherwise(1)
-            return F.concat(row, F.array(F.least(
-                F.get(row, j - 1) + 1, F.get(above, j) + 1, changed, swapped)))
-
-        first = F.array(F.get(above, F.lit(0)) + 1)
-        row = F.aggregate(F.sequence(F.lit(1), F.lit(len(word))), first, cell) if word else first
-        return F.struct(above.alias("before"), row.alias("row"), char.alias("last"))
-
-    size = F.length(value)
-    letters = F.when(size > 0, F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(value, i, F.lit(1)))
-                     ).otherwise(F.array().cast("array<string>"))
-    return F.aggregate(letters, start, step, lambda s: F.get(s["row"], F.lit(len(word))))
+        i, above, before, last = state["i"] + 1, state["row"], state["before"], state["last"]
+
+        def cell(row: Column, d: Column) -> Column:
+            j = i + d - most
+            here, left = F.get(chars, j - 1), F.get(chars, j - 2)
+            swapped = F.when((char == left) & (last == here), F.get(before, d) + 1)
+            changed = F.get(above, d) + F.when(char == here, 0).otherwise(1)
+            inner = F.least(F.get(row, d - 1) + 1, F.get(above, d + 1) + 1, changed, swapped, over)
+            return F.concat(row, F.array(
+                F.when((j < 0) | (j > size), over).when(j == 0, F.least(i, over)).otherwise(inner)))
+
+        row = F.aggregate(F.sequence(F.lit(0), F.lit(width)), F.array().cast("array<int>"), cell)
+        return F.struct(i.alias("i"), above.alias("before"), row.alias("row"), char.alias("last"))
+
+    length = F.length(value)
+    letters = F.when(length > 0, F.split(value, "", -1)).otherwise(F.array().cast("array<string>"))
+    return F.aggregate(F.slice(letters, F.lit(1), length), start, step,
+                       lambda s: F.coalesce(F.get(s["row"], F.lit(size + most) - s["i"]), over))
