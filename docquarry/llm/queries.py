@@ -20,7 +20,7 @@ def op7_bpe_chunk_reuse(t: Tables) -> DataFrame:
     return bpe.encode_documents(t.documents, public_tokenizers.path("word_bpe_49k.json"))
 
 
-@query()
+@query(substring.WINDOW_SQL)
 def op3_substring_count_min(t: Tables) -> DataFrame:
     return substring.remove_repeats(t.documents)
 
@@ -72,6 +72,6 @@ if corpus_pipeline.ORACLE_SQL:
     QUERIES.sql["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 
-@query()
+@query(suffixes.STRING_SQL)
 def op2_suffix_difference_cover(t: Tables) -> DataFrame:
     return suffixes.remove_repeats(t.documents)

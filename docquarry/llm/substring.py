@@ -213,3 +213,23 @@ def remove_repeats(docs: DataFrame, n: int = 13, id_col: str = "doc_id", text_co
     schema = (f"`{id_col}` long, n_words long, n_removed long, kept_sha256 string"
               + ", kept_text string" * text)
     return frame.join(hits, ["k", "th"], "left").select("id", "text", "runs").mapInArrow(finish, schema)
+
+
+#: The same rows in DuckDB, for windows of 13 words.
+WINDOW_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+k AS (SELECT doc_id, i, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i
+    ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS win,
+  count(*) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS n FROM p),
+f AS (SELECT win, min(doc_id) AS first FROM k WHERE n = 13 GROUP BY win),
+c AS (SELECT DISTINCT doc_id, i + j AS i FROM k JOIN f USING (win), range(13) AS t(j)
+  WHERE n = 13 AND first < doc_id),
+s AS (SELECT p.doc_id, count(*) AS n_words, count(c.i) AS n_removed,
+    coalesce(string_agg(word, ' ' ORDER BY p.i) FILTER (WHERE c.i IS NULL), '') AS kept
+  FROM p LEFT JOIN c ON p.doc_id = c.doc_id AND p.i = c.i GROUP BY p.doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN s USING (doc_id)
+"""

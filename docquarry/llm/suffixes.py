@@ -352,3 +352,23 @@ def remove_repeats(docs: DataFrame, n: int = 50, id_col: str = "doc_id", text_co
     schema = (f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
               + ", kept_bytes binary" * kept)
     return frame.join(hits, ["k", "th"], "left").select("id", "text", "runs").mapInArrow(finish, schema)
+
+
+#: The same rows in DuckDB, for strings of 50 bytes; a byte is two hexadecimal digits.
+STRING_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS b FROM documents),
+p AS (SELECT doc_id, unnest(b) AS byte, generate_subscripts(b, 1) AS i FROM d),
+k AS (SELECT doc_id, i, byte, string_agg(byte, '') OVER (PARTITION BY doc_id ORDER BY i
+  ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) AS win FROM p),
+f AS (SELECT win, min(doc_id) AS first FROM k WHERE len(win) = 100 GROUP BY win),
+c AS (SELECT k.doc_id, i, byte, max(CASE WHEN first < k.doc_id THEN 1 ELSE 0 END) OVER (
+  PARTITION BY k.doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM k LEFT JOIN f ON k.win = f.win AND len(k.win) = 100),
+e AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM c),
+s AS (SELECT doc_id, count(*) AS n_bytes, CAST(sum(gone) AS BIGINT) AS n_removed,
+    count(*) FILTER (WHERE gone = 1 AND before = 0) AS n_spans,
+    coalesce(string_agg(byte, '' ORDER BY i) FILTER (WHERE gone = 0), '') AS kept FROM e GROUP BY doc_id)
+SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM documents LEFT JOIN s USING (doc_id)
+"""
