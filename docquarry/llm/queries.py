@@ -25,7 +25,7 @@ def op3_substring_count_min(t: Tables) -> DataFrame:
     return substring.remove_repeats(t.documents)
 
 
-@query()
+@query(minhash.NEAR_SQL)
 def op8_minhash_fast_sketch(t: Tables) -> DataFrame:
     return minhash.near_duplicates(t.documents, words=4)
 
