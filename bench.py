@@ -1,7 +1,7 @@
-"""Time the headline queries and print one JSON line.
+"""Time the library's queries and print one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3).  Each query runs once to warm up; the median of the
+BENCH_RUNS (default 1).  Each query runs once to warm up; the median of the
 following runs counts.  Results go to a sink that discards them, so the whole
 query is executed and nothing is collected.
 """
@@ -18,28 +18,12 @@ from pyspark.sql import SparkSession
 
 from docquarry.catalog import catalog
 
-HEADLINE = """
-s1_match_all s2_typed_load s3_get_by_ids s4_search s5_count s6_total_capped
-t1_analyze t3_rank_match t3_rank_bool_boost l2_sort_fields l4_sort_mode_avg l5_page_after_key
-p1_match_or p1_match_and p1_match_fuzzy p2_term p3_range_date p6_terms_lookup p8_wildcard_text
-p9_regexp p10_fuzzy_two_edits p11_geo_distance p13_bool p13_bool_minimum
-r1_has_child r2_has_parent r3_nested
-a2_sum a7_extended_stats a8_terms a8_terms_many_keys a8_terms_words a9_month a9_fixed_gaps
-a10_ranges a10_ranges_metric a11_matrix_stats a12_terms_then_months a12_three_levels
-a15_siblings a16_filtered_terms
-w1_upsert w1_upsert_last_wins w3_mixed_batch w3_mixed_batch_stored w4_update_by_query
-w6_merge_fields w7_upsert_stream w8_bulk_report c1_violations m2_migrate_rewrite
-""".split()
-
-# Queries that write a collection each time are timed once after the warm-up.
-WRITING = {"w3_mixed_batch_stored", "w7_upsert_stream", "m2_migrate_rewrite"}
-
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
-    names = sys.argv[1:] or HEADLINE
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    names = sys.argv[1:] or list(catalog().runs)
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("docquarry-bench")
              .config("spark.ui.enabled", "false")
              .config("spark.sql.shuffle.partitions", str(cpus))
@@ -58,8 +42,7 @@ def main() -> None:
     times = {}
     for name in names:
         once(name)
-        times[name] = round(statistics.median(
-            once(name) for _ in range(1 if name in WRITING else runs)), 4)
+        times[name] = round(statistics.median(once(name) for _ in range(runs)), 4)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
