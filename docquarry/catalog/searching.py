@@ -8,7 +8,7 @@ from docquarry.catalog.registry import Catalog, Tables
 from docquarry.functions.analysis import ANALYZERS, STANDARD, normalizer
 from docquarry.functions.predicates import Fields
 from docquarry.operators import ranking, search as s
-from docquarry.sources.schema import Field, load_json, typed_load
+from docquarry.sources.schema import Field, load_json, rejected_json, typed_load
 
 QUERIES = Catalog()
 query = QUERIES.query
@@ -267,3 +267,41 @@ ORDER BY o_totalprice DESC, o_orderkey LIMIT 20""")
 def l5_page_after_key(t: Tables):
     return s.search(t.orders, sort=[s.SortBy("o_totalprice", "desc")], size=20,
                     source=["o_totalprice"], key="o_orderkey", after=[400000.0, 0])
+
+
+_FORMS = """
+SELECT p_partkey, p_name, p_size % 90 AS lat, p_partkey % 180 AS lon, p_partkey % 7 = 0 AS broken FROM part"""
+
+
+def _forms(t: Tables):
+    """Documents that write their fields in each form that is accepted; one in seven is broken."""
+    key, lat, lon = F.col("p_partkey"), F.col("p_size") % 90, F.col("p_partkey") % 180
+    words = F.split("p_name", " ")
+    one = F.to_json(F.struct(words[0].alias("tags"), F.concat_ws(",", lat, lon).alias("at"),
+                             F.struct(key.cast("string").alias("k")).alias("items")))
+    many = F.to_json(F.struct(words.alias("tags"), F.array(lon, lat).alias("at"),
+                              F.array(F.struct(key.alias("k")), F.struct(key.alias("k"))).alias("items")))
+    plain = F.to_json(F.struct(words.alias("tags"), F.struct(lat.alias("lat"), lon.alias("lon")).alias("at")))
+    doc = F.when(key % 3 == 0, one).when(key % 3 == 1, many).otherwise(plain)
+    return t.part.select("p_partkey", F.when(key % 7 == 0, F.concat(F.lit("no "), doc)).otherwise(doc).alias("doc"))
+
+
+@query(f"""
+WITH d AS ({_FORMS}), w AS (SELECT *, string_split(p_name, ' ') AS words FROM d)
+SELECT p_partkey, CASE WHEN broken THEN NULL WHEN p_partkey % 3 = 0 THEN words[1]
+    ELSE array_to_string(words, ',') END AS tags,
+  CASE WHEN NOT broken THEN lat::DOUBLE END AS lat, CASE WHEN NOT broken THEN lon::DOUBLE END AS lon,
+  CASE WHEN broken OR p_partkey % 3 = 2 THEN NULL ELSE p_partkey * (p_partkey % 3 + 1) END AS items FROM w""")
+def s2_json_forms(t: Tables):
+    """One value or a list, one object or a list, points as text, list and object."""
+    loaded = load_json(_forms(t), "doc", {
+        "tags": Field("keyword", many=True), "at": Field("geo_point"),
+        "items": Field("nested", properties={"k": Field("long")})}, key="p_partkey")
+    return loaded.select(
+        "p_partkey", F.when(F.col("tags").isNotNull(), F.array_join("tags", ",")).alias("tags"), "at.lat", "at.lon",
+        F.aggregate("items", F.lit(0).cast("long"), lambda s, e: s + e["k"]).alias("items"))
+
+
+@query("SELECT p_partkey FROM part WHERE p_partkey % 7 = 0")
+def s2_json_rejected(t: Tables):
+    return rejected_json(_forms(t), "doc").select("p_partkey")

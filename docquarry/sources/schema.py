@@ -8,7 +8,7 @@ knows which of its columns are analysed text.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import asdict, dataclass, field as dc_field
+from dataclasses import asdict, dataclass, field as dc_field, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -156,7 +156,11 @@ def typed_load(df: DataFrame, schema: Schema, key: str | None = "_id") -> DataFr
     declared type, and ``null_value`` and ``default`` fill what is missing.  It is
     one projection: nothing moves between executors.
     """
-    values = {n: convert(_raw(df, n), f, _raw_type(df, n)) for n, f in schema.items()
+    return _loaded(df, schema, key, convert)
+
+
+def _loaded(df: DataFrame, schema: Schema, key: str | None, load: Any) -> DataFrame:
+    values = {n: load(_raw(df, n), f, _raw_type(df, n)) for n, f in schema.items()
               if f.type != "alias"}
     for name, f in schema.items():
         for target in f.copy_to:
@@ -177,30 +181,71 @@ def typed_load(df: DataFrame, schema: Schema, key: str | None = "_id") -> DataFr
 
 
 def load_json(df: DataFrame, column: str, schema: Schema, key: str | None = "_id") -> DataFrame:
-    """Parse a column of JSON documents and apply the schema."""
+    """Parse a column of JSON documents and apply the schema.
+
+    Every form a field accepts is read: one value or a list for a multi-valued field, one
+    object or a list for a nested one, text, list or object for points, and text or
+    object for completions and joins.  Documents that are no JSON objects load as rows
+    without values; :func:`rejected_json` lists them.
+    """
     raw = T.StructType()
     for name, f in schema.items():
         if f.type != "alias":
             raw.add(name, _json_type(f))
     parsed = df.withColumn("__doc", F.from_json(column, raw))
     kept = [key] if key and key in df.columns else []
-    return typed_load(parsed.select(*kept, "__doc.*"), schema, key)
+    return _loaded(parsed.select(*kept, "__doc.*"), schema, key, _from_json)
+
+
+def rejected_json(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose document is not a JSON object."""
+    text = F.col(column)
+    kind = F.schema_of_variant(F.try_parse_json(text))
+    return df.where(text.isNotNull() & ~F.coalesce(kind.startswith("OBJECT"), F.lit(False)))
 
 
 def _json_type(f: Field) -> T.DataType:
-    """Scalars are read as text, so that malformed values reach the conversion."""
-    if f.type in ("object", "nested"):
+    """What may have several forms is read as text, and so are scalars, so that malformed
+    values reach the conversion."""
+    if f.type == "object" and not f.many:
         inner = T.StructType()
         for n, p in f.properties.items():
             inner.add(n, _json_type(p))
-        out: T.DataType = T.ArrayType(inner) if f.type == "nested" else inner
-    elif f.type in RANGES:
-        out = T.StructType().add("gte", T.StringType()).add("lte", T.StringType())
-    elif f.type in COMPOSITES:
-        out = COMPOSITES[f.type]
+        return inner
+    return T.StringType()
+
+
+def _from_json(col: Column, f: Field, raw: T.DataType) -> Column:
+    """A field of a document read by its :func:`_json_type`, as declared."""
+    if f.type == "object" and not f.many:
+        members = [_from_json(col.getField(n), p, raw[n].dataType).cast(
+            struct_type({n: p})[n].dataType).alias(n) for n, p in f.properties.items() if p.type != "alias"]
+        return F.when(col.isNotNull(), F.struct(*members))
+    one = replace(f, many=False, null_value=None, default=None)
+    if f.type in ("object", "nested"):
+        inner = _json_type(replace(one, type="object"))
+        load = lambda e: _from_json(e, replace(one, type="object"), inner)
+        listed = F.from_json(col, T.ArrayType(inner))
+        out = F.transform(F.when(col.startswith("["), listed).when(
+            col.startswith("{"), F.array(F.from_json(col, inner))), load)
+    elif f.many:
+        texts = F.when(col.startswith("["), F.from_json(col, T.ArrayType(T.StringType()))).when(
+            col.isNotNull(), F.array(col))
+        out = F.transform(texts, lambda e: _from_json(e, one, T.StringType()))
+    elif f.type in COMPOSITES or f.type in RANGES:
+        kind = COMPOSITES.get(f.type) or T.StructType().add("gte", T.StringType()).add("lte", T.StringType())
+        forms = [("{", kind)] + [("[", T.ArrayType(T.StringType()))] * (f.type in COMPOSITES and f.type != "join")
+        out = F.lit(None).cast(f.data_type) if f.type in RANGES else convert(
+            F.when(~col.startswith("["), col), one, T.StringType()).cast(f.data_type)
+        for sign, form in forms:
+            out = F.when(col.startswith(sign), convert(F.from_json(col, form), one, form).cast(f.data_type)).otherwise(out)
     else:
-        out = T.StringType()
-    return T.ArrayType(out) if f.many and f.type != "nested" else out
+        return convert(col, f, raw)
+    if f.null_value is not None:
+        out = F.coalesce(out, _constant(f.null_value, f))
+    if f.default is not None:
+        out = F.coalesce(out, _constant(f.default, f))
+    return out
 
 
 def _raw(df: DataFrame, name: str) -> Column:
