@@ -16,8 +16,8 @@ from docquarry.llm.common import Hasher, pieces, words_of
 
 #: Words that a rolling hash looks at, and the mean number of words between boundaries.
 ROLL, MEAN = 4, 48
-#: Entries that a Python worker keeps of chunks, words and joins, about 150 MB in all; a full
-#: table is emptied.
+#: Entries that a task keeps of chunks, words and joins, about 150 MB in all; a full table is
+#: emptied.
 KEPT_CHUNKS, KEPT_WORDS, KEPT_JOINS = 16_000, 250_000, 60_000
 #: Punctuation that may close a word.
 CLOSING = b".,!?;:"
@@ -60,6 +60,10 @@ class Encoder:
         self.names = [t.encode() for t in tokens]
         self.last = [t.endswith("</w>") for t in tokens]
 
+    def forget(self) -> None:
+        for table in (self.chunks, self.words, self.joins):
+            table.clear()
+
     def entry(self, ids: list[int]) -> Encoded:
         """Without a decoder component, decoding joins the tokens by spaces."""
         names = (b" ".join([self.names[i] for i in ids]) if self.tokenizer.decoder is None
@@ -189,7 +193,7 @@ class Encoder:
 
 @lru_cache(1)
 def encoder_of(path: str) -> Encoder:
-    """One encoder for a Python worker, which runs many tasks; its tables are bounded."""
+    """The tokenizer is read once for a Python worker, which runs many tasks."""
     return Encoder(path)
 
 
@@ -219,6 +223,12 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path)
+        try:
+            yield from encoded(encoder, batches)
+        finally:  # the worker lives on, and other tasks need its memory
+            encoder.forget()
+
+    def encoded(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(encoder.documents(batch.column(1)))
             columns = [batch.column(0), pa.array([e.n for e in found], pa.int64()),
