@@ -45,6 +45,23 @@ def targets(sizes: DataFrame) -> DataFrame:
             ).alias("target")))
 
 
+def _lowest(joined, ranked: DataFrame, room: str) -> DataFrame:
+    """``source``, ``row`` and ``size`` of the rows of lowest rank in a source whose words, one
+    row after another, fit its ``room``."""
+    parts = ranked.groupBy("source", "part").agg(F.sum("size").alias("words"), F.first(room).alias("room"))
+    upto = Window.partitionBy("source").orderBy("part")
+    ends = (parts.withColumn("before", F.sum("words").over(upto) - F.col("words"))
+            .where("before <= room").groupBy("source")
+            .agg(F.max("part").alias("end"), F.max_by("before", "part").alias("before")))
+    placed = joined(ranked, ends)
+    inside = Window.partitionBy("source", "part").orderBy("rank", "id", "row").rowsBetween(
+        Window.unboundedPreceding, 0)
+    edge = (placed.where("part = end").select("source", "part", "rank", "id", "row", "size", room, "before")
+            .withColumn("upto", F.col("before") + F.sum("size").over(inside)).where(F.col("upto") <= F.col(room)))
+    columns = ["source", "row", "size"]
+    return placed.where("part < end").select(columns).unionByName(edge.select(columns))
+
+
 def _drawn(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """``id``, ``key`` (hash of the text), ``size``, ``row``, ``source_size``, ``target`` and
     ``copies`` of each row."""
@@ -70,29 +87,40 @@ def _drawn(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Data
     ranked = joined(rows, sources).withColumn(
         "rank", F.when(F.col("p") > 0, odds / (1 + odds))).withColumn(
         "part", F.floor(F.col("rank") * PARTS))
-    parts = ranked.where("p > 0").groupBy("source", "part").agg(
-        F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    upto = Window.partitionBy("source").orderBy("part")
-    ends = (parts.withColumn("before", F.sum("words").over(upto) - F.col("words"))
-            .where("before <= rest").groupBy("source")
-            .agg(F.max("part").alias("end"), F.max_by("before", "part").alias("before")))
-    placed = joined(ranked, ends)
-    inside = Window.partitionBy("source", "part").orderBy("rank", "id", "row").rowsBetween(
-        Window.unboundedPreceding, 0)
-    edge = (placed.where("part = end").select("source", "part", "rank", "id", "row", "size", "rest", "before")
-            .withColumn("cut", F.col("before") + F.sum("size").over(inside) <= F.col("rest"))
-            .select("row", "cut"))
-    drawn = stored(placed.join(edge, "row", "left").select(
+    first = stored(_lowest(joined, ranked.where("p > 0"), "rest").select("row", F.lit(True).alias("first")), "first")
+    drawn = stored(ranked.join(first, "row", "left").select(
         "id", "source", "key", "size", "row", "rank", "source_size", "target", "certain", "rest", "p",
-        F.coalesce((F.col("part") < F.col("end")) | F.col("cut"), F.lit(False)).alias("drawn")), "drawn")
-    gaps = (drawn.groupBy("source").agg(
+        F.coalesce("first", F.lit(False)).alias("drawn")), "drawn")
+    gaps = stored(drawn.groupBy("source").agg(
         (F.first("rest") - F.sum(F.when(F.col("drawn"), F.col("size")).otherwise(0))).alias("gap"))
-        .where("gap > 0"))
-    best = (joined(drawn.where("p > 0 AND NOT drawn"), gaps)
-            .withColumn("off", F.abs(F.col("size") - F.col("gap"))).where("off < gap")
-            .groupBy("source").agg(F.min(F.struct("off", "rank", "id", "row")).alias("best"))
-            .select(F.col("best.row").alias("row"), F.lit(1).alias("extra")))
-    return drawn.join(best, "row", "left").withColumn(
+        .where("gap > 0"), "gaps")
+    left = drawn.where("p > 0 AND NOT drawn AND size > 0").select(
+        "source", "id", "row", "rank", "size", F.floor(F.col("rank") * PARTS).alias("part"))
+
+    def nearest(left: DataFrame, gaps: DataFrame) -> DataFrame:
+        return (joined(left, gaps).withColumn("off", F.abs(F.col("size") - F.col("gap"))).where("off < gap")
+                .groupBy("source").agg(F.min(F.struct("off", "rank", "id", "row")).alias("best"))
+                .select("source", F.col("best.off").alias("off"), F.col("best.row").alias("row")))
+
+    # Half a word off is as near as whole words come.
+    exact = stored(nearest(left, gaps).where("off <= 0.5"), "exact")
+    gaps = gaps.join(exact.select(F.col("source").alias("source_")),
+                     F.col("source").eqNullSafe(F.col("source_")), "left_anti")
+    extra = exact.select("row")
+    if not gaps.isEmpty():
+        rest = fits = stored(joined(left, gaps).where("gap IS NOT NULL").drop("gap"), "left")
+        while True:
+            fits = stored(joined(fits, gaps).where("size <= gap"), "fits")
+            if fits.isEmpty():
+                break
+            more = stored(_lowest(joined, fits, "gap"), "more")
+            extra = extra.unionByName(more.select("row"))
+            gaps = stored(joined(gaps, more.groupBy("source").agg(F.sum("size").alias("words"))).select(
+                "source", (F.col("gap") - F.coalesce("words", F.lit(0))).alias("gap")), "gaps")
+            fits = fits.drop("gap").join(more.select("row"), "row", "left_anti")
+        rest = rest.join(extra, "row", "left_anti")
+        extra = extra.unionByName(nearest(rest, gaps.where("gap > 0")).select("row"))
+    return drawn.join(extra.withColumn("extra", F.lit(1)), "row", "left").withColumn(
         "copies", F.col("certain") + F.when(F.col("drawn"), 1).otherwise(0)
         + F.coalesce("extra", F.lit(0)))
 
@@ -105,8 +133,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     certain.  The rest is the inclusion probability p of one copy more: documents are
     ranked by random odds u / (1 - u) divided by the inclusion odds p / (1 - p), and those
     of lowest rank are taken as long as their words fit what is left of the source's
-    target.  One more document, the one whose size fits best, closes the gap if that brings
-    the source nearer.
+    target.  If one more document closes the gap to half a word, it does.  Otherwise the
+    documents that still fit are taken in order of rank, past those that don't, round by
+    round until none fits, and in the end the one whose size fits best if that brings the
+    source nearer.  So a source ends off its rest by half the smallest document left out
+    at most, or half a word.
 
     Returns, for each row, ``id_col``, ``size`` (words), ``source_size``, ``target``,
     ``copies`` and ``taken`` (copies times size).  Randomness comes from the id and the
