@@ -45,14 +45,38 @@ def chunks_of(data: np.ndarray, offsets: np.ndarray, hasher: Hasher):
     return data, rows[first], first - top, last - first, begin, end, hasher.slices(data, begin, end)
 
 
-def _chunks(text: bool):
+def pairs_of(data: np.ndarray, offsets: np.ndarray, hasher: Hasher):
+    """As ``chunks_of``, of every two neighbouring lines that hold a word, and of every two
+    lines that hold a word with more than two of white space between them.
+
+    Every run of lines that begins and ends within a line of a word is a chain of these, so
+    chains of repeated ones are the repeated runs, grown as far as they go.
+    """
+    data = np.insert(data, offsets[1:], 10)
+    ends = np.flatnonzero(data == 10)
+    starts = np.r_[0, ends[:-1] + 1][:len(ends)]
+    rows = np.searchsorted(offsets[1:] + np.arange(1, len(offsets)), ends, "right")
+    word = np.r_[0, np.cumsum((data > 32) | ((data < 9) | (data > 13)) & (data != 32))]
+    worded = word[ends] > word[starts]
+    first, full = np.flatnonzero(worded[:-1] | worded[1:]), np.flatnonzero(worded)
+    wide = np.flatnonzero(np.diff(full) > 3)
+    first, last = np.r_[first, full[wide]], np.r_[first + 1, full[wide + 1] if len(wide) else wide]
+    same = rows[first] == rows[last]
+    first, last = first[same], last[same]
+    begin, end = starts[first], ends[last]
+    top = np.searchsorted(rows, rows[first])
+    return data, rows[first], first - top, last + 1 - first, begin, end, hasher.slices(data, begin, end)
+
+
+def _chunks(text: bool, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(51)
         for batch in batches:
             k, th = (np.asarray(batch.column(c)) for c in ("k", "th"))
             wanted = batch.column("wanted") if text else None
             for at, data, offsets in pieces(batch.column("text")):
-                data, row, first, lines, begin, end, hashed = chunks_of(data, offsets, hasher)
+                data, row, first, lines, begin, end, hashed = (
+                    pairs_of if whole else chunks_of)(data, offsets, hasher)
                 hashed = hashed.view(np.int64)
                 if text:
                     asked = [set(w.as_py()) for w in wanted.slice(at, len(offsets) - 1)]
@@ -64,7 +88,8 @@ def _chunks(text: bool):
                 names = ["h", "k", "th", "first", "lines"]
                 if text:
                     raw = data.tobytes()
-                    columns.append(pa.array([raw[a:b] for a, b in zip(begin, end)], pa.binary()))
+                    found = (raw[a:b] for a, b in zip(begin, end))
+                    columns.append(pa.array([hashlib.sha256(x).digest() if whole else x for x in found], pa.binary()))
                     names.append("chunk")
                 yield pa.RecordBatch.from_arrays(columns, names)
     return run
@@ -92,25 +117,34 @@ def _rebuilt(id_col: str, text: bool):
     return run
 
 
-def removals(frame: DataFrame) -> DataFrame:
-    """``k``, ``th`` and ``gone`` (first line and number of lines of each chunk to remove)."""
+def removals(frame: DataFrame, whole: bool = False) -> DataFrame:
+    """``k``, ``th`` and ``gone`` (first line and number of lines of each chunk to remove, or with
+    ``whole`` of each pair of lines)."""
     plain = "h long, k long, th long, first int, lines int"
-    all_ = frame.select("k", "th", "text").mapInArrow(_chunks(False), plain)
+    all_ = frame.select("k", "th", "text").mapInArrow(_chunks(False, whole), plain)
     twice = all_.groupBy("h").count().where("count > 1").select("h")
     wanted = all_.join(twice, "h", "left_semi").groupBy("k", "th").agg(F.collect_set("first").alias("wanted"))
     places = stored(frame.select("k", "th", "text").join(wanted, ["k", "th"]).select("k", "th", "text", "wanted")
-                    .mapInArrow(_chunks(True), plain + ", chunk binary"), "chunks")
-    # Equal hash and equal bytes: the first place keeps the chunk.
+                    .mapInArrow(_chunks(True, whole), plain + ", chunk binary"), "chunks")
+    # Equal hash and equal bytes (pairs: 256 bits of hash of them): the first place keeps the chunk.
     kept = places.groupBy("h", "chunk").agg(F.min(F.struct("k", "th", "first")).alias("keeper"))
-    return (places.join(kept, ["h", "chunk"]).where(F.struct("k", "th", "first") != F.col("keeper"))
+    later = F.struct("k", "th", "first") != F.col("keeper")
+    if whole:  # a place that overlaps the first one isn't a repeat of it
+        later = ((F.col("k") != F.col("keeper.k")) | (F.col("th") != F.col("keeper.th"))
+                 | (F.col("first") >= F.col("keeper.first") + F.col("lines")))
+    return (places.join(kept, ["h", "chunk"]).where(later)
             .groupBy("k", "th").agg(F.collect_set(F.struct("first", "lines")).alias("gone")))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   text: bool = False) -> DataFrame:
+                   text: bool = False, whole: bool = False) -> DataFrame:
     """Removes chunks of two lines and more that stand in the corpus before, byte for byte.
 
-    The first place of a chunk, by id, keeps it.  Returns, for each row, ``id_col``,
+    The first place of a chunk, by id, keeps it.  With ``whole``, not only whole chunks go
+    but every run of lines, from two lines on, that stands before: every two neighbouring
+    lines are looked up, so the shortest run that is always caught is of two lines with a
+    word in one of them.  White space beyond the line next to a word is no part of a run.
+    The first place of a line stays.  Returns, for each row, ``id_col``,
     ``n_lines``, ``n_removed`` (lines), ``kept_sha256`` (of the lines left, joined by line
     ends) and, with ``text``, ``kept_text``.
 
@@ -120,7 +154,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text of repeated chunks only comes out empty.  Other columns play no part.
     """
     frame = keyed(docs, id_col, text_col).select("k", "th", "text", F.col("id").isNull().alias("none"))
-    out = frame.select("k", "th", "text").join(removals(frame), ["k", "th"], "left").select(
+    out = frame.select("k", "th", "text").join(removals(frame, whole), ["k", "th"], "left").select(
         "k", "text", "gone").mapInArrow(
         _rebuilt(id_col, text), f"`{id_col}` long, n_lines long, n_removed long, kept_sha256 string"
         + ", kept_text string" * text)

@@ -52,7 +52,7 @@ def op9_fingerprints_winnowing(t: Tables) -> DataFrame:
 
 @query()
 def op5_line_chunks(t: Tables) -> DataFrame:
-    return lines.remove_repeats(t.documents)
+    return lines.remove_repeats(t.documents, whole=True)
 
 
 @query(revisits.REVISIT_SQL)

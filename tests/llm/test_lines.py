@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from docquarry.llm import lines
@@ -82,3 +83,45 @@ def test_one_chunk_in_a_third_of_all_rows(make):
     rows = [(i, ("same a\nsame b\nsame c\n" if i % 3 == 0 else "") + f"own {i}\nline {i}") for i in range(400)]
     assert rows_of(lines.remove_repeats(make(rows, 8))) == brute(rows)
     assert lines.remove_repeats(make(rows).limit(0)).collect() == []
+
+
+def runs_gone(rows):
+    """Lines to remove of each row, by a dictionary over all pairs of lines."""
+    first, docs = {}, sorted({(NO if i is None else i, t or "") for i, t in rows})
+    units = {}
+    for k, t in docs:
+        parts = t.split("\n") if t else []
+        full = [bool(p.encode().split()) for p in parts]
+        spans = [(a, a + 2) for a in range(len(parts) - 1) if full[a] or full[a + 1]]
+        at = [a for a, x in enumerate(full) if x]
+        spans += [(a, b + 1) for a, b in zip(at, at[1:]) if b - a > 3]
+        units[k, t] = [(a, b, tuple(parts[a:b])) for a, b in spans]
+        for a, _, key in units[k, t]:
+            first[key] = min(first.get(key, (NO + 1, "", 0)), (k, t, a))
+    return {d: {x for a, b, key in own for x in range(a, b)
+                if first[key][:2] != d or a >= first[key][2] + b - a} for d, own in units.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_short_passages_go_whole(make, seed):
+    """Passages of 2 to 6 lines and 50 words or more, in different surroundings, lose every line."""
+    rng = random.Random(seed)
+    own = lambda n: [f"own {rng.random()}" for _ in range(n)]
+    passages = [[" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(25)) for _ in range(2 + i % 5)] for i in range(20)]
+    rows = [(i, "\n".join([*own(rng.randrange(4)), *p, *own(rng.randrange(4))])) for i, p in enumerate(passages)]
+    places = [(100 + i, own(1 + rng.randrange(4)), p, own(1 + rng.randrange(4))) for i, p in enumerate(passages)]
+    rows += [(i, "\n".join([*a, *p, *b])) for i, a, p, b in places]
+    got = {r.doc_id: r for r in lines.remove_repeats(make(rows), text=True, whole=True).collect()}
+    assert all(got[i].kept_text == "\n".join([*a, *b]) for i, a, _, b in places)
+    assert all(got[i].n_removed == 0 for i in range(20))
+
+
+def test_whole_runs_equal_brute_force(make):
+    rows = [(k, t) for k, t in {i: (i, t) for i, t in corpus(3)}.values()]
+    rows += [(20, "a\na\na"), (21, "p q\n\n\n\n\nr s\nt"), (22, "z\np q\n\n\n\n\nr s\nu"), (23, "\n\nt")]
+    expected = runs_gone(rows)
+    for r, t in ((r, dict(rows)[r.doc_id]) for r in lines.remove_repeats(make(rows), text=True, whole=True).collect()):
+        gone = expected[NO if r.doc_id is None else r.doc_id, t or ""]
+        parts = t.split("\n") if t else []
+        assert (r.n_removed, r.kept_text) == (
+            len(gone), "\n".join(p for j, p in enumerate(parts) if j not in gone)), r
