@@ -71,20 +71,3 @@ def test_inclusion_follows_the_probability(make):
 def test_no_words_and_no_rows(make):
     assert {(r.target, r.taken) for r in mixing.mix(make([(1, None), (2, " ")])).collect()} == {(0.0, 0)}
     assert mixing.mix(make([(1, "a")]).limit(0)).collect() == []
-
-
-@pytest.mark.parametrize("seed", range(4))
-def test_a_very_long_document_does_not_stop_the_draw(make, seed):
-    """The bound is half the smallest document left out, whatever the largest is."""
-    rng = random.Random(seed)
-    rows = [(i, "w " * rng.randrange(20, 600), f"s{i % 3}") for i in range(240)]
-    rows += [(1000 + i, "w " * share, f"s{i}") for i, share in enumerate((9000, 25000, 60000))]
-    own = {i: (s, len(t.split())) for i, t, s in rows}
-    state = {}
-    for r in mixing.mix(make(rows)).collect():
-        s, size = own[r.doc_id]
-        off, out = state.get(s, (-r.target, []))
-        if r.copies == int(r.target // r.source_size):
-            out = [*out, size]
-        state[s] = (off + r.taken, out)
-    assert all(abs(off) <= max(0.5, min(out) / 2) for off, out in state.values()), state
