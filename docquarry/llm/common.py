@@ -54,6 +54,14 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def crc_sql(value: str) -> str:
+    """DuckDB SQL of the unsigned crc32 of a value's decimal digits."""
+    bits = ("list_reduce(range(8), lambda s, i: CASE WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END, "
+            "xor(a, b))")
+    digits = f"list_transform(string_split(CAST({value} AS VARCHAR), ''), lambda z: CAST(ord(z) AS BIGINT))"
+    return f"xor(list_reduce({digits}, lambda a, b: {bits}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts end to end as bytes, and the offsets of the rows in them; null is empty."""
     if isinstance(texts, pa.ChunkedArray):

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from docquarry.catalog.registry import Catalog, Tables
-from docquarry.llm import (balltree, bpe, lines, minhash, mixing, revisits, substring, suffixes,
-                           toxicity, winnowing)
+from docquarry.llm import (balltree, bpe, lines, merkle, minhash, mixing, prefixes, revisits, substring,
+                           suffixes, tokencounts, toxicity, winnowing)
 
 QUERIES = Catalog()
 query = QUERIES.query
@@ -75,3 +75,18 @@ if corpus_pipeline.ORACLE_SQL:
 @query(suffixes.STRING_SQL)
 def op2_suffix_difference_cover(t: Tables) -> DataFrame:
     return suffixes.remove_repeats(t.documents)
+
+
+@query(prefixes.TRIE_SQL)
+def op11_prefix_trie_peeling(t: Tables) -> DataFrame:
+    return prefixes.conversation_trie(t.conversations)
+
+
+@query()
+def op12_token_counts_lookup(t: Tables) -> DataFrame:
+    return tokencounts.count_tokens(t.documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query(merkle.MERKLE_SQL)
+def op13_merkle_manifest(t: Tables) -> DataFrame:
+    return merkle.verified_manifest(t.documents)
