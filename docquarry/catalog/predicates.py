@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import ipaddress
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquarry.catalog.registry import Catalog, Tables
 from docquarry.catalog.searching import WORDS
+from docquarry.functions import addresses
 from docquarry.functions.analysis import STANDARD
 from docquarry.functions.predicates import Fields, bool_
-from docquarry.operators import relations
+from docquarry.operators import relations, search
+from docquarry.sources.schema import Field, typed_load
 
 QUERIES = Catalog()
 query = QUERIES.query
@@ -162,6 +166,104 @@ def p4_range_contains(t: Tables):
     return docs.where(q.range("span", gte=1000, lte=1020, relation="CONTAINS")).select("p_partkey")
 
 
+# -- addresses and dates as ranges -----------------------------------------------------------
+def _hosts(t: Tables) -> DataFrame:
+    """Customers with an address whose octets come from the key, and the block around it."""
+    key, bits = F.col("c_custkey"), F.col("c_nationkey") % 9 + 20
+    host = F.concat_ws(".", F.lit("10"), F.lit("7"), (key % 1024 / 256).cast("int"), key % 256)
+    raw = t.customer.select("c_custkey", host.alias("host"), F.concat_ws("/", host, bits).alias("net"))
+    return typed_load(raw, {"host": Field("ip"), "net": Field("ip_range")}, key="c_custkey")
+
+
+def _dotted(text: str) -> int:
+    return int(ipaddress.ip_address(text))
+
+
+_HOST_SQL = f"""
+WITH a AS (
+  SELECT c_custkey, {_dotted("10.7.0.0")} + c_custkey % 1024 AS host,
+    CAST(1 AS BIGINT) << (32 - (c_nationkey % 9 + 20)) AS span FROM customer),
+b AS (SELECT c_custkey, host, host // span * span AS low, host // span * span + span - 1 AS high FROM a)
+SELECT c_custkey FROM b WHERE """
+
+
+@query(f"{_HOST_SQL} host > {_dotted('10.7.0.9')} AND host <= {_dotted('10.7.2.10')}")
+def p3_range_address(t: Tables):
+    docs = _hosts(t)
+    return docs.where(Fields(docs).range("host", gt="10.7.0.9", lte="10.7.2.10")).select("c_custkey")
+
+
+@query(f"""
+WITH h AS (SELECT c_custkey, {_dotted("10.7.0.0")} + c_custkey % 1024 AS host FROM customer)
+SELECT c_custkey, CAST(row_number() OVER (ORDER BY host DESC, c_custkey) AS INTEGER) AS place FROM h
+ORDER BY host DESC, c_custkey LIMIT 40""")
+def l2_sort_address(t: Tables):
+    page = search.search(_hosts(t), sort=[search.SortBy("host", "desc")], size=40, key="c_custkey")
+    return page.select("c_custkey", F.row_number().over(
+        Window.orderBy(F.desc(addresses.ordered("host")), "c_custkey")).alias("place"))
+
+
+@query(f"{_HOST_SQL} host BETWEEN {_dotted('10.7.1.64')} AND {_dotted('10.7.1.127')}")
+def p2_term_address_block(t: Tables):
+    docs = _hosts(t)
+    return docs.where(Fields(docs).term("host", "10.7.1.64/26")).select("c_custkey")
+
+
+@query(f"{_HOST_SQL} low <= {_dotted('10.7.1.12')} AND high >= {_dotted('10.7.0.250')}")
+def p4_address_intersects(t: Tables):
+    docs = _hosts(t)
+    return docs.where(Fields(docs).range("net", gte="10.7.0.250", lte="10.7.1.12")).select("c_custkey")
+
+
+@query(f"{_HOST_SQL} low >= {_dotted('10.7.0.8')} AND high < {_dotted('10.7.2.0')}")
+def p4_address_within(t: Tables):
+    docs = _hosts(t)
+    return docs.where(Fields(docs).range("net", gte="10.7.0.8", lt="10.7.2.0", relation="WITHIN")).select("c_custkey")
+
+
+@query(f"{_HOST_SQL} low <= {_dotted('10.7.1.9')} AND high >= {_dotted('10.7.1.20')}")
+def p4_address_contains(t: Tables):
+    docs = _hosts(t)
+    return docs.where(Fields(docs).range("net", gte="10.7.1.9", lte="10.7.1.20",
+                                         relation="CONTAINS")).select("c_custkey")
+
+
+def _transits(t: Tables) -> tuple[DataFrame, Fields]:
+    """Lines with the days from shipping as a range of dates."""
+    days = F.make_dt_interval(F.col("l_linenumber") * 9)
+    raw = t.lineitem.select("l_orderkey", "l_linenumber", F.struct(
+        F.col("l_shipdate").alias("gte"), (F.col("l_shipdate") + days).alias("lte")).alias("transit"))
+    docs = typed_load(raw, {"l_orderkey": Field("long"), "l_linenumber": Field("integer"),
+                            "transit": Field("date_range")}, key=None)
+    return docs, Fields(docs)
+
+
+_TRANSIT_SQL = """
+SELECT l_orderkey, l_linenumber FROM (
+  SELECT l_orderkey, l_linenumber, l_shipdate AS low, l_shipdate + to_days(CAST(l_linenumber * 9 AS INTEGER)) AS high
+  FROM lineitem) WHERE """
+
+
+@query(_TRANSIT_SQL + "low < TIMESTAMP '1996-03-15' AND high >= TIMESTAMP '1996-03-01'")
+def p4_dates_intersect(t: Tables):
+    docs, q = _transits(t)
+    return docs.where(q.range("transit", gte="1996-03", lt="1996-03-15")).select("l_orderkey", "l_linenumber")
+
+
+@query(_TRANSIT_SQL + "low > TIMESTAMP '1996-03-01' AND high <= TIMESTAMP '1996-04-15'")
+def p4_dates_within(t: Tables):
+    docs, q = _transits(t)
+    return docs.where(q.range("transit", gt="01/03/1996", lte="15/04/1996", format="dd/MM/yyyy",
+                              relation="WITHIN")).select("l_orderkey", "l_linenumber")
+
+
+@query(_TRANSIT_SQL + "low <= TIMESTAMP '1996-03-10' AND high >= TIMESTAMP '1996-03-20'")
+def p4_dates_contain(t: Tables):
+    docs, q = _transits(t)
+    return docs.where(q.range("transit", gte="1996-03-10", lte="1996-03-20", relation="CONTAINS")).select(
+        "l_orderkey", "l_linenumber")
+
+
 def _typed_events(t: Tables) -> DataFrame:
     return t.events.select("event_id", "value", F.nullif(
         F.col("event_type"), F.lit("view")).alias("kind"))

@@ -28,6 +28,12 @@ class FieldRef:
     search_analyzer: Analyzer | None = None
     normalizer: Normalizer | None = None
     boost: float = 1.0
+    kind: str | None = None
+
+    @property
+    def is_address(self) -> bool:
+        """Internet addresses kept as text, or as the bytes of ``addresses.ordered``."""
+        return self.kind == "ip" and isinstance(self.dtype, (T.StringType, T.BinaryType))
 
     def query(self, value: Any) -> Any:
         """A searched value in the form the field stores it."""
@@ -97,7 +103,7 @@ class FieldScope:
         elif meta.get("type") not in ("text", "search_as_you_type"):
             clean = meta.get("normalizer")
             return FieldRef(path, column, dtype, many, boost=meta.get("boost", 1.0),
-                            normalizer=normalizer(clean) if clean else None)
+                            normalizer=normalizer(clean) if clean else None, kind=meta.get("type"))
         index = analyzer(name)
         search = analyzer(meta["search_analyzer"]) if meta.get("search_analyzer") else index
         return FieldRef(path, column, dtype, many, index, search, boost=meta.get("boost", 1.0))

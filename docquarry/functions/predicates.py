@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docquarry.functions import geo
+from docquarry.functions import addresses, geo
 from docquarry.functions.analysis import Analyzer, analyzer as find_analyzer, quote
 from docquarry.functions.fields import FieldRef, FieldScope
 from docquarry.functions.fuzzy import lengths, max_edits, within
@@ -141,6 +141,8 @@ class Fields(FieldScope):
         if fuzziness is not None and isinstance(ref.dtype, T.StringType):
             return self._fuzzy_value(ref, str(value), fuzziness, prefix_length, transpositions)
         try:
+            if ref.is_address:
+                return ref.any_value(lambda c: _in_block(c, ref, value))
             wanted = literal(ref.query(value), ref.dtype)
         except Unparsable:
             if lenient:
@@ -193,6 +195,8 @@ class Fields(FieldScope):
     # -- exact values ----------------------------------------------------
     def term(self, field: str, value: Any, *, case_insensitive: bool = False) -> Column:
         ref = self.field(field)
+        if ref.is_address:
+            return ref.any_value(lambda c: _in_block(c, ref, value))
         if ref.analyzer is not None:
             if case_insensitive:
                 return ref.any_value(lambda c: ref.analyzer.lowered().has_any(c, [str(value).lower()]))
@@ -211,6 +215,8 @@ class Fields(FieldScope):
         ref, values = self.field(field), list(values)
         if not values:
             return F.lit(_NOTHING)
+        if ref.is_address:
+            return ref.any_value(lambda c: any_of([_in_block(c, ref, v) for v in values]))
         if ref.analyzer is not None:
             return _any_word(ref, [str(v) for v in values])
         wanted = [literal(ref.query(v), ref.dtype) for v in values]
@@ -221,13 +227,17 @@ class Fields(FieldScope):
     def range(self, field: str, *, gt: Any = None, gte: Any = None, lt: Any = None,
               lte: Any = None, format: str | None = None, time_zone: str | None = None,
               relation: str = "INTERSECTS") -> Column:
-        """Bounds on a value, or on a range-typed field by ``relation``."""
+        """Bounds on a value, or on a range-typed field by ``relation``.
+
+        Addresses are compared as addresses; a field of their bytes (``addresses.ordered``)
+        lets the reader skip row groups.
+        """
         ref = self.field(field)
         if _is_range(ref.dtype):
             return self._range_relation(ref, gt, gte, lt, lte, format, time_zone, relation)
 
         def bound(value: Any) -> Column:
-            return literal(value, ref.dtype, format, time_zone)
+            return addresses.literal(value) if ref.is_address else literal(value, ref.dtype, format, time_zone)
 
         bounds: list[Callable[[Column], Column]] = []
         if gt is not None:
@@ -240,25 +250,30 @@ class Fields(FieldScope):
             bounds.append(lambda c: c <= bound(lte))
         if not bounds:
             return self.exists(field)
-        return ref.any_value(lambda c: all_of([b(c) for b in bounds]))
+        return ref.any_value(lambda c: all_of([b(_place(c, ref)) for b in bounds]))
 
     def _range_relation(self, ref: FieldRef, gt: Any, gte: Any, lt: Any, lte: Any,
                         fmt: str | None, zone: str | None, relation: str) -> Column:
         inner = ref.dtype["gte"].dataType
+        of_addresses = ref.kind == "ip_range"
 
         def bound(value: Any) -> Column | None:
-            return None if value is None else literal(value, inner, fmt, zone)
+            if value is None:
+                return None
+            return addresses.literal(value) if of_addresses else literal(value, inner, fmt, zone)
 
         low, high = bound(gte if gt is None else gt), bound(lte if lt is None else lt)
         kind = relation.upper()
 
         def test(col: Column) -> Column:
-            start, end = col.getField("gte"), col.getField("lte")
+            first, last = col.getField("gte"), col.getField("lte")
+            start, end = ((addresses.ordered(first), addresses.ordered(last)) if of_addresses
+                          else (first, last))
             # A missing end of the stored range is open.
             def start_ok(p: Column) -> Column:
-                return start.isNull() | p
+                return first.isNull() | p
             def end_ok(p: Column) -> Column:
-                return end.isNull() | p
+                return last.isNull() | p
             parts = [col.isNotNull()]
             if kind == "INTERSECTS":
                 if low is not None:
@@ -271,8 +286,8 @@ class Fields(FieldScope):
                 if high is not None:
                     parts.append(end < high if lt is not None else end <= high)
             elif kind == "CONTAINS":
-                parts.append(start.isNull() if low is None else start_ok(start <= low))
-                parts.append(end.isNull() if high is None else end_ok(end >= high))
+                parts.append(first.isNull() if low is None else start_ok(start <= low))
+                parts.append(last.isNull() if high is None else end_ok(end >= high))
             else:
                 raise ValueError(f"unknown relation {relation!r}")
             return all_of(parts)
@@ -399,6 +414,18 @@ def _any_word(ref: FieldRef, words: list[str]) -> Column:
     return ref.any_value(lambda c: ref.analyzer.has_any(c, words))
 
 
+def _place(col: Column, ref: FieldRef) -> Column:
+    """A value in the form that compares."""
+    return addresses.ordered(col) if ref.is_address and isinstance(ref.dtype, T.StringType) else col
+
+
+def _in_block(col: Column, ref: FieldRef, value: Any) -> Column:
+    """An address is the one given, however spelled, or lies in the block given."""
+    low, high = addresses.block(value)
+    place = _place(col, ref)
+    return place == F.lit(low) if low == high else place.between(F.lit(low), F.lit(high))
+
+
 def _is_range(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.StructType) and {"gte", "lte"} <= set(dtype.fieldNames())
 

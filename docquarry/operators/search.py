@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docquarry.functions import addresses
 from docquarry.functions.fields import FieldScope
 from docquarry.functions.predicates import all_of, any_of
 
@@ -29,10 +30,12 @@ class SortBy:
     def value(self, scope: FieldScope) -> Column:
         ref = scope.field(self.field)
         col = ref.column
+        if ref.is_address and isinstance(ref.dtype, T.StringType):
+            col = F.transform(col, addresses.ordered) if ref.many else addresses.ordered(col)
         if ref.many:
             col = _reduce(col, self.mode or ("min" if self.order == "asc" else "max"), ref.dtype)
         if self.missing not in ("_first", "_last"):
-            col = F.coalesce(col, F.lit(self.missing))
+            col = F.coalesce(col, addresses.literal(self.missing) if ref.is_address else F.lit(self.missing))
         return col
 
     def ordering(self, col: Column) -> Column:

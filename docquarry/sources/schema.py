@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docquarry.functions import addresses
 from docquarry.functions.analysis import Normalizer, normalizer
 from docquarry.functions.fields import OPTIONS
 
@@ -235,7 +236,7 @@ def _from_json(col: Column, f: Field, raw: T.DataType) -> Column:
     elif f.type in COMPOSITES or f.type in RANGES:
         kind = COMPOSITES.get(f.type) or T.StructType().add("gte", T.StringType()).add("lte", T.StringType())
         forms = [("{", kind)] + [("[", T.ArrayType(T.StringType()))] * (f.type in COMPOSITES and f.type != "join")
-        out = F.lit(None).cast(f.data_type) if f.type in RANGES else convert(
+        out = F.lit(None).cast(f.data_type) if f.type in RANGES and f.type != "ip_range" else convert(
             F.when(~col.startswith("["), col), one, T.StringType()).cast(f.data_type)
         for sign, form in forms:
             out = F.when(col.startswith(sign), convert(F.from_json(col, form), one, form).cast(f.data_type)).otherwise(out)
@@ -319,6 +320,10 @@ def _convert(col: Column, f: Field, raw: T.DataType) -> Column:
                       coerce=f.coerce, ignore_malformed=f.ignore_malformed)
         return F.when(col.isNotNull(), F.struct(*[
             _convert(col.getField(s), inner, raw[s].dataType).alias(s) for s in ("gte", "lte")]))
+    if f.type == "ip_range" and isinstance(raw, T.StringType):
+        return _checked(col, addresses.bounds(col), f, "block of addresses")
+    if f.type == "ip" and isinstance(raw, T.StringType):
+        return _checked(col, addresses.checked(col), f, "address")
     if f.type in ("geo_point", "xy_point"):
         return _point(col, f, raw)
     if f.type == "completion" and not isinstance(raw, T.StructType):
@@ -349,6 +354,13 @@ def _string(col: Column, f: Field) -> Column:
     return col
 
 
+def _checked(raw: Column, value: Column, f: Field, what: str) -> Column:
+    """A value read from text, or an error if the text can't be read."""
+    if f.ignore_malformed:
+        return value
+    return F.coalesce(value, F.when(raw.isNotNull(), F.raise_error(F.concat(F.lit(f"malformed {what}: "), raw))))
+
+
 def _scalar(col: Column, f: Field, raw: T.DataType) -> Column:
     target = f.data_type
     number = isinstance(target, T.NumericType)
