@@ -573,7 +573,7 @@ def r3_not_nested(t: Tables):
 
 @query("SELECT p_partkey, rpad(p_name, 500, 'x') AS p_name FROM part WHERE damerau_levenshtein(p_name, 'red rign') <= 2")
 def p10_fuzzy_long_value(t: Tables):
-    """Values of 500 characters, as cheap as short ones."""
+    """Values of 500 characters that agree in all but the first words."""
     docs = t.part.select("p_partkey", F.rpad("p_name", 500, "x").alias("p_name"))
     wanted = "red rign".ljust(500, "x")
     return docs.where(Fields(docs).fuzzy("p_name", wanted, fuzziness=2))

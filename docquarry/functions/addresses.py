@@ -7,13 +7,12 @@ addresses (``::ffff:a.b.c.d``).  Bytes compare as addresses do, texts don't.
 from __future__ import annotations
 
 import ipaddress
-from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docquarry.functions.values import Unparsable
+from docquarry.functions.values import Unparsable, let
 
 BYTES = 16
 _MAPPED = "00000000000000000000ffff"
@@ -53,17 +52,12 @@ def literal(value: Any) -> Column:
     return value if isinstance(value, Column) else F.lit(packed(value))
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once, however often it is named."""
-    return F.get(F.transform(F.array(value), use), 0)
-
-
 def _hex(text: Column) -> Column:
     """32 hexadecimal digits of an address, null if it is none."""
     def family(low: Column) -> Column:
         four = F.concat(F.lit(_MAPPED), _quad(low))
-        return F.when(low.rlike(f"^{_DOTTED}$"), four).when(F.contains(low, F.lit(":")), _let(_long(low), _six))
-    return _let(F.lower(text), family)
+        return F.when(low.rlike(f"^{_DOTTED}$"), four).when(F.contains(low, F.lit(":")), let(_long(low), _six))
+    return let(F.lower(text), family)
 
 
 def _quad(dotted: Column) -> Column:
@@ -75,10 +69,10 @@ def _quad(dotted: Column) -> Column:
 def _long(low: Column) -> Column:
     """An IPv6 address whose dotted end, if any, is spelled as two groups; null if that end is bad."""
     def joined(tail: Column) -> Column:
-        quad = _let(_quad(tail), lambda q: F.concat(F.substring(q, 1, 4), F.lit(":"), F.substring(q, 5, 4)))
+        quad = let(_quad(tail), lambda q: F.concat(F.substring(q, 1, 4), F.lit(":"), F.substring(q, 5, 4)))
         head = F.substring(low, F.lit(1), F.length(low) - F.length(tail))
         return F.when(~F.contains(tail, F.lit(".")), low).when(tail.rlike(f"^{_DOTTED}$"), F.concat(head, quad))
-    return _let(F.substring_index(low, ":", -1), joined)
+    return let(F.substring_index(low, ":", -1), joined)
 
 
 def _six(low: Column) -> Column:
@@ -90,7 +84,7 @@ def _six(low: Column) -> Column:
         sides = F.struct(groups(F.get(halves, 0)).alias("left"),
                          groups(F.coalesce(F.get(halves, 1), F.lit(""))).alias("right"),
                          F.size(halves).alias("halves"))
-        return _let(sides, whole)
+        return let(sides, whole)
 
     def whole(sides: Column) -> Column:
         left, right = sides["left"], sides["right"]
@@ -101,7 +95,7 @@ def _six(low: Column) -> Column:
         return F.when(fits & valid, F.concat(
             digits(left), F.repeat(F.lit("0000"), (8 - known).cast("int")), digits(right)))
 
-    return _let(F.split(low, "::", -1), filled)
+    return let(F.split(low, "::", -1), filled)
 
 
 def ordered(text: Column) -> Column:
@@ -124,7 +118,7 @@ def _spelled(hexadecimal: Column) -> Column:
         dotted = F.concat_ws(".", *[F.conv(F.substring(digits, i, 2), 16, 10) for i in (25, 27, 29, 31)])
         groups = F.concat_ws(":", *[F.substring(digits, i, 4) for i in range(1, 33, 4)])
         return F.when(digits.isNotNull(), F.when(digits.startswith(_MAPPED), dotted).otherwise(groups))
-    return _let(hexadecimal, text)
+    return let(hexadecimal, text)
 
 
 def bounds(text: Column) -> Column:
@@ -134,7 +128,7 @@ def bounds(text: Column) -> Column:
         shift = F.when(F.contains(F.get(parts, 0), F.lit(":")), 0).otherwise(96)
         wanted = F.when(F.size(parts) == 1, F.lit(128)).when(
             (F.size(parts) == 2) & given.rlike("^[0-9]{1,3}$"), given.try_cast("int") + shift)
-        return _let(F.struct(_hex(F.get(parts, 0)).alias("digits"), wanted.alias("bits")), both)
+        return let(F.struct(_hex(F.get(parts, 0)).alias("digits"), wanted.alias("bits")), both)
 
     def both(block_: Column) -> Column:
         digits, bits = block_["digits"], block_["bits"]
@@ -150,4 +144,4 @@ def bounds(text: Column) -> Column:
 
         return F.when(digits.isNotNull() & (bits <= 128), F.struct(end(False).alias("gte"), end(True).alias("lte")))
 
-    return _let(F.split(text, "/", -1), of_parts)
+    return let(F.split(text, "/", -1), of_parts)

@@ -2,15 +2,24 @@
 
 The distance is optimal string alignment: insert, delete, substitute and swap of
 two neighbours, no part edited twice.  A swap costs two edits of the plain Levenshtein
-distance at most, so lengths and then ``levenshtein`` at twice the bound leave few
-strings, and only these are aligned.  Without swaps ``levenshtein`` is the distance.
+distance at most, so for a short word lengths and then ``levenshtein`` at twice the bound
+leave few strings, and only these are looked at; without swaps ``levenshtein`` is the distance.
+Its work grows with the square of the length, so a long word goes without it.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docquarry.functions.values import let
+
+
+#: Longest word for which ``levenshtein`` comes first.
+SHORT = 32
+
 
 def max_edits(fuzziness: int | str, word: str) -> int:
     """Edits allowed for ``word``: 0, 1, 2, ``AUTO`` or ``AUTO:low,high``."""
@@ -42,39 +51,79 @@ def within(value: Column, word: str, edits: int, prefix_length: int = 0,
     # A kept prefix is not edited, so what follows it is compared alone.
     tail = F.substring(value, prefix_length + 1, high) if prefix_length else value
     rest = word[prefix_length:]
+    if len(rest) > SHORT:
+        return test & let(tail, lambda v: _near(v, rest, edits, transpositions))
     if not transpositions:
         return test & (F.levenshtein(tail, F.lit(rest), edits) >= 0)
-    return test & (F.levenshtein(tail, F.lit(rest), 2 * edits) >= 0) & (_aligned(tail, rest, edits) <= edits)
+    return test & (F.levenshtein(tail, F.lit(rest), 2 * edits) >= 0) & let(
+        tail, lambda v: _near(v, rest, edits, True))
 
 
-def _aligned(value: Column, word: str, most: int) -> Column:
-    """Optimal string alignment distance, if it is at most ``most``, else a larger number.
+def _near(value: Column, word: str, edits: int, swaps: bool) -> Column:
+    """Whether one or two edits lead from a string to a word.
 
-    Only cells of the usual table that are at most ``most`` off its diagonal are made: cell d
-    of row i stands for column i + d - most.
+    What both begin and end with alike is cut off; that changes no distance.  If anything is left
+    of both, first and last characters differ, so there is an edit at either end and, with
+    two edits, nothing but equal characters in between: each first edit puts the rest on
+    one diagonal, which has to reach the last edit in one slide.
     """
-    size, over, width = len(word), F.lit(most + 1), 2 * most
-    chars = F.array(*map(F.lit, word)) if word else F.array().cast("array<string>")
-    first = [d - most if 0 <= d - most <= size else most + 1 for d in range(width + 1)]
-    start = F.struct(F.lit(0).alias("i"), F.array(*[over] * (width + 1)).alias("before"),
-                     F.array(*map(F.lit, first)).alias("row"), F.lit("").alias("last"))
-
-    def step(state: Column, char: Column) -> Column:
-        i, above, before, last = state["i"] + 1, state["row"], state["before"], state["last"]
-
-        def cell(row: Column, d: Column) -> Column:
-            j = i + d - most
-            here, left = F.get(chars, j - 1), F.get(chars, j - 2)
-            swapped = F.when((char == left) & (last == here), F.get(before, d) + 1)
-            changed = F.get(above, d) + F.when(char == here, 0).otherwise(1)
-            inner = F.least(F.get(row, d - 1) + 1, F.get(above, d + 1) + 1, changed, swapped, over)
-            return F.concat(row, F.array(
-                F.when((j < 0) | (j > size), over).when(j == 0, F.least(i, over)).otherwise(inner)))
-
-        row = F.aggregate(F.sequence(F.lit(0), F.lit(width)), F.array().cast("array<int>"), cell)
-        return F.struct(i.alias("i"), above.alias("before"), row.alias("row"), char.alias("last"))
-
-    length = F.length(value)
-    letters = F.when(length > 0, F.split(value, "", -1)).otherwise(F.array().cast("array<string>"))
-    return F.aggregate(F.slice(letters, F.lit(1), length), start, step,
-                       lambda s: F.coalesce(F.get(s["row"], F.lit(size + most) - s["i"]), over))
+    def middle(sides: Column) -> Column:
+        low, high = sides["begin"], sides["end"]
+        parts = F.struct(F.substring(value, low + 1, sides["size"] - low - high).alias("a"),
+                         F.substring(F.lit(word), low + 1, len(word) - low - high).alias("b"))
+        return let(parts, lambda p: _edited(p["a"], p["b"], edits, swaps))
+
+    def ends(begin: Column) -> Column:
+        size = F.length(value)
+        end = let(F.reverse(value), lambda v: _alike(v, word[::-1], F.least(size, F.lit(len(word))) - begin))
+        return let(F.struct(begin.alias("begin"), end.alias("end"), size.alias("size")), middle)
+
+    return let(_alike(value, word, F.least(F.length(value), F.lit(len(word)))), ends)
+
+
+def _alike(value: Column, word: str, most: Column) -> Column:
+    """How many characters both begin with, ``most`` at most, by halving steps."""
+    steps = [1 << n for n in reversed(range(len(word).bit_length()))]
+
+    def further(at: Column, step: Column) -> Column:
+        same = F.substring(value, at + 1, step) == F.substring(F.lit(word), at + 1, step)
+        return F.when((at + step <= most) & same, at + step).otherwise(at)
+
+    return F.aggregate(F.array(*map(F.lit, steps)).cast("array<int>"), F.lit(0), further)
+
+
+def _from(text: Column, start: int) -> Column:
+    return F.substring(text, F.lit(start + 1), F.length(text))
+
+
+def _without(text: Column, end: int) -> Column:
+    return F.substring(text, F.lit(1), F.length(text) - end)
+
+
+def _edited(a: Column, b: Column, edits: int, swaps: bool) -> Column:
+    """The same of two strings that neither begin nor end alike."""
+    m, n = F.length(a), F.length(b)
+    one = (m <= 1) & (n <= 1)
+    if swaps:
+        one |= (m == 2) & (n == 2) & (a == F.reverse(b))
+    if edits == 1:
+        return one
+    firsts = [((m >= 1) & (n >= 1), _from(a, 1), _from(b, 1)), (m >= 1, _from(a, 1), b), (n >= 1, a, _from(b, 1))]
+    if swaps:
+        swapped = (m >= 2) & (n >= 2) & (F.substring(a, 1, 2) == F.reverse(F.substring(b, 1, 2)))
+        firsts.append((swapped, _from(a, 2), _from(b, 2)))
+    tests = [one]
+    for possible, rest, other in firsts:
+        tests.append(possible & let(F.struct(rest.alias("r"), other.alias("o")), lambda p: _last_edit(p["r"], p["o"], swaps)))
+    return reduce(lambda x, y: x | y, tests)
+
+
+def _last_edit(r: Column, o: Column, swaps: bool) -> Column:
+    """Nothing is left, or one edit at the end."""
+    m, n = F.length(r), F.length(o)
+    found = ((r == o) | ((m >= 1) & (n >= 1) & (_without(r, 1) == _without(o, 1)))
+             | ((m >= 1) & (_without(r, 1) == o)) | ((n >= 1) & (r == _without(o, 1))))
+    if not swaps:
+        return found
+    return found | ((m >= 2) & (n >= 2) & (_without(r, 2) == _without(o, 2))
+                    & (F.right(r, F.lit(2)) == F.reverse(F.right(o, F.lit(2)))))

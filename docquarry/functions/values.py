@@ -6,6 +6,7 @@ column, so the filter still reaches the Parquet reader.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timezone
 from typing import Any
 
@@ -20,6 +21,11 @@ class Unparsable(ValueError):
     """A query value that cannot be read as the field's type."""
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def is_time(dtype: T.DataType) -> bool:
     return isinstance(dtype, _TIMES)
 

@@ -297,6 +297,26 @@ def test_long_values(spark):
     assert df.where(q.fuzzy("o", word, fuzziness=1, transpositions=False)).count() == 2
 
 
+def test_edits_anywhere_in_long_values(spark):
+    rng = random.Random(11)
+    word = "".join(rng.choice("abü") for _ in range(70))
+
+    def edited(text, times):
+        for _ in range(times):
+            i, kind = rng.randrange(len(text)), rng.randrange(4)
+            text = {0: text[:i] + text[i + 1:], 1: text[:i] + rng.choice("abü") + text[i:],
+                    2: text[:i] + rng.choice("abü") + text[i + 1:],
+                    3: text[:i] + text[i:i + 2][::-1] + text[i + 2:]}[kind]
+        return text
+
+    others = list({edited(word, rng.randrange(5)) for _ in range(400)})
+    df = spark.createDataFrame([(o,) for o in others], "o string").cache()
+    for k in (1, 2):
+        for swaps, near in ((True, osa), (False, levenshtein)):
+            found = ids(df.where(Fields(df).fuzzy("o", word, fuzziness=k, transpositions=swaps)), "o")
+            assert found == sorted(o for o in others if near(o, word) <= k)
+
+
 TEXTS = ["The quick-brown fox", "naïve café_42 ÜBER", "", "a  b", "don't stop", "東京 2020!", None,
          "the the THE", "foo_bar foo"]
 
