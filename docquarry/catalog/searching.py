@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from docquarry.catalog.registry import Catalog, Tables
 from docquarry.functions.analysis import ANALYZERS, STANDARD, normalizer
 from docquarry.functions.predicates import Fields
-from docquarry.operators import ranking, search as s
+from docquarry.operators import postings, ranking, search as s
+from docquarry.session import shared_folder
 from docquarry.sources.schema import Field, load_json, rejected_json, typed_load
 
 QUERIES = Catalog()
@@ -168,6 +171,28 @@ def t3_rank_stored_tokens(t: Tables):
     return hits.select("doc_id", F.round("_score", 6).alias("score"))
 
 
+def _stored_postings(t: Tables) -> postings.Postings:
+    folder = f"{shared_folder(t.spark)}/postings-{uuid.uuid4().hex}"
+    return postings.build(t.documents, "text", folder, key="doc_id", fields=Fields(t.documents, text=["text"]))
+
+
+@query(_bm25({"a": "the", "b": "and"}, f"{_part('a')} + {_part('b')}", "tf_a > 0 OR tf_b > 0")
+       + "SELECT doc_id, round(score, 6) AS score FROM sc ORDER BY score DESC, doc_id LIMIT 20")
+def t3_rank_postings(t: Tables):
+    """The page of ``t3_rank_match`` from stored postings."""
+    hits = _stored_postings(t).rank("The and", size=20)
+    return hits.select("doc_id", F.round("_score", 6).alias("score"))
+
+
+@query(_bm25({"a": "the", "b": "of"}, f"1.5 * ({_part('a')} + {_part('b')})", "tf_a > 0 AND tf_b > 0 AND doc_id % 3 = 0")
+       + "SELECT doc_id, round(score, 6) AS score FROM sc ORDER BY score DESC, doc_id LIMIT 15 OFFSET 5")
+def t3_rank_postings_and_filter(t: Tables):
+    """All words, a boost, a filter on documents, the second page."""
+    hits = _stored_postings(t).rank("the of", size=15, from_=5, boost=1.5, operator="AND",
+                                    only=t.documents.where(F.col("doc_id") % 3 == 0))
+    return hits.select("doc_id", F.round("_score", 6).alias("score"))
+
+
 @query(_bm25({"a": "of", "b": "und"},
              f"2.0 * ({_part('a')}) + CASE WHEN tf_b > 0 THEN {_part('b')} ELSE 0 END "
              "+ CASE WHEN doc_id % 2 = 0 THEN 0.5 ELSE 0 END", "tf_a > 0")
