@@ -333,7 +333,7 @@ def a12_three_levels(t: Tables):
               {"mean": F.round(m.avg("o_totalprice"), 2)}),
         Level("price", Ranges("o_totalprice", [
             {"key": "low", "to": 100000}, {"key": "high", "from": 100000}]))],
-    )
+        one_pass=True)
 
 
 @query("""
@@ -377,7 +377,7 @@ def a15_siblings(t: Tables):
     found = aggregations(
         t.orders, where=Fields(t.orders).term("o_orderstatus", "F"),
         measures={"mean": F.round(m.avg("o_totalprice"), 2), "top": m.max("o_totalprice")},
-        buckets={"priority": [Level("priority", Terms("o_orderpriority"))]})
+        buckets={"priority": [Level("priority", Terms("o_orderpriority"))]}, one_pass=True)
     buckets = found["priority"].select(
         F.lit("priority").alias("agg"), F.col("priority").alias("key"),
         F.col("priority_doc_count").cast("double").alias("value"))

@@ -20,6 +20,7 @@ from docquarry.functions.fields import FieldRef, FieldScope
 from docquarry.functions.intervals import Interval
 from docquarry.functions.predicates import all_of
 from docquarry.functions.values import literal
+from docquarry.session import written
 
 
 @dataclass(frozen=True)
@@ -154,15 +155,24 @@ def _single(df: DataFrame, bucket: Bucket, where: Column | None,
 def aggregations(df: DataFrame, *, where: Column | None = None,
                  measures: Mapping[str, Column] | None = None,
                  buckets: Mapping[str, Sequence[Level]] | None = None,
-                 persist: bool = False) -> dict[str, DataFrame]:
+                 persist: bool = False, one_pass: bool = False) -> dict[str, DataFrame]:
     """Several named aggregations over the same matches.
 
     Metrics share one pass under the name ``metrics``; each bucket tree is its
     own aggregation.  ``persist`` keeps the matches for the passes that follow,
-    spilling to disk; the caller unpersists ``matches``.
+    spilling to disk; the caller unpersists ``matches``.  ``one_pass`` aggregates everything at
+    once, see :func:`nest`.
     """
     rows = _matching(df, where)
     out: dict[str, DataFrame] = {}
+    if one_pass:
+        trees = dict(buckets or {})
+        if "metrics" in trees and measures:
+            raise ValueError("aggregation 'metrics' is named twice")
+        totals, grouped = _one_pass(rows, df, trees, measures or {})
+        if measures:
+            out["metrics"] = totals
+        return out | {name: _nested(df, levels, where, grouped[name]) for name, levels in trees.items()}
     if persist:
         rows = out["matches"] = rows.persist(StorageLevel.MEMORY_AND_DISK)
     if measures:
@@ -174,34 +184,116 @@ def aggregations(df: DataFrame, *, where: Column | None = None,
     return out
 
 
-def nest(df: DataFrame, levels: Sequence[Level], where: Column | None = None) -> DataFrame:
+def nest(df: DataFrame, levels: Sequence[Level], where: Column | None = None, *,
+         one_pass: bool = False) -> DataFrame:
     """Bucket levels inside each other, outermost first.
 
     Each level is one hash aggregation over just the columns it needs, so counts
     of an outer level are exact whatever the inner one does.  A level is joined to
     those outside it after both are aggregated: what meets is buckets, not documents,
     and Spark picks the join by their measured size.
+
+    Every level reads the rows anew.  ``one_pass`` reads them once: each row is repeated for
+    every level, all levels are grouped together, and their buckets are written to the shared
+    folder at once.  Levels that put a row into several buckets are refused.
     """
+    if one_pass:
+        _, grouped = _one_pass(_matching(df, where), df, {_ONLY: levels}, {})
+        return _nested(df, levels, where, grouped[_ONLY])
     _check_names(levels)
-    slots = [_Slot(level, depth) for depth, level in enumerate(levels)]
-    rows = _matching(df, where)
-    result = None
-    for slot in slots:
-        parents = [up.key for up in slots[:slot.depth]]
+    rows, grouped = _matching(df, where), []
+    for slot in _slots(levels):
+        parents = _parents(slot)
         rows = _with_key(rows, slot, df, parents)
-        grouped = rows.groupBy(*parents, slot.key).agg(
+        grouped.append(rows.groupBy(*parents, slot.key).agg(
             F.count(F.lit(1)).alias(slot.count),
-            *[slot.level.metrics[n].alias(m) for n, m in slot.measures.items()])
+            *[slot.level.metrics[n].alias(m) for n, m in slot.measures.items()]))
+        rows = rows.where(F.col(slot.key).isNotNull())
+    return _nested(df, levels, where, grouped)
+
+
+def _slots(levels: Sequence[Level]) -> list[_Slot]:
+    return [_Slot(level, depth) for depth, level in enumerate(levels)]
+
+
+def _parents(slot: _Slot) -> list[str]:
+    return [f"__key{depth}" for depth in range(slot.depth)]
+
+
+def _nested(df: DataFrame, levels: Sequence[Level], where: Column | None, grouped: Sequence[DataFrame]) -> DataFrame:
+    """Buckets of all levels, aggregated, as one row a path."""
+    slots, result = _slots(levels), None
+    for slot, buckets in zip(slots, grouped):
+        parents = _parents(slot)
         if result is None:
-            result = _shape_outermost(grouped, slot, df, where)
+            result = _shape_outermost(buckets, slot, df, where)
         elif isinstance(slot.bucket, Ranges):
-            result = _shape(result.join(grouped, parents, "left"), slot, parents)
+            result = _shape(result.join(buckets, parents, "left"), slot, parents)
         else:
-            result = result.join(_shape(grouped, slot, parents), parents, "left")
-        rows = rows.where(F.col(slot.key).isNotNull())
+            result = result.join(_shape(buckets, slot, parents), parents, "left")
     return _label(result, slots, FieldScope(df))
 
 
+def _one_pass(rows: DataFrame, df: DataFrame, trees: Mapping[str, Sequence[Level]],
+              measures: Mapping[str, Column]) -> tuple[DataFrame | None, dict[str, list[DataFrame]]]:
+    """Totals, and the buckets of every level of every tree, from one aggregation.
+
+    A grouping set a level: a row goes to the sets where all outer keys are present, with the
+    keys of deeper levels left out.
+    """
+    keys, sets = {}, []  # key columns; set: its keys, condition, aggregates by name
+    for t, levels in enumerate(trees.values()):
+        _check_names(levels)
+        for slot in _slots(levels):
+            name = f"__{t}_{slot.key}"
+            keys[name] = _single_key(slot, df)
+            own = [f"__{t}_{p}" for p in [*_parents(slot), slot.key]]
+            outer = [F.col(k).isNotNull() for k in (own[:-1] or own)]
+            sets.append((own, all_of(outer), {f"__{t}_{m}": slot.level.metrics[n] for n, m in slot.measures.items()}))
+    if measures:
+        sets.append(([], F.lit(True), {f"__total_{i}": c for i, c in enumerate(measures.values())}))
+    rows = rows.withColumns(keys)
+    kinds = {k: rows.schema[k].dataType for k in keys}
+    entries = [F.when(alive, F.struct(F.lit(i).alias("__set"), *[
+        (F.col(k) if k in own else F.lit(None).cast(kinds[k])).alias(k) for k in keys])) for i, (own, alive, _) in enumerate(sets)]
+    spread = rows.withColumn("__entry", F.explode(F.array_compact(F.array(*entries))))
+    spread = spread.withColumns({k: F.col(f"__entry.{k}") for k in keys}).withColumn("__set", F.col("__entry.__set"))
+    found = [c.alias(n) for _, _, aggregates in sets for n, c in aggregates.items()]
+    done = written(spread.groupBy("__set", *keys).agg(F.count(F.lit(1)).alias("__count"), *found), "buckets")
+    grouped: dict[str, list[DataFrame]] = {}
+    number = 0
+    for t, (name, levels) in enumerate(trees.items()):
+        grouped[name] = []
+        for slot in _slots(levels):
+            grouped[name].append(done.where(F.col("__set") == number).select(
+                *[F.col(f"__{t}_{k}").alias(k) for k in [*_parents(slot), slot.key]], F.col("__count").alias(slot.count),
+                *[F.col(f"__{t}_{m}").alias(m) for m in slot.measures.values()]))
+            number += 1
+    totals = None
+    if measures:
+        # Without rows there is no group, yet there are totals.
+        none = rows.limit(0).agg(*[c.alias(f"__total_{i}") for i, c in enumerate(measures.values())])
+        one = done.where(F.col("__set") == number).select([f"__total_{i}" for i in range(len(measures))])
+        totals = one.withColumn("__first", F.lit(0)).unionByName(none.withColumn("__first", F.lit(1))).orderBy(
+            "__first").limit(1).select(*[F.col(f"__total_{i}").alias(n) for i, n in enumerate(measures)])
+    return totals, grouped
+
+
+def _single_key(slot: _Slot, df: DataFrame) -> Column:
+    """Bucket key of a row that is in one bucket at most."""
+    bucket, ref = slot.bucket, FieldScope(df).field(slot.bucket.field)
+    several = ref.many or ref.analyzer is not None or (isinstance(bucket, Ranges) and not _disjoint(bucket.ranges))
+    if several:
+        raise ValueError(f"level {slot.level.name!r} puts a row into several buckets: it takes a pass of its own")
+    if isinstance(bucket, Ranges):
+        return _range_key(ref, bucket, None)
+    key = _present(ref, bucket)
+    if isinstance(bucket, DateHistogram):
+        return bucket.interval.start(key)
+    listed = _listed_keys(key, bucket)
+    return F.when(all_of(listed), key) if listed else key
+
+
 def _matching(df: DataFrame, where: Column | None) -> DataFrame:
     return df if where is None else df.where(where)
 

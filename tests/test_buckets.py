@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import optimized, plan_of
 from docquarry.functions import metrics as m
 from docquarry.functions.predicates import Fields
+from docquarry.operators import buckets
 from docquarry.operators.buckets import (
     DateHistogram, Level, Ranges, Terms, aggregations, date_histogram, metrics, nest,
     range_buckets, terms)
@@ -257,3 +258,45 @@ def test_matrix_stats(spark):
     assert ab.variance == pytest.approx(var / 2)
     assert ab.kurtosis == pytest.approx(3 * sum((x - mx) ** 4 for x in xs) / var ** 2)
     assert got["a", "a"].correlation == 1.0
+
+
+def _passes(spark, run):
+    """Scans of the source while ``run`` writes buckets, and the rows of what it returns."""
+    plans = []
+    real = buckets.written
+    buckets.written = lambda df, name: plans.append(plan_of(df)) or real(df, name)
+    try:
+        found = run()
+        return plans, found
+    finally:
+        buckets.written = real
+
+
+@pytest.mark.parametrize("where", [None, "false", "n > 3"])
+def test_one_pass_equals_a_pass_a_level(spark, where):
+    where = where and F.expr(where)
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "b", "c", None]), rng.choice([1, 2, 3, None]), rng.choice([0.5, 5.0, 50.0, None]),
+             dt.datetime(2024, rng.randrange(1, 7), 3) if rng.random() < 0.9 else None, i % 11) for i in range(400)]
+    df = spark.createDataFrame(rows, "s string, k int, x double, at timestamp, n int")
+    trees = [
+        [Level("s", Terms("s", size=2), {"mean": m.avg("x")}), Level("k", Terms("k", missing=9, exclude=[2])),
+         Level("x", Ranges("x", [{"to": 1}, {"from": 1, "to": 10}, {"from": 20}]), {"most": m.max("n")})],
+        [Level("at", DateHistogram("at", "month", format="yyyy-MM"), {"total": m.sum("x")}), Level("s", Terms("s", include="a|b"))],
+        [Level("x", Ranges("x", [{"to": 1}, {"from": 1}]), {}), Level("at", DateHistogram("at", "month", min_doc_count=2))]]
+    for levels in trees:
+        plans, once = _passes(spark, lambda: nest(df, levels, where, one_pass=True))
+        assert sorted(map(repr, once.collect())) == sorted(map(repr, nest(df, levels, where).collect()))
+        assert once.dtypes == nest(df, levels, where).dtypes and len(plans) == 1
+    measures = {"mean": m.avg("x"), "n": m.value_count("x")}
+    named = {"one": trees[0], "two": trees[1]}
+    plans, once = _passes(spark, lambda: aggregations(df, where=where, measures=measures, buckets=named, one_pass=True))
+    apart = aggregations(df, where=where, measures=measures, buckets=named)
+    assert len(plans) == 1 and plans[0].count("Scan ExistingRDD") <= 1
+    for name in apart:
+        assert sorted(map(repr, once[name].collect())) == sorted(map(repr, apart[name].collect())), name
+
+
+def test_one_pass_refuses_levels_with_several_buckets(spark, people):
+    with pytest.raises(ValueError, match="several buckets"):
+        nest(people, [Level("t", Terms("tags"))], one_pass=True)
