@@ -216,6 +216,16 @@ def t3_max_score(t: Tables):
 
 
 # -- projection, sort, paging -----------------------------------------------------
+@query("""
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY l_extendedprice DESC, l_linenumber, l_orderkey LIMIT 25 OFFSET 45000""")
+def l5_deep_page(t: Tables):
+    """Only sort values are dealt into ranges, and only one range is sorted."""
+    page = s.search(t.lineitem, sort=[s.SortBy("l_extendedprice", "desc"), "l_linenumber"], from_=45_000, size=25,
+                    key="l_orderkey")
+    return page.select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
 @query("SELECT o_orderkey, o_orderstatus, o_orderdate, o_orderpriority FROM orders")
 def l1_source_includes(t: Tables):
     return s.source_filter(t.orders, ["o_order*"], "o_orderkey")

@@ -13,9 +13,12 @@ from pyspark.sql import types as T
 
 from docquarry.functions import addresses
 from docquarry.functions.fields import FieldScope
-from docquarry.functions.predicates import all_of, any_of
+from docquarry.functions.predicates import all_of, any_of, holds
+from docquarry.session import written
 
 ID = "_id"
+#: Pages that start later are found by counting instead of ranking all before them.
+DEEP = 10_000
 
 
 @dataclass(frozen=True)
@@ -83,7 +86,7 @@ def search(df: DataFrame, where: Column | None = None, sort: Sequence[SortBy | s
 
     Ties are broken by ``key``, so pages are stable.  ``after`` holds the sort
     values and key of the last row seen: paging by it costs the same at any
-    depth, whereas a deep ``from_`` has to rank everything before it.
+    depth.  A page that starts beyond DEEP is found by counting: see :func:`_start_of`.
     """
     hits = df if where is None else df.where(where)
     rules = [SortBy(s) if isinstance(s, str) else s for s in sort] + [SortBy(key)]
@@ -93,11 +96,41 @@ def search(df: DataFrame, where: Column | None = None, sort: Sequence[SortBy | s
     columns = [F.col(n) for n in names]
     if after is not None:
         hits = hits.where(_after(rules, columns, after))
+    if from_ > DEEP:
+        start = _start_of(hits, rules, columns, from_)
+        if start is None:
+            return df.limit(0).select(*_source_columns(df, source, key))
+        values, from_ = start
+        same = all_of([c.eqNullSafe(F.lit(v)) for c, v in zip(columns, values)])
+        hits = hits.where(any_of([same, _after(rules, columns, values)]))
     hits = hits.orderBy(*[r.ordering(c) for r, c in zip(rules, columns)])
     hits = (hits.offset(from_) if from_ else hits).limit(size)
     return hits.select(*_source_columns(df, source, key))
 
 
+def _start_of(hits: DataFrame, rules: list[SortBy], columns: list[Column], from_: int) -> tuple[list[Any], int] | None:
+    """Sort values of the row at place ``from_``, and how many equal ones stand before it.
+
+    Sort values alone are dealt into ranges and counted; only the range that the place falls
+    into is sorted.  The page itself is then read from these values on.
+    """
+    order = [r.ordering(c) for r, c in zip(rules, columns)]
+    ranged = written(hits.select(*columns).repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "page")
+    for r in sorted(ranged.groupBy("__range").count().collect()):  # a row for each range
+        if from_ < r["count"]:
+            inside = ranged.where(F.col("__range") == r["__range"]).drop("__range")
+            values = list(inside.orderBy(*order).offset(from_).limit(1).first())
+            return values, from_ - inside.where(_before(rules, columns, values)).count()
+        from_ -= r["count"]
+    return None
+
+
+def _before(rules: list[SortBy], columns: list[Column], values: list[Any]) -> Column:
+    """Rows that sort strictly before ``values``."""
+    same = all_of([c.eqNullSafe(F.lit(v)) for c, v in zip(columns, values)])
+    return ~holds(any_of([same, _after(rules, columns, values)]))
+
+
 def _after(rules: list[SortBy], columns: list[Column], last: Sequence[Any]) -> Column:
     if len(last) != len(rules):
         raise ValueError("after needs one value per sort field, then the key")

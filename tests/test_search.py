@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -202,3 +204,24 @@ def test_a_hot_parent_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("order,missing", [("asc", "_last"), ("desc", "_first"), ("asc", "_first"), ("desc", "_last")])
+def test_deep_pages_equal_ranked_pages(spark, monkeypatch, order, missing):
+    rng = random.Random(7)
+    rows = [(rng.randrange(40), rng.choice([None, *range(6)]), rng.choice(["x", "y", None])) for _ in range(700)]
+    df = spark.createDataFrame(rows, "_id int, n int, w string").repartition(6)
+    sort = [s.SortBy("n", order, missing), "w"]
+    where = F.col("_id") != 7
+    ranked = [tuple(r) for r in s.search(df, where, sort, size=1000).collect()]
+    monkeypatch.setattr(s, "DEEP", 5)
+    for from_ in (6, 123, 400, len(ranked) - 3, len(ranked), 5000):
+        got = [tuple(r) for r in s.search(df, where, sort, from_=from_, size=12).collect()]
+        assert got == ranked[from_:from_ + 12], from_
+
+
+def test_a_deep_page_ranks_no_more_than_itself(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    plan = plan_of(s.search(lines, sort=["l_shipdate", "l_extendedprice", "l_linenumber"], from_=50_000, size=10, key="l_orderkey"))
+    limit = int(plan.split("TakeOrderedAndProject(limit=")[1].split(",")[0])
+    assert limit < 20 and "SinglePartition" not in plan
