@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import io
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,23 +18,48 @@ from docquarry.llm.common import stored
 SHARD, LEAF, BLOCK = 8192, 48, 2048
 #: Shards that are asked first for a bound to the k-th score.
 SEEDS = 4
+#: The scores that fit a column.
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 
 
-def scaled(vector: str) -> Column:
-    """floor(1024 x) of every component; null if one is null, not finite or out of range."""
-    whole = F.transform(vector, lambda x: F.floor(1024 * x.cast("double")))
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) > 2.0 ** 50))
-    return F.when(F.coalesce(~bad, F.lit(False)), F.transform(F.when(~bad, whole), lambda x: x.cast("long")))
+def finite(vector: str) -> Column:
+    """Components as doubles; null if one is null or not finite."""
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
+    return F.when(~bad, F.transform(vector, lambda x: x.cast("double")))
+
+
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """floor(1024 x), whole numbers as floats; infinite above 2^1013."""
+    with np.errstate(over="ignore"):
+        return np.floor(vectors * 1024)
+
+
+def exactly(vectors: np.ndarray) -> np.ndarray:
+    """floor(1024 x) as Python integers."""
+    return np.frompyfunc(lambda x: int(x) * 1024 if abs(x) > 2.0 ** 53 else math.floor(x * 1024), 1, 1)(
+        vectors).astype(object)
+
+
+def in_order(score: int) -> bytes:
+    """An integer of any size as bytes that sort alike."""
+    size = (abs(score).bit_length() + 7) // 8
+    if score >= 0:
+        return b"\1" + size.to_bytes(2, "big") + score.to_bytes(size, "big")
+    return b"\0" + (0xFFFF - size).to_bytes(2, "big") + ((1 << 8 * size) - 1 + score).to_bytes(size, "big")
 
 
 class Tree:
     """Balls around vectors, halved across the widest direction until LEAF are left."""
 
     def __init__(self, points: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.build(points, ids, rows)
+
+    def build(self, points: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
         order = np.arange(len(points))
         nodes: list[list[float]] = []  # from, to, left child or -1, right child
         centers, radii, todo = [], [], [(0, len(points), -1)]
-        real = points.astype(np.float64)
+        real = scaled(points)
         while todo:
             a, b, parent = todo.pop()
             at = len(nodes)
@@ -71,18 +97,21 @@ class Tree:
 
         The inner product with a point of a ball is at most that with the center plus the
         radius times the query's length.  Nodes are taken in order of that bound, until it
-        is below the k-th score so far (or ``leaves`` leaves are seen).
+        is below the k-th score so far (or ``leaves`` leaves are seen).  Where numbers are too
+        large for floats, scores are Python integers and such a bound holds nothing back.
         """
-        real, points = queries.astype(np.float64), self.points
-        size = np.abs(queries).max(initial=0) * float(np.abs(points).max(initial=0)) * max(1, points.shape[1])
-        exact = points.astype(np.float64) if size < 2.0 ** 53 else points.astype(object)
-        sides = real if size < 2.0 ** 53 else queries.astype(object)
-        bound = real @ self.centers.T
-        length = np.sqrt((real ** 2).sum(axis=1))
-        bound += length[:, None] * self.radii + 1e-9 * (np.abs(bound) + length[:, None] * self.radii) + 1e-6
+        with np.errstate(over="ignore", invalid="ignore"):
+            real, points = scaled(queries), scaled(self.points)
+            size = np.abs(real).max(initial=0) * np.abs(points).max(initial=0) * max(1, points.shape[1])
+            exact, sides = (points, real) if size < 2.0 ** 53 else (exactly(self.points), exactly(queries))
+            bound = real @ self.centers.T
+            length = np.sqrt((real ** 2).sum(axis=1))
+            reach = np.sqrt((self.centers ** 2).sum(axis=1)) + self.radii
+            bound += length[:, None] * (self.radii + 1e-9 * reach) + 1e-6
+        bound[np.isnan(bound)] = np.inf
         out = []
         for q in range(len(queries)):
-            above, floor, seen = bound[q], least[q], 0
+            above, floor, seen = bound[q].tolist(), float(least[q]), 0
             best: list[tuple] = []  # the k best so far: score, -id
             heap = [(-above[0], 0)]
             while heap:
@@ -111,7 +140,7 @@ class Tree:
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     column = column.combine_chunks()
-    return np.asarray(column.flatten(), np.int64).reshape(len(column), -1)
+    return np.asarray(column.flatten(), np.float64).reshape(len(column), -1)
 
 
 def _build(table: pa.Table) -> pa.Table:
@@ -129,7 +158,8 @@ def _search(k: int, leaves: int):
                 _matrix(queries["v"]), np.asarray(queries["row"]), k, least, leaves)
         at = [q for q, _, _ in found]
         return pa.table({"row": pa.array(np.asarray(queries["row"])[at] if at else [], pa.int64()),
-                         "score": pa.array([s for _, s, _ in found], pa.int64()),
+                         "place": pa.array([in_order(s) for _, s, _ in found], pa.binary()),
+                         "score": pa.array([min(max(s, LOWEST), HIGHEST) for _, s, _ in found], pa.int64()),
                          "id": pa.array([i for _, _, i in found], pa.int64())})
     return run
 
@@ -144,12 +174,13 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
     the query and prunes from the start in all shards.
 
     Returns ``query_id``, ``rank`` from 1, ``vec_id`` and ``score``; ties go to the smaller
-    id.  Vectors that are null or hold null, non-finite or huge components take no part;
-    vectors of different length don't meet; empty ones score 0 with each other.  A row
+    id.  Vectors that are null or hold null or non-finite components take no part.  Ranks are those
+    of the exact scores, however large; a score beyond 64 bits is given as the nearest that
+    fits.  Vectors of different length don't meet; empty ones score 0 with each other.  A row
     without id is no query, and comes last among ties.  Of repeated rows each is a row of
     its own: a query and a candidate.  Other columns play no part.
     """
-    rows = stored(vectors.select(F.col(id_col).cast("long").alias("id"), scaled(vector_col).alias("v"))
+    rows = stored(vectors.select(F.col(id_col).cast("long").alias("id"), finite(vector_col).alias("v"))
                   .where("v IS NOT NULL")
                   .select(F.coalesce("id", F.lit((1 << 63) - 1)).alias("id"), "v", F.size("v").alias("dim"),
                           F.monotonically_increasing_id().alias("row"), F.col("id").isNotNull().alias("named")),
@@ -170,12 +201,13 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_
         two = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(upto - 1)))).select(
             *keys, "row", "v", "least")
         return one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInArrow(
-            _search(k, leaves), "row long, score long, id long")
+            _search(k, leaves), "row long, place binary, score long, id long")
 
-    best = Window.partitionBy("row").orderBy(F.desc("score"), "id")
+    best = Window.partitionBy("row").orderBy(F.desc("place"), "id")
     seeds = ask(asks.withColumn("least", F.lit(None).cast("double")), min(shards, SEEDS), 2)
     least = (seeds.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k)
-             .select("row", F.col("score").cast("double").alias("least")))
+             .select("row", F.when(F.col("score") > LOWEST, F.col("score").cast("double")
+                                   - F.abs(F.col("score").cast("double")) * 2.0 ** -50 - 1).alias("least")))
     found = ask(asks.join(least, "row", "left"), shards, 0)
     found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return found.join(asks.select("row", F.col("id").alias("query_id")), "row").select(

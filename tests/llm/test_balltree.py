@@ -1,5 +1,6 @@
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -9,15 +10,15 @@ from docquarry.llm import balltree
 
 
 def brute(rows, k, every):
-    good = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows
-            if v is not None and all(x is not None and math.isfinite(x) and abs(x) <= 2.0 ** 50 for x in v)]
+    good = [(i, [math.floor(Fraction(x) * 1024) for x in v]) for i, v in rows
+            if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
     for n, (i, q) in enumerate(good):
         if i is None or i % every:
             continue
         scores = sorted((-sum(a * b for a, b in zip(q, c)), j is None, j or 0, j)
                         for m, (j, c) in enumerate(good) if m != n and len(c) == len(q))
-        out += [(i, r + 1, j, -s) for r, (s, _, _, j) in enumerate(scores[:k])]
+        out += [(i, r + 1, j, min(max(-s, -(1 << 63)), (1 << 63) - 1)) for r, (s, _, _, j) in enumerate(scores[:k])]
     return sorted(out, key=repr)
 
 
@@ -61,3 +62,22 @@ def test_bounds_prune_leaves():
     finally:
         balltree.heapq.heappop = real
     assert len(seen) < 5 * len(tree.nodes) / 3
+
+
+@pytest.mark.parametrize("leaf", [2, 48])
+def test_components_of_any_size(spark, monkeypatch, leaf):
+    """Nothing finite is left out, and scores beyond 64 bits rank exactly."""
+    monkeypatch.setattr(balltree, "SHARD", 20)
+    monkeypatch.setattr(balltree, "LEAF", leaf)
+    rng = random.Random(leaf)
+    assert run(spark, [(0, [4e9, 1.0]), (1, [4e9, 2.0]), (2, [5e9, 0.0])]) == brute(
+        [(0, [4e9, 1.0]), (1, [4e9, 2.0]), (2, [5e9, 0.0])], 10, 100)
+    sizes = [1.0, 3e6, 4e9, 1e15, 1e17, 1e30, 1e160, 1.7e308]
+    rows = [(i, [rng.choice([-1, 1]) * rng.random() * rng.choice(sizes) for _ in range(3)]) for i in range(80)]
+    rows += [(100 + i, [2.0 ** 52 + i, -(2.0 ** 52), 1.0]) for i in range(12)]
+    assert run(spark, rows, k=6, every=5) == brute(rows, 6, 5)
+
+
+def test_integers_in_order():
+    values = [0, 1, -1, 255, 256, -255, -256, 1 << 63, -(1 << 63), 1 << 2200, -(1 << 2200), 7, -7]
+    assert sorted(values, key=balltree.in_order) == sorted(values)
