@@ -6,31 +6,69 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import lru_cache
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from docquarry.llm.common import Hasher, pieces, words_of
+from docquarry.llm.tokencounts import spaces_drop, units
 
 #: Words that a rolling hash looks at, and the mean number of words between boundaries.
 ROLL, MEAN = 4, 48
-#: Entries that a task keeps of chunks, words and joins, about 150 MB in all; a full table is
+#: Entries that a task keeps of chunks, words and joins, about 100 MB in all; a full table is
 #: emptied.
-KEPT_CHUNKS, KEPT_WORDS, KEPT_JOINS = 16_000, 250_000, 60_000
-#: Punctuation that may close a word.
-CLOSING = b".,!?;:"
+KEPT_CHUNKS, KEPT_WORDS, KEPT_JOINS = 16_000, 400_000, 60_000
+#: Bytes of text, and tokens, that one step of array code takes.
+STEP, TOKENS = 1 << 20, 1 << 17
+#: Words that are encoded as one text.
+TOGETHER = 500
 
 FIELDS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
-
-class Encoded(NamedTuple):
-    """Token ids as they are hashed: decimal, joined by spaces; names: the decoded text."""
-
-    n: int
-    ids: bytes
-    names: bytes
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions start, start + 1, ... of each run, end to end."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
+class Spelling:
+    """A text for each token id, to write out many ids at once, with a space after each."""
+
+    def __init__(self, texts: list[bytes]) -> None:
+        self.sizes = np.array([len(t) + 1 for t in texts], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join([t + b" " for t in texts]), np.uint8)
+
+    def of(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The texts of the ids, and where each ends."""
+        sizes = self.sizes[ids]
+        return self.data[spread(self.starts[ids], sizes)].tobytes(), np.cumsum(sizes)
+
+    def digests(self, rows: list[np.ndarray]) -> Iterator[str]:
+        """SHA-256 of the texts of each row's ids, joined by one space."""
+        at = 0
+        while at < len(rows):
+            end, tokens = at + 1, len(rows[at])
+            while end < len(rows) and tokens + len(rows[end]) <= TOKENS:
+                tokens += len(rows[end])
+                end += 1
+            if tokens > TOKENS:  # one long row, piece by piece
+                state = hashlib.sha256()
+                for first in range(0, tokens, TOKENS):
+                    state.update(b" " * (first > 0) + self.of(rows[at][first:first + TOKENS])[0][:-1])
+                yield state.hexdigest()
+            else:
+                text, ends = self.of(np.concatenate(rows[at:end]))
+                view, stop = memoryview(text), np.cumsum([len(r) for r in rows[at:end]])
+                cut = np.concatenate([[0], ends])[np.concatenate([[0], stop])].tolist()
+                for a, b in zip(cut, cut[1:]):
+                    yield hashlib.sha256(view[a:max(a, b - 1)]).hexdigest()
+            at = end
 
 
 class Encoder:
@@ -38,10 +76,11 @@ class Encoder:
 
     A rolling hash over the last ROLL words puts a boundary before a word, so equal
     passages are cut alike wherever they stand.  A chunk that is already known brings
-    its ids along.  A new one is put together from its words, each encoded once by the
-    tokenizer.  Then the joins: the words on both sides of each boundary are encoded
-    as one text; where that differs from the ids at hand, the text around is encoded
-    again, twice as wide each time, until both ends agree.
+    its ids along.  A new one is put together from its words and punctuation, each encoded
+    once by the tokenizer and then gathered by number.  Then the joins: the words on both
+    sides of each boundary are encoded as one text; where that differs from both
+    by themselves, the text around is encoded again, twice as wide each time, until both
+    ends agree.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,28 +89,31 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.by_words = spaces_drop(self.tokenizer)
         self.hasher = Hasher(7)
-        self.chunks: dict[bytes, Encoded] = {}
-        self.words: dict[bytes, Encoded] = {}
-        self.joins: dict[bytes, bool] = {}
+        self.chunks: dict[bytes, np.ndarray] = {}
+        self.joins: dict[tuple[bytes, bytes], bool] = {}
+        self.no_words()
         size = self.tokenizer.get_vocab_size()
         tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
-        self.digits = [str(i).encode() for i in range(size)]
-        self.names = [t.encode() for t in tokens]
-        self.last = [t.endswith("</w>") for t in tokens]
+        self.digits = Spelling([str(i).encode() for i in range(size)])
+        # Without a decoder component, decoding joins the tokens by spaces.
+        self.names = Spelling([t.encode() for t in tokens]) if self.tokenizer.decoder is None else None
+        self.last = np.array([t.endswith("</w>") for t in tokens])
 
-    def forget(self) -> None:
-        for table in (self.chunks, self.words, self.joins):
-            table.clear()
+    def no_words(self) -> None:
+        self.words: dict[bytes, int] = {}
+        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
+        self.starts = np.zeros(KEPT_WORDS, np.int64)
+        self.sizes = np.zeros(KEPT_WORDS, np.int64)
 
-    def entry(self, ids: list[int]) -> Encoded:
-        """Without a decoder component, decoding joins the tokens by spaces."""
-        names = (b" ".join([self.names[i] for i in ids]) if self.tokenizer.decoder is None
-                 else self.tokenizer.decode(ids, skip_special_tokens=False).encode())
-        return Encoded(len(ids), b" ".join([self.digits[i] for i in ids]), names)
+    def forget(self) -> None:
+        self.chunks.clear()
+        self.joins.clear()
+        self.no_words()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Byte positions where chunks begin, row starts included, and their rows."""
@@ -85,97 +127,102 @@ class Encoder:
         at = np.unique(np.concatenate([starts[word], heads]))
         return at, np.searchsorted(offsets, at, "right") - 1
 
-    def plain(self, words: list[bytes]) -> None:
-        """Learns words of letters only, many in one text: each ends with a token that is
+    def plain(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of words of ASCII letters, many in one text: each ends with a token that is
         marked as a word's last.  If the marks don't come out even, one by one."""
-        for at in range(0, len(words), 500):
-            part = words[at:at + 500]
-            found, own = [], []
-            for i in self.encode([b" ".join(part).decode()])[0]:
-                own.append(i)
-                if self.last[i]:
-                    found.append(own)
-                    own = []
-            if own or len(found) != len(part):
-                found = self.encode([w.decode() for w in part])
-            self.words.update(zip(part, map(self.entry, found)))
-
-    def learn_words(self, missing: set[bytes]) -> None:
-        """Encodes words; one of letters and closing punctuation is two pieces for the
-        tokenizer too, and shares its letters with other words."""
-        tails, cores, whole = [], set(), []
-        for word in missing:
-            core = word.rstrip(CLOSING)
-            if not core or not letters(core):
-                whole.append(word)
+        out: list[np.ndarray] = []
+        for at in range(0, len(words), TOGETHER):
+            part = words[at:at + TOGETHER]
+            ids = self.encode([b" ".join(part).decode()])[0]
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                out += np.split(ids, ends[:-1])
             else:
-                cores.add(core)
-                if len(core) < len(word):
-                    tails.append((word, core, word[len(core):]))
-        self.plain([c for c in cores if c not in self.words])
-        whole += [t for t in {t for _, _, t in tails} if t not in self.words]
-        self.words.update(zip(whole, map(self.entry, self.encode([w.decode() for w in whole]))))
-        for word, core, tail in tails:
-            a, b = self.words[core], self.words[tail]
-            self.words[word] = Encoded(a.n + b.n, a.ids + b" " + b.ids, a.names + b" " + b.names)
+                out += self.encode([w.decode() for w in part])
+        return out
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of distinct words in the table, which learns those it doesn't hold."""
+        if len(self.words) + len(words) > KEPT_WORDS:
+            self.no_words()
+            if len(words) > KEPT_WORDS:
+                self.starts, self.sizes = np.zeros((2, len(words)), np.int64)
+        new = [w for w in words if w not in self.words]
+        letters, other = [w for w in new if w.isalpha()], [w for w in new if not w.isalpha()]
+        found = self.plain(letters) + self.encode([w.decode() for w in other])
+        if found:
+            first, sizes = len(self.words), np.array([len(ids) for ids in found], np.int64)
+            need = self.used + int(sizes.sum())
+            if need > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros(need, np.int32)])
+            self.ids[self.used:need] = np.concatenate(found)
+            self.starts[first:first + len(found)] = self.used + np.cumsum(sizes) - sizes
+            self.sizes[first:first + len(found)] = sizes
+            self.used = need
+            self.words.update(zip(letters + other, range(first, first + len(found))))
+        return np.array([self.words[w] for w in words], np.int64)
 
     def learn(self, new: list[bytes]) -> None:
         """Ids of chunks that are new, from the ids of their words; a chunk that may hold a
         special token, which is found before letters are lowered, is encoded as it is."""
-        if len(self.words) > KEPT_WORDS:
-            self.words.clear()
-        odd = [c for c in new if b"<|" in c]
-        self.chunks.update(zip(odd, map(self.entry, self.encode([c.decode() for c in odd]))))
+        odd = [c for c in new if not self.by_words or b"<|" in c]
+        self.chunks.update(zip(odd, self.encode([c.decode() for c in odd])))
         new = [c for c in new if c not in self.chunks]
-        split = [c.lower().split() for c in new]
-        known = self.words
-        self.learn_words({w for words in split for w in words if w not in known})
-        for chunk, words in zip(new, split):
-            self.chunks[chunk] = joined([known[w] for w in words])
+        if not new:
+            return
+        data = _LOWER[np.frombuffer(b"".join(new), np.uint8)]
+        offsets = np.concatenate([[0], np.cumsum([len(c) for c in new])])
+        starts, ends, rows = units(data, offsets, True)
+        _, first, which = np.unique(self.hasher.slices(data, starts, ends), return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        number = self.numbers(words)[which]
+        sizes = self.sizes[number]
+        ids = self.ids[spread(self.starts[number], sizes)]
+        bounds = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(rows, np.arange(len(new) + 1))].tolist()
+        self.chunks.update((c, ids[a:b].copy()) for c, a, b in zip(new, bounds, bounds[1:]))
 
     def sound(self, sides: list[tuple[bytes, bytes]]) -> list[bool]:
         """Whether the ids of two neighbouring words also come from encoding both as one."""
         if len(self.joins) > KEPT_JOINS:
             self.joins.clear()
-        keys = [a + b"\0" + b for a, b in sides]
-        new = {k: side for k, side in zip(keys, sides) if k not in self.joins}
-        if new:
-            self.learn_words({w for side in new.values() for w in side if w not in self.words})
-            whole = self.encode([(a + b" " + b).decode() for a, b in new.values()])
-            for (k, (a, b)), ids in zip(new.items(), whole):
-                self.joins[k] = self.entry(ids) == joined([self.words[a], self.words[b]])
-        return [self.joins[k] for k in keys]
-
-    def repaired(self, chunks: list[bytes], join: int) -> tuple[int, int, Encoded]:
+        new = [side for side in dict.fromkeys(sides) if side not in self.joins]
+        texts = [t.decode() for a, b in new for t in (a, b, a + b" " + b)]
+        found = self.encode(texts)
+        for i, side in enumerate(new):
+            left, right, whole = found[3 * i:3 * i + 3]
+            self.joins[side] = np.array_equal(np.concatenate([left, right]), whole)
+        return [self.joins[side] for side in sides]
+
+    def repaired(self, chunks: list[bytes], join: int) -> tuple[int, int, np.ndarray]:
         """First and last chunk around a bad join, and the ids of the text in between."""
         width = 1
         while True:
             first, last = max(0, join - width), min(len(chunks), join + width)
-            found = self.entry(self.encode([b"".join(chunks[first:last]).decode()])[0])
+            ids = self.encode([b"".join(chunks[first:last]).decode()])[0]
             head, tail = self.chunks[chunks[first]], self.chunks[chunks[last - 1]]
-            ids = b" " + found.ids + b" "
-            if ((first == 0 or ids.startswith(b" " + head.ids + b" "))
-                    and (last == len(chunks) or ids.endswith(b" " + tail.ids + b" "))):
-                return first, last, found
+            if ((first == 0 or np.array_equal(ids[:len(head)], head))
+                    and (last == len(chunks) or np.array_equal(ids[len(ids) - len(tail):], tail))):
+                return first, last, ids
             width *= 2
 
-    def row(self, own: list[bytes], bad: list[int]) -> Encoded:
+    def row(self, own: list[bytes], bad: list[int]) -> np.ndarray:
         """Ids of one text, cut into chunks, of whose joins some need repair."""
-        known, parts, done = self.chunks, [], 0
+        known, parts, done = self.chunks, [np.zeros(0, np.int32)], 0
         for join in bad:
             if join < done:
                 continue
             first, last, fixed = self.repaired(own, join)
             if first < done:  # reaches into what is already repaired: all of it again
-                parts = [self.entry(self.encode([b"".join(own[:last]).decode()])[0])]
+                parts = [self.encode([b"".join(own[:last]).decode()])[0]]
             else:
                 parts += [known[c] for c in own[done:first]] + [fixed]
             done = last
-        return joined(parts + [known[c] for c in own[done:]])
+        return np.concatenate(parts + [known[c] for c in own[done:]])
 
-    def documents(self, texts: pa.Array) -> Iterator[Encoded]:
-        """Token ids of each text, in order."""
-        for _, data, offsets in pieces(texts):
+    def documents(self, texts: pa.Array) -> Iterator[list[np.ndarray]]:
+        """Token ids of each text, in order, for some rows at a time."""
+        for _, data, offsets in pieces(texts, STEP):
             at, rows = self.cuts(data, offsets)
             raw, edges = data.tobytes(), [*at.tolist(), len(data)]
             chunks = [raw[a:b] for a, b in zip(edges, edges[1:])]
@@ -187,8 +234,15 @@ class Encoder:
                       (chunks[i].lower().split(None, 1) or [b""])[0]) for i in inner]
             bad = [i for i, good in zip(inner, self.sound(sides)) if not good]
             bounds = np.searchsorted(rows, np.arange(len(offsets))).tolist()
-            for a, b in zip(bounds, bounds[1:]):
-                yield self.row(chunks[a:b], [i - a for i in bad if a < i < b] if bad else [])
+            yield [self.row(chunks[a:b], [i - a for i in bad if a < i < b] if bad else [])
+                   for a, b in zip(bounds, bounds[1:])]
+
+    def decoded(self, rows: list[np.ndarray]) -> Iterator[str]:
+        """SHA-256 of each row's decoded text."""
+        if self.names is not None:
+            return self.names.digests(rows)
+        texts = self.tokenizer.decode_batch([r.tolist() for r in rows], skip_special_tokens=False)
+        return (hashlib.sha256(t.encode()).hexdigest() for t in texts)
 
 
 @lru_cache(1)
@@ -197,19 +251,6 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
-def letters(word: bytes) -> bool:
-    """Whether a word is nothing but Latin letters, in lower case too."""
-    text = word.decode().lower()
-    return text.isalpha() and max(text) < "\u0250"
-
-
-def joined(parts: list[Encoded]) -> Encoded:
-    if len(parts) == 1:
-        return parts[0]
-    return Encoded(sum([p.n for p in parts]), b" ".join([p.ids for p in parts if p.n]),
-                   b" ".join([p.names for p in parts if p.n]))
-
-
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
                      ids: bool = False) -> DataFrame:
     """Encodes every whole text and decodes it again; one row out for each row in.
@@ -230,16 +271,19 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     def encoded(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = list(encoder.documents(batch.column(1)))
-            columns = [batch.column(0), pa.array([e.n for e in found], pa.int64()),
-                       pa.array([hashlib.sha256(e.ids).hexdigest() for e in found], pa.string()),
-                       pa.array([hashlib.sha256(e.names).hexdigest() for e in found], pa.string())]
-            names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
+            sizes, digits, names, found = [], [], [], []
+            for rows in encoder.documents(batch.column(1)):
+                sizes += [len(r) for r in rows]
+                digits += encoder.digits.digests(rows)
+                names += encoder.decoded(rows)
+                found += rows if ids else []
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digits, pa.string()),
+                       pa.array(names, pa.string())]
+            labels = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
             if ids:
-                columns.append(pa.array([[int(i) for i in e.ids.split()] for e in found],
-                                        pa.list_(pa.int32())))
-                names.append("token_ids")
-            yield pa.RecordBatch.from_arrays(columns, names)
+                columns.append(pa.array(found, pa.list_(pa.int32())))
+                labels.append("token_ids")
+            yield pa.RecordBatch.from_arrays(columns, labels)
 
     frame = docs.select(id_col, text_col)
     kind = frame.schema[0].dataType.simpleString()
