@@ -168,10 +168,14 @@ class Encoder:
         odd = [c for c in new if not self.by_words or b"<|" in c]
         self.chunks.update(zip(odd, self.encode([c.decode() for c in odd])))
         new = [c for c in new if c not in self.chunks]
-        if not new:
-            return
-        data = _LOWER[np.frombuffer(b"".join(new), np.uint8)]
-        offsets = np.concatenate([[0], np.cumsum([len(c) for c in new])])
+        self.chunks.update(zip(new, self.assembled(new)))
+
+    def assembled(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of texts, each put together from those of its words and punctuation."""
+        if not texts:
+            return []
+        data = _LOWER[np.frombuffer(b"".join(texts), np.uint8)]
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
         starts, ends, rows = units(data, offsets, True)
         _, first, which = np.unique(self.hasher.slices(data, starts, ends), return_index=True, return_inverse=True)
         raw = data.tobytes()
@@ -179,19 +183,19 @@ class Encoder:
         number = self.numbers(words)[which]
         sizes = self.sizes[number]
         ids = self.ids[spread(self.starts[number], sizes)]
-        bounds = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(rows, np.arange(len(new) + 1))].tolist()
-        self.chunks.update((c, ids[a:b].copy()) for c, a, b in zip(new, bounds, bounds[1:]))
+        bounds = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(rows, np.arange(len(texts) + 1))].tolist()
+        return [ids[a:b].copy() for a, b in zip(bounds, bounds[1:])]
 
     def sound(self, sides: list[tuple[bytes, bytes]]) -> list[bool]:
         """Whether the ids of two neighbouring words also come from encoding both as one."""
         if len(self.joins) > KEPT_JOINS:
             self.joins.clear()
         new = [side for side in dict.fromkeys(sides) if side not in self.joins]
-        texts = [t.decode() for a, b in new for t in (a, b, a + b" " + b)]
-        found = self.encode(texts)
+        apart = [word for side in new for word in side]
+        parts = self.assembled(apart) if self.by_words else self.encode([w.decode() for w in apart])
+        whole = self.encode([(a + b" " + b).decode() for a, b in new])
         for i, side in enumerate(new):
-            left, right, whole = found[3 * i:3 * i + 3]
-            self.joins[side] = np.array_equal(np.concatenate([left, right]), whole)
+            self.joins[side] = np.array_equal(np.concatenate(parts[2 * i:2 * i + 2]), whole[i])
         return [self.joins[side] for side in sides]
 
     def repaired(self, chunks: list[bytes], join: int) -> tuple[int, int, np.ndarray]:
