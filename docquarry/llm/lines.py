@@ -161,7 +161,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return out.withColumn(id_col, F.when(F.col(id_col) < (1 << 63) - 1, F.col(id_col)))
 
 
-def shortened(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shortened(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
     """All columns of the rows, the text without repeated chunks, and ``lines_removed``.
 
     As ``remove_repeats``; a text that loses nothing stays what it is, null included.
@@ -169,9 +169,10 @@ def shortened(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("k"),
                        F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
-    joined = rows.join(removals(rows), ["k", "th"], "left").select("row", "gone")
+    joined = rows.join(removals(rows, whole), ["k", "th"], "left").select("row", "gone")
     parts = F.split(F.col(f"row.{text_col}"), "\n", -1)
-    gone = F.flatten(F.transform("gone", lambda g: F.sequence(g["first"], g["first"] + g["lines"] - 1)))
+    gone = F.array_distinct(F.flatten(F.transform(
+        "gone", lambda g: F.sequence(g["first"], g["first"] + g["lines"] - 1))))
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.array_contains(gone, i)), "\n")
     return joined.select(
         *[(F.when(F.col("gone").isNotNull(), kept).otherwise(F.col(f"row.`{text_col}`")) if c == text_col
