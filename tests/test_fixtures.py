@@ -1,4 +1,4 @@
-"""The sample models: locations, departments, sales, bulk documents, user accounts."""
+"""Small models that use several operators: lighthouses, departments, sales, parcels, seeds."""
 
 import datetime as dt
 
@@ -15,17 +15,20 @@ from docquarry.operators.matrix import matrix_stats
 from docquarry.sources.schema import Field, struct_type, typed_load
 
 
-def test_locations(spark):
-    schema = {"_id": Field("keyword"), "name": Field("text"), "location": Field("geo_point")}
-    places = spark.createDataFrame([
-        ("1", "City Hall", (37.7793, -122.4193)), ("2", "Berkeley", (37.8715, -122.2730)),
-        ("3", "San Jose", (37.3382, -121.8863))], struct_type(schema))
-    q = Fields(places)
-    near = q.geo_distance("location", distance="10km", lat=37.7749, lon=-122.4194)
-    box = q.geo_bounding_box("location", top_left={"lat": 38, "lon": -123}, bottom_right={"lat": 37, "lon": -122})
-    assert ids(places.where(near)) == ["1"]
-    assert ids(places.where(box)) == ["1", "2"]
-    assert ids(places.where(q.bool(must=[q.match("name", "hall berkeley"), box], must_not=[near]))) == ["2"]
+def test_lighthouses_near_and_inside(spark):
+    """Points on both sides of the date line, circles and boxes that cross it."""
+    schema = {"_id": Field("keyword"), "light": Field("text"), "at": Field("geo_point")}
+    lights = spark.createDataFrame([
+        ("cook", "green harbour light", (-17.2, 179.6)), ("taveuni", "white cape light", (-16.9, -179.9)),
+        ("savusavu", "red harbour light", (-16.8, 179.3)), ("apia", "white harbour light", (-13.8, -171.8)),
+        ("lost", "unlit rock", None)], struct_type(schema))
+    q = Fields(lights)
+    near = q.geo_distance("at", distance="75km", lat=-17.0, lon=180.0)
+    strait = q.geo_bounding_box("at", top_left={"lat": -16.85, "lon": 179.5}, bottom_right={"lat": -17.5, "lon": -179.5})
+    assert ids(lights.where(near)) == ["cook", "taveuni"]
+    assert ids(lights.where(q.geo_distance("at", distance="80km", lat=-17.0, lon=180.0))) == ["cook", "savusavu", "taveuni"]
+    assert ids(lights.where(strait)) == ["cook", "taveuni"]
+    assert ids(lights.where(q.bool(must=[q.match("light", "harbour")], must_not=[strait]))) == ["apia", "savusavu"]
 
 
 def test_departments_and_employees(spark):
@@ -52,36 +55,42 @@ def test_sales(spark):
     assert pair.correlation == pytest.approx(1.0)
 
 
-def test_bulk_documents(spark):
-    schema = "_id string, name string, age int, description string"
-    empty = spark.createDataFrame([], schema)
-    batch = spark.createDataFrame([(None, "Mara Voss", 25, "Software Developer"),
-                                   (None, "Ilse Brandt", 30, "Data Scientist")], schema)
-    stored = mutate.upsert(empty, spark.createDataFrame(
-        [("x", "Mara Voss", 25, "d"), ("y", "Ilse Brandt", 30, "e")], schema))
-    assert mutate.upsert(empty, batch).where("_id is not null").count() == 2
-    assert ids(mutate.delete_by_ids(stored, ["x"])) == ["y"]
-    with pytest.raises(ValueError, match="invalidField"):
-        mutate.upsert(empty, batch.withColumn("invalidField", F.lit(1)))
-
-
-def test_user_accounts(spark):
+def test_parcels_arrive_in_batches(spark):
+    """Generated and given ids, a repeat inside a batch, a column that the collection lacks."""
+    columns = "_id string, depot string, grams bigint, fragile boolean"
+    yard = spark.createDataFrame([("p7", "north", 1200, False), ("p8", "south", 80, True), ("p9", "south", 80, None)], columns)
+    batch = spark.createDataFrame([("p8", "west", 95, True, 4), ("p8", "east", 90, False, 2), ("p20", None, 3, None, 1)],
+                                  columns + ", scan int")
+    now = mutate.upsert(yard, batch, seq="scan")
+    assert {r["_id"]: (r.depot, r.grams, r.fragile) for r in now.collect()} == {
+        "p7": ("north", 1200, False), "p8": ("west", 95, True), "p9": ("south", 80, None), "p20": (None, 3, None)}
+    nameless = spark.createDataFrame([(None, "north", n, True) for n in range(4)], columns)
+    grown = mutate.upsert(now, nameless)
+    assert grown.count() == 8 and grown.select("_id").distinct().count() == 8
+    assert ids(mutate.delete_by_ids(now, ["p9", "p7", "p9", "p1000"])) == ["p20", "p8"]
+    with pytest.raises(ValueError, match="colour"):
+        mutate.upsert(yard, nameless.withColumn("colour", F.lit("blue")))
+
+
+def test_seed_catalogue(spark):
+    """Required text, a checked code, objects, and a keyword form of a text field."""
     schema = {
-        "username": Field("text", required=True, fields={"keyword": Field("keyword")}),
-        "email": Field("keyword", required=True, validate=lambda c: c.rlike(r"^[^@]+@[^@]+\.[^@]+$")),
-        "address": Field("object", properties={"street": Field("text"), "city": Field("keyword"),
-                                               "country": Field("keyword")}),
+        "variety": Field("text", required=True, fields={"exact": Field("keyword")}),
+        "code": Field("keyword", validate=lambda c: c.rlike("^[A-Z]{2}-[0-9]{4}$")),
+        "bed": Field("object", properties={"note": Field("text"), "row": Field("integer")}),
     }
     raw = spark.createDataFrame([
-        ("1", "mara voss", "mara@example.com", ("1 Quay Lane", "New York", "USA")),
-        ("2", None, "nobody", None)],
-        "_id string, username string, email string, address struct<street:string,city:string,country:string>")
-    users = typed_load(raw, schema)
-    q = Fields(users)
-    assert ids(users.where(q.match("username", "MARA", operator="AND", fuzziness="AUTO"))) == ["1"]
-    assert ids(users.where(q.term("username.keyword", "mara voss"))) == ["1"]
-    assert sorted((v.field, v.rule) for v in constraints.violations(users, schema).collect()) == [
-        ("email", "validate"), ("username", "required")]
+        ("s1", "Purple Podded Pea", "PE-0417", ("dry, sunny corner", "12")), ("s2", "   ", "PE-417", None),
+        ("s3", None, None, ("shade", None)), ("s4", "pea, sugar", "TO-9000", ("sunny wall", "3.9"))],
+        "_id string, variety string, code string, bed struct<note:string,row:string>")
+    seeds = typed_load(raw, schema)
+    q = Fields(seeds)
+    assert ids(seeds.where(q.match("variety", "pea"))) == ["s1", "s4"]
+    assert ids(seeds.where(q.match("variety", "sugr peas", operator="AND", fuzziness="AUTO"))) == ["s4"]
+    assert ids(seeds.where(q.term("variety.exact", "Purple Podded Pea"))) == ["s1"]
+    assert ids(seeds.where(q.match("bed.note", "sunny") & q.range("bed.row", lt=10))) == ["s4"]
+    assert sorted((v._id, v.field, v.rule) for v in constraints.violations(seeds, schema).collect()) == [
+        ("s2", "code", "validate"), ("s3", "variety", "required")]
 
 
 LEAVES = st.sampled_from(["a", "b", "n"])

@@ -98,30 +98,38 @@ def test_last_operation_is_found_before_the_shuffle(spark):
     assert plan.index("Exchange hashpartitioning") < plan.index("partial_max")
 
 
-def test_update_by_query(people):
-    q = Fields(people)
-    old = q.match_each({"name": "Mara Voss", "age": 25})
-    got = mu.update_by_query(people, old, {
-        "age": F.col("age") + 1, "description": None, "tags": ["x"],
-        "address": [{"street": "1 A St", "city": "Rome"}]})
+@pytest.fixture
+def ferries(spark):
+    return spark.createDataFrame([
+        ("f1", "Aurora", 3.2, ["car", "foot"], ("Leith", None), [("Lerwick", 12), ("Kirkwall", 7)]),
+        ("f2", "Borealis", 3.2, [], None, []),
+        ("f3", "Cumulus", None, None, ("Oban", "p4"), [("Craignure", 1)])],
+        "_id string, ship string, draught double, decks array<string>, home struct<port:string,pier:string>, "
+        "calls array<struct<port:string,hours:int>>")
+
+
+def test_update_by_query(ferries):
+    q = Fields(ferries)
+    deep = q.match_each({"draught": 3.2, "decks": "car"})
+    got = mu.update_by_query(ferries, deep, {
+        "draught": F.col("draught") * 2, "ship": F.concat("ship", F.lit(" II")), "decks": None,
+        "calls": [{"port": "Stromness"}, {"hours": 2, "port": "Ullapool"}]})
     rows = {r._id: r for r in got.collect()}
-    assert rows["1"].age == 26 and rows["1"].description is None and rows["1"].tags == ["x"]
-    assert [a.asDict() for a in rows["1"].address] == [{"street": "1 A St", "city": "Rome", "country": None}]
-    assert rows["2"] == people.where("_id = '2'").first()
-    assert got.schema.fieldNames() == people.columns
-
-
-def test_update_sets_members_of_objects(users):
-    q = Fields(users)
-    got = mu.update_by_query(users, q.range("age", gte=30), {
-        "address": {"city": "X"}, "address.country": "Y"})
-    rows = {r._id: r.address for r in got.collect()}
-    assert rows["2"].asDict() == {"street": "12 Mill Row", "city": "X", "country": "Y"}
-    assert rows["1"].city == "New York"
-    with pytest.raises(ValueError):
-        mu.update_by_query(users, q.exists("age"), {"address": {"zip": 1}})
-    with pytest.raises(ValueError):
-        mu.update_by_query(users, q.exists("age"), {"zip": 1})
+    assert (rows["f1"].ship, rows["f1"].draught, rows["f1"].decks) == ("Aurora II", 6.4, None)
+    assert [tuple(c) for c in rows["f1"].calls] == [("Stromness", None), ("Ullapool", 2)]
+    before = {r._id: r for r in ferries.collect()}
+    assert rows["f2"] == before["f2"] and rows["f3"] == before["f3"]
+    assert got.schema.fieldNames() == ferries.columns
+
+
+def test_update_sets_members_of_objects(ferries):
+    q = Fields(ferries)
+    got = mu.update_by_query(ferries, q.exists("home"), {"home": {"pier": "p9"}, "home.port": F.upper("home.port")})
+    rows = {r._id: r.home for r in got.collect()}
+    assert tuple(rows["f1"]) == ("LEITH", "p9") and tuple(rows["f3"]) == ("OBAN", "p9") and rows["f2"] is None
+    for missing in ({"home": {"berth": 1}}, {"berth": 1}):
+        with pytest.raises(ValueError):
+            mu.update_by_query(ferries, q.exists("ship"), missing)
 
 
 def test_delete_by_query_keeps_undecided_rows(spark):
@@ -129,16 +137,16 @@ def test_delete_by_query_keeps_undecided_rows(spark):
     assert ids(mu.delete_by_query(now, Fields(now).term("n", 1))) == ["2"]
 
 
-def test_merge_fields(users, spark):
+def test_merge_fields(ferries, spark):
+    """A patch without an order fills in what it has; later ones win field by field."""
     patch = spark.createDataFrame([
-        ("1", 26, None, 1), ("1", None, ("New St", None, None), 2), ("1", 27, None, 0), ("9", 1, None, 1)],
-        "_id string, age int, address struct<street:string,city:string,country:string>, seq int")
-    got = {r._id: r for r in mu.merge_fields(users, patch, seq="seq").collect()}
-    assert got["1"].age == 26
-    assert got["1"].address.asDict() == {"street": "New St", "city": "New York", "country": "USA"}
-    assert got["2"].age == 30 and len(got) == 3
-    assert ids(mu.unmatched(users, patch)) == ["9"]
-    assert mu.merge_fields(users, patch.drop("seq")).count() == 3
+        ("f3", 4.5, None, 10), ("f3", None, ("Mallaig", None), 30), ("f3", 4.0, ("Tobermory", "p1"), 20), ("f8", 1.0, None, 1)],
+        "_id string, draught double, home struct<port:string,pier:string>, seq int")
+    got = {r._id: r for r in mu.merge_fields(ferries, patch, seq="seq").collect()}
+    assert set(got) == {"f1", "f2", "f3"}
+    assert got["f3"].draught == 4.0 and got["f3"].home.port == "Mallaig" and got["f3"].ship == "Cumulus"
+    assert got["f1"].draught == 3.2 and got["f2"].home is None
+    assert ids(mu.unmatched(ferries, patch)) == ["f8"]
 
 
 # -- constraints ------------------------------------------------------------------
