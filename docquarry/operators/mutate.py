@@ -33,13 +33,19 @@ def last_per_key(ops: DataFrame, key: str, seq: str) -> DataFrame:
             .agg(F.max(seq).alias("__seq"), F.max_by("__n", seq).alias("__n"))
             .withColumnRenamed(key, "__key"))
     same = (F.col(key) == F.col("__key")) & F.col(seq).eqNullSafe(F.col("__seq"))
-    single = given.join(last.where("__n = 1"), same, "left_semi")
-    tied = given.join(last.where("__n > 1"), same, "left_semi")
-    rest = [c for c in ops.columns if c != key]
-    tied = tied.groupBy(key).agg(F.max(F.struct(*rest)).alias("__last")).select(
-        key, *[F.col("__last").getField(c).alias(c) for c in rest])
-    return (single.unionByName(tied.select(*ops.columns))
-            .unionByName(ops.where(F.col(key).isNull())))
+    rest = F.struct(*[c for c in ops.columns if c not in (key, seq)])
+    # Rows meet partitioned by key and order; only tied ones are compared.
+    tied = Window.partitionBy(key, seq).orderBy(F.when(F.col("__n") > 1, rest).desc())
+    picked = given.join(last, same).withColumn("__place", F.row_number().over(tied)).where("__place = 1")
+    return picked.select(*ops.columns).unionByName(ops.where(F.col(key).isNull()))
+
+
+def _without(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The documents that no row of ``keys`` names."""
+    if key not in keys.columns:
+        return target
+    named = keys.select(key).where(F.col(key).isNotNull()).distinct()
+    return target.join(named, key, "left_anti").select(*target.columns)
 
 
 def with_ids(df: DataFrame, key: str = ID) -> DataFrame:
@@ -58,13 +64,14 @@ def upsert(target: DataFrame, source: DataFrame, key: str = ID, seq: str | None
     documents of their own, and get an id if ids are strings.  ``allow_new`` lets the
     source add columns.
     """
+    # Which documents go is known without the last row of each key.
+    kept = _without(target, source, key)
     source = last_per_key(source, key, seq).drop(seq) if seq is not None else _unrepeated(source, key)
     if isinstance(target.schema[key].dataType, T.StringType):
         source = with_ids(source, key)
     extra = [c for c in source.columns if c not in target.columns]
     if extra and not allow_new:
         raise ValueError(f"unknown fields: {extra}")
-    kept = target.join(source.select(key), key, "left_anti").select(*target.columns)
     return kept.unionByName(_typed_like(source, target), allowMissingColumns=True)
 
 
@@ -98,8 +105,8 @@ def apply_ops(target: DataFrame, ops: DataFrame, key: str = ID, seq: str = "seq"
     Other operations have no effect; :func:`bulk_report` lists them as errors.  A document
     without a key is a new one, and gets an id if ids are strings.
     """
-    last = last_per_key(ops.where(F.col(op).isin(INDEX, DELETE)), key, seq)
-    kept = target.join(last.select(key), key, "left_anti").select(*target.columns)
+    ops = ops.where(F.col(op).isin(INDEX, DELETE))
+    kept, last = _without(target, ops, key), last_per_key(ops, key, seq)
     added = last.where(F.col(op) == INDEX).drop(op, seq)
     if isinstance(target.schema[key].dataType, T.StringType):
         added = with_ids(added, key)

@@ -194,7 +194,7 @@ def _lost(col: Column, f: Field, raw: T.DataType) -> Column:
 
 def rollback(table: SnapshotTable, migration_id: str) -> int:
     """Go back to the version kept by a migration; possible once per migration."""
-    entries = [e for e in _entries(table) if e["id"] == migration_id]
+    entries = _entries(table, migration_id)
     done = [e for e in entries if e["action"] == "migrate" and e["committed"]]
     if not done:
         raise MigrationError(f"no completed migration {migration_id!r}")
@@ -222,15 +222,15 @@ def history(table: SnapshotTable, limit: int | None = None) -> DataFrame:
     return rows if limit is None else rows.limit(limit)
 
 
-def _entries(table: SnapshotTable) -> list[dict]:
-    """The migration part of the log: one small row per migration or rollback."""
+def _entries(table: SnapshotTable, migration_id: str) -> list[dict]:
+    """The log rows of one migration: itself and its rollbacks."""
     rows = (table.log().where(F.col("action").isin(*_HISTORY_ACTIONS))
             .select("action", "committed",
                     F.get_json_object("detail", "$.id").alias("id"),
                     F.get_json_object("detail", "$.backup_version").cast("long")
-                    .alias("backup_version")))
+                    .alias("backup_version")).where(F.col("id") == migration_id))
     return [r.asDict() for r in rows.collect()]
 
 
 def _next_id(table: SnapshotTable) -> str:
-    return f"m{sum(e['action'] == 'migrate' for e in _entries(table)) + 1}"
+    return f"m{table.log().where(F.col('action') == 'migrate').count() + 1}"
