@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from uuid import uuid4
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docquarry.catalog.registry import Catalog, Tables
 from docquarry.functions import metrics as m
@@ -207,18 +209,16 @@ def _streamed(t: Tables, user: Column, files: int) -> tuple[SnapshotTable, str]:
     all but the first come late for some users."""
     folder = f"{shared_folder(t.spark)}/streams/{uuid4().hex}"
     events = t.events.withColumn("user_id", user)
-    for i in range(files):
-        events.where(F.col("event_id") % files == (i * 3 + 1) % files).coalesce(1).write.mode(
-            "append").parquet(f"{folder}/events")
-    stream = (t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-              .parquet(f"{folder}/events"))
-    changes = stream.withColumns({
-        "op": F.when(F.col("event_type") == "error", "delete").otherwise("index"),
-        "seq": F.col("event_id")})
-    table = upserts.open_table(changes, f"{folder}/table", "user_id", "seq", "op", buckets=4)
+    table = None
     for run in ("once", "again"):  # the second run repeats every batch
-        upserts.upsert_stream(changes, table, key="user_id", seq="seq", op="op", every=None,
-                              checkpoint=f"{folder}/{run}").awaitTermination()
+        for i in range(files):  # a batch is what has come since the last one, in any number of files
+            events.where(F.col("event_id") % files == (i * 3 + 1) % files).write.mode("append").parquet(f"{folder}/{run}")
+            changes = t.spark.readStream.schema(events.schema).parquet(f"{folder}/{run}").withColumns({
+                "op": F.when(F.col("event_type") == "error", "delete").otherwise("index"),
+                "seq": F.col("event_id")})
+            table = table or upserts.open_table(changes, f"{folder}/table", "user_id", "seq", "op", buckets=4)
+            upserts.upsert_stream(changes, table, key="user_id", seq="seq", op="op", every=None,
+                                  checkpoint=f"{folder}/checkpoint-{run}").awaitTermination()
     return table, folder
 
 
@@ -399,6 +399,22 @@ def c2_rejected(t: Tables):
         "c_custkey", F.size("violations").cast("long").alias("broken"))
 
 
+@F.pandas_udf(T.BooleanType())
+def _checksum(names: pd.Series) -> pd.Series:
+    """A caller's rule that no Column says: digits of the name add up to a multiple of three."""
+    digits = names.str.extractall("([0-9])")[0].astype(int).groupby(level=0).sum()
+    return digits.reindex(names.index, fill_value=0) % 3 == 0
+
+
+@query("""
+SELECT c_custkey, 'c_name' AS field, 'validate' AS rule FROM customer
+WHERE list_sum(list_transform(regexp_extract_all(c_name, '[0-9]'), lambda d: CAST(d AS INTEGER))) % 3 <> 0""")
+def u1_validator_callback(t: Tables):
+    """A callback over whole batches of values, as a pandas UDF."""
+    rules = {"c_name": Field("keyword", validate=_checksum)}
+    return constraints.violations(t.customer, rules, key="c_custkey").select("c_custkey", "field", "rule")
+
+
 @query(f"""
 SELECT c_custkey, coalesce(name, 'anonymous') AS name, coalesce(segment, 'none') AS segment,
   CAST(c_custkey AS VARCHAR) AS label FROM ({_PEOPLE})""")
