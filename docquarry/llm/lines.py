@@ -16,18 +16,20 @@ from docquarry.llm.common import Hasher, keyed, pieces, stored
 ROLL, MEAN = 2, 3
 
 
-def chunks_of(data: np.ndarray, offsets: np.ndarray, hasher: Hasher):
-    """(bytes with a line end after each row, row, first line, lines, from, to, hash) of the
-    chunks of two lines and more that hold a word.
-
-    A line whose hash, rolled with that of the line before, is divisible by MEAN ends a
-    chunk, unless the line before does.  So boundaries depend on three lines around, and a
-    passage is cut alike wherever it stands, but for its edges.
-    """
+def _lines(data: np.ndarray, offsets: np.ndarray):
+    """Bytes with a line end after each row; start, end and row of each line; words before each byte."""
     data = np.insert(data, offsets[1:], 10)
     ends = np.flatnonzero(data == 10)
     starts = np.r_[0, ends[:-1] + 1][:len(ends)]
     rows = np.searchsorted(offsets[1:] + np.arange(1, len(offsets)), ends, "right")
+    word = np.r_[0, np.cumsum((data > 32) | ((data < 9) | (data > 13)) & (data != 32))]
+    return data, starts, ends, rows, word
+
+
+def _cuts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, word: np.ndarray,
+          hasher: Hasher, trim: bool) -> tuple[np.ndarray, np.ndarray]:
+    """First line of each chunk of two lines and more that holds a word, and the line after its
+    last; with ``trim`` without white space beyond the line next to a word."""
     hashes = hasher.slices(data, starts, ends)
     cut = np.zeros(len(ends) + 1, bool)
     rolled = hasher.windows(hashes, ROLL)
@@ -37,26 +39,41 @@ def chunks_of(data: np.ndarray, offsets: np.ndarray, hasher: Hasher):
     head = np.r_[True, rows[1:] != rows[:-1]] if len(rows) else np.zeros(0, bool)
     first = np.flatnonzero(head | cut[:len(rows)])
     last = np.r_[first[1:], len(rows)][:len(first)]
+    keep = (last - first > 1) & (word[ends[last - 1]] > word[starts[first]])
+    first, last = first[keep], last[keep]
+    if trim and len(first):
+        full = np.flatnonzero(word[ends] > word[starts])
+        first = np.maximum(first, full[np.searchsorted(full, first)] - 1)
+        last = np.minimum(last, full[np.searchsorted(full, last) - 1] + 2)
+    return first, last
+
+
+def chunks_of(data: np.ndarray, offsets: np.ndarray, hasher: Hasher, trim: bool = False):
+    """(bytes with a line end after each row, row, first line, lines, from, to, hash) of the
+    chunks of two lines and more that hold a word.
+
+    A line whose hash, rolled with that of the line before, is divisible by MEAN ends a
+    chunk, unless the line before does.  So boundaries depend on three lines around, and a
+    passage is cut alike wherever it stands, but for its edges.  With ``trim``, white space
+    beyond the line next to a word is left out at both ends.
+    """
+    data, starts, ends, rows, word = _lines(data, offsets)
+    first, last = _cuts(data, starts, ends, rows, word, hasher, trim)
     begin, end = starts[first], ends[last - 1]
-    word = np.r_[0, np.cumsum((data > 32) | ((data < 9) | (data > 13)) & (data != 32))]
-    keep = (last - first > 1) & (word[end] > word[begin])
-    first, last, begin, end = first[keep], last[keep], begin[keep], end[keep]
     top = np.searchsorted(rows, rows[first])
     return data, rows[first], first - top, last - first, begin, end, hasher.slices(data, begin, end)
 
 
 def pairs_of(data: np.ndarray, offsets: np.ndarray, hasher: Hasher):
     """As ``chunks_of``, of every two neighbouring lines that hold a word, and of every two
-    lines that hold a word with more than two of white space between them.
+    lines that hold a word with more than two of white space between them; and the first line
+    of the trimmed chunk that the pair lies in, -1 if it reaches beyond one.
 
     Every run of lines that begins and ends within a line of a word is a chain of these, so
     chains of repeated ones are the repeated runs, grown as far as they go.
     """
-    data = np.insert(data, offsets[1:], 10)
-    ends = np.flatnonzero(data == 10)
-    starts = np.r_[0, ends[:-1] + 1][:len(ends)]
-    rows = np.searchsorted(offsets[1:] + np.arange(1, len(offsets)), ends, "right")
-    word = np.r_[0, np.cumsum((data > 32) | ((data < 9) | (data > 13)) & (data != 32))]
+    data, starts, ends, rows, word = _lines(data, offsets)
+    head, tail = _cuts(data, starts, ends, rows, word, hasher, True)
     worded = word[ends] > word[starts]
     first, full = np.flatnonzero(worded[:-1] | worded[1:]), np.flatnonzero(worded)
     wide = np.flatnonzero(np.diff(full) > 3)
@@ -65,31 +82,38 @@ def pairs_of(data: np.ndarray, offsets: np.ndarray, hasher: Hasher):
     first, last = first[same], last[same]
     begin, end = starts[first], ends[last]
     top = np.searchsorted(rows, rows[first])
-    return data, rows[first], first - top, last + 1 - first, begin, end, hasher.slices(data, begin, end)
+    inside = np.full(len(first), -1)
+    if len(head):
+        at = np.searchsorted(head, first, "right") - 1
+        inside = np.where((at >= 0) & (last < tail[at]), head[at] - top, -1)
+    return data, rows[first], first - top, last + 1 - first, begin, end, hasher.slices(data, begin, end), inside
 
 
-def _chunks(text: bool, whole: bool):
+def _units(kind: str, text: bool):
+    """Rows of the chunks, the trimmed chunks or the pairs of texts: all, or with ``text`` those
+    that begin in a wanted line, with their bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(51)
         for batch in batches:
             k, th = (np.asarray(batch.column(c)) for c in ("k", "th"))
             wanted = batch.column("wanted") if text else None
             for at, data, offsets in pieces(batch.column("text")):
-                data, row, first, lines, begin, end, hashed = (
-                    pairs_of if whole else chunks_of)(data, offsets, hasher)
-                hashed = hashed.view(np.int64)
+                if kind == "pairs":
+                    data, row, first, lines, begin, end, hashed, inside = pairs_of(data, offsets, hasher)
+                else:
+                    data, row, first, lines, begin, end, hashed = chunks_of(data, offsets, hasher, kind == "trimmed")
+                    inside = np.full(len(row), -1)
                 if text:
                     asked = [set(w.as_py()) for w in wanted.slice(at, len(offsets) - 1)]
                     keep = [i for i, (r, f) in enumerate(zip(row.tolist(), first.tolist())) if f in asked[r]]
-                    row, first, lines, begin, end, hashed = (
-                        x[keep] for x in (row, first, lines, begin, end, hashed))
-                columns = [pa.array(hashed), pa.array(k[at + row]), pa.array(th[at + row]),
-                           pa.array(first.astype(np.int32)), pa.array(lines.astype(np.int32))]
-                names = ["h", "k", "th", "first", "lines"]
+                    row, first, lines, begin, end, hashed, inside = (
+                        x[keep] for x in (row, first, lines, begin, end, hashed, inside))
+                columns = [pa.array(hashed.view(np.int64)), pa.array(k[at + row]), pa.array(th[at + row]),
+                           *(pa.array(x.astype(np.int32)) for x in (first, lines, inside))]
+                names = ["h", "k", "th", "first", "lines", "inside"]
                 if text:
                     raw = data.tobytes()
-                    found = (raw[a:b] for a, b in zip(begin, end))
-                    columns.append(pa.array([hashlib.sha256(x).digest() if whole else x for x in found], pa.binary()))
+                    columns.append(pa.array([raw[a:b] for a, b in zip(begin, end)], pa.binary()))
                     names.append("chunk")
                 yield pa.RecordBatch.from_arrays(columns, names)
     return run
@@ -117,23 +141,45 @@ def _rebuilt(id_col: str, text: bool):
     return run
 
 
-def removals(frame: DataFrame, whole: bool = False) -> DataFrame:
-    """``k``, ``th`` and ``gone`` (first line and number of lines of each chunk to remove, or with
-    ``whole`` of each pair of lines)."""
-    plain = "h long, k long, th long, first int, lines int"
-    all_ = frame.select("k", "th", "text").mapInArrow(_chunks(False, whole), plain)
-    twice = all_.groupBy("h").count().where("count > 1").select("h")
-    wanted = all_.join(twice, "h", "left_semi").groupBy("k", "th").agg(F.collect_set("first").alias("wanted"))
+UNIT = "h long, k long, th long, first int, lines int, inside int"
+
+
+def _repeated(units: DataFrame) -> DataFrame:
+    """Units whose hash comes more than once."""
+    return units.join(units.groupBy("h").count().where("count > 1").select("h"), "h", "left_semi")
+
+
+def _later(frame: DataFrame, repeated: DataFrame, kind: str) -> DataFrame:
+    """``k``, ``th``, ``first`` and ``lines`` of the units that stand before, byte for byte."""
+    wanted = repeated.groupBy("k", "th").agg(F.collect_set("first").alias("wanted"))
     places = stored(frame.select("k", "th", "text").join(wanted, ["k", "th"]).select("k", "th", "text", "wanted")
-                    .mapInArrow(_chunks(True, whole), plain + ", chunk binary"), "chunks")
-    # Equal hash and equal bytes (pairs: 256 bits of hash of them): the first place keeps the chunk.
+                    .mapInArrow(_units(kind, True), UNIT + ", chunk binary"), kind)
+    # Equal hash and equal bytes: the first place keeps the chunk.
     kept = places.groupBy("h", "chunk").agg(F.min(F.struct("k", "th", "first")).alias("keeper"))
     later = F.struct("k", "th", "first") != F.col("keeper")
-    if whole:  # a place that overlaps the first one isn't a repeat of it
+    if kind == "pairs":  # a place that overlaps the first one isn't a repeat of it
         later = ((F.col("k") != F.col("keeper.k")) | (F.col("th") != F.col("keeper.th"))
                  | (F.col("first") >= F.col("keeper.first") + F.col("lines")))
-    return (places.join(kept, ["h", "chunk"]).where(later)
-            .groupBy("k", "th").agg(F.collect_set(F.struct("first", "lines")).alias("gone")))
+    return places.join(kept, ["h", "chunk"]).where(later).select("k", "th", "first", "lines")
+
+
+def removals(frame: DataFrame, whole: bool = False) -> DataFrame:
+    """``k``, ``th`` and ``gone`` (first line and number of lines of each chunk to remove, and with
+    ``whole`` of each pair of lines beyond them that is to go).
+
+    With ``whole``, the chunks that stand before go first.  They are then grown, and runs that hold
+    no whole chunk found, by the pairs of lines that don't lie in one of these: the first place of
+    a pair never does, so every pair is still held against its first place.
+    """
+    rows = frame.select("k", "th", "text")
+    kind = "trimmed" if whole else "chunks"
+    gone = _later(rows, _repeated(rows.mapInArrow(_units(kind, False), UNIT)), kind)
+    if whole:
+        gone = stored(gone, "gone")
+        inner = gone.select("k", "th", F.col("first").alias("inside")).distinct()
+        pairs = rows.mapInArrow(_units("pairs", False), UNIT).join(inner, ["k", "th", "inside"], "left_anti")
+        gone = gone.unionByName(_later(rows, _repeated(pairs), "pairs"))
+    return gone.groupBy("k", "th").agg(F.collect_set(F.struct("first", "lines")).alias("gone"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -141,8 +187,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Removes chunks of two lines and more that stand in the corpus before, byte for byte.
 
     The first place of a chunk, by id, keeps it.  With ``whole``, not only whole chunks go
-    but every run of lines, from two lines on, that stands before: every two neighbouring
-    lines are looked up, so the shortest run that is always caught is of two lines with a
+    but every run of lines, from two lines on, that stands before: repeated chunks are grown by
+    pairs of neighbouring lines, so the shortest run that is always caught is of two lines with a
     word in one of them.  White space beyond the line next to a word is no part of a run.
     The first place of a line stays.  Returns, for each row, ``id_col``,
     ``n_lines``, ``n_removed`` (lines), ``kept_sha256`` (of the lines left, joined by line

@@ -2,11 +2,12 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from docquarry.llm import lines
-from docquarry.llm.common import Hasher
+from docquarry.llm.common import Hasher, keyed
 from llm.conftest import rows_of
 
 NO = (1 << 63) - 1
@@ -125,3 +126,36 @@ def test_whole_runs_equal_brute_force(make):
         parts = t.split("\n") if t else []
         assert (r.n_removed, r.kept_text) == (
             len(gone), "\n".join(p for j, p in enumerate(parts) if j not in gone)), r
+
+
+def test_whole_runs_go_by_chunks_first(make):
+    """Repeated chunks go as chunks; pairs only add the lines beyond them."""
+    rng = random.Random(6)
+    passage = [f"shared {rng.randrange(10 ** 9)}" for _ in range(30)]
+    rows = [(1, "\n".join(passage)), (2, "\n".join(["own a", "own b", *passage, "own c"]))]
+    spans = {(a, n) for a, n, chunk in cut(rows[1][1]) if chunk.decode() in rows[0][1]}
+    gone = lines.removals(keyed(make(rows)), whole=True).collect()
+    assert len(spans) >= 5 and [r.k for r in gone] == [2]
+    found = {(g["first"], g["lines"]) for g in gone[0].gone}
+    assert spans <= found
+    assert not any(a <= f and f + n <= a + m for f, n in found - spans for a, m in spans)
+    assert {x for f, n in found for x in range(f, f + n)} == set(range(2, 32))
+
+
+def test_bytes_are_compared():
+    """Chunks and pairs are held against each other by their bytes, not by digests."""
+    text = "\n\n\na b\nc\n\n\n\nd"
+    batch = pa.RecordBatch.from_pylist([{"k": 1, "th": 2, "text": text, "wanted": list(range(9))}])
+    for kind in ("chunks", "trimmed", "pairs"):
+        got = [r for b in lines._units(kind, True)(iter([batch])) for r in b.to_pylist()]
+        assert got and all(r["chunk"].decode() == "\n".join(
+            text.split("\n")[r["first"]:r["first"] + r["lines"]]) for r in got)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_whole_runs_with_white_space_equal_brute_force(make, seed):
+    rng = random.Random(seed)
+    rows = [(i, "\n".join(rng.choice(["", " ", "a", "b", "c d", "e"]) for _ in range(rng.randrange(30)))) for i in range(60)]
+    expected = runs_gone(rows)
+    for r in lines.remove_repeats(make(rows), whole=True).collect():
+        assert r.n_removed == len(expected[r.doc_id, dict(rows)[r.doc_id]]), r
