@@ -1,10 +1,10 @@
 """Stored postings: ranking by BM25 that reads the query's own terms, and of them only what can
 reach the page.
 
-A collection's text is split once.  ``build`` writes one row a term and document, grouped by
-a hash of the term and sorted by term and impact, and a small table of blocks: for each term and
-impact level, how many postings there are and their highest impact.  Impact is the part of
-the BM25 score that doesn't depend on the query.
+``build`` writes one row a term and document, in segments: each task writes those of its own
+documents, grouped by a hash of the term and sorted by term and impact.  A small table of blocks
+has, for each term and impact level, how many postings there are and their highest impact.  Impact
+is the part of the BM25 score that doesn't depend on the query.
 """
 
 from __future__ import annotations
@@ -73,12 +73,24 @@ def _weight(tf: Column, length: Column, mean: Column) -> Column:
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """A row for each document and term, with the number of times it holds the term: equal words stand
+    together once a document's words are sorted."""
+    words, heads = F.col("words"), F.col("heads")
+    docs = docs.where("length > 0").withColumn("words", F.array_sort("words")).withColumn("heads", F.filter(
+        F.sequence(F.lit(0), F.col("length") - 1), lambda i: ~F.get(words, i).eqNullSafe(F.get(words, i - 1))))
+    terms = F.transform(heads, lambda at, i: F.struct(
+        F.get(words, at).alias("term"), (F.coalesce(F.get(heads, i + 1), F.col("length")) - at).alias("tf")))
+    # The outer form has no filter that would work out the terms a second time.
+    return docs.select("key", "__row", "length", F.inline_outer(terms)).select("term", "key", "__row", "tf", "length")
+
+
 def build(df: DataFrame, field: str, folder: str, *, key: str = ID, fields: FieldScope | None = None) -> Postings:
     """Write the postings of a text field below ``folder``.
 
-    Documents are counted and split in one pass, terms of a document inside its own map task.
-    Postings are then dealt out by ranges of (folder, term, impact): a word that
-    most documents hold fills many files.  Null texts are no documents, empty ones are.
+    A first pass counts documents and their words.  In a second one each task counts the terms of
+    its documents, sorts and writes them: no posting is sent to another task, and a word that most
+    documents hold is in the segments of all tasks.  Null texts are no documents, empty ones are.
     """
     spark = df.sparkSession
     ref = (fields or FieldScope(df)).field(field)
@@ -87,18 +99,12 @@ def build(df: DataFrame, field: str, folder: str, *, key: str = ID, fields: Fiel
     docs = df.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("__row"), ref.tokens().alias("words"))
     docs = docs.where("words IS NOT NULL").withColumn("length", F.size("words"))
     docs.agg(F.count(F.lit(1)).alias("docs"), F.avg("length").alias("mean")).coalesce(1).write.parquet(f"{folder}/totals")
-    totals = spark.read.parquet(f"{folder}/totals")
-    mean = totals.select("mean").scalar()
-    counted = (docs.select("key", "__row", "length", F.explode("words").alias("term"))
-               .groupBy("__row", "term").agg(F.first("key").alias("key"), F.first("length").alias("length"),
-                                           F.count(F.lit(1)).alias("tf")))
+    mean = spark.read.parquet(f"{folder}/totals").select("mean").scalar()
     impact = _weight(F.col("tf").cast("double"), F.col("length"), mean)
-    rows = counted.select("term", "key", "__row", "tf", "length", impact.alias("impact")).withColumns(
-        {"level": F.floor(F.col("impact") * LEVELS).cast("int"), "part": _part(F.col("term"))})
-    order = ["part", "term", F.desc("level"), "__row"]
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("part").parquet(f"{folder}/postings")
+    rows = _counted(docs).withColumns({"level": F.floor(impact * LEVELS).cast("int"), "part": _part(F.col("term"))})
+    rows.sortWithinPartitions("part", "term", F.desc("level")).write.partitionBy("part").parquet(f"{folder}/postings")
     stored = spark.read.schema(rows.schema).parquet(f"{folder}/postings")
-    (stored.groupBy("part", "term", "level").agg(F.count(F.lit(1)).alias("size"), F.max("impact").alias("top"))
+    (stored.groupBy("part", "term", "level").agg(F.count(F.lit(1)).alias("size"), F.max(impact).alias("top"))
      .repartitionByRange("part", "term").sortWithinPartitions("part", "term")
      .write.partitionBy("part").parquet(f"{folder}/blocks"))
     return Postings(spark, folder, ref.search_analyzer, docs.schema["key"].dataType.simpleString(), key)
@@ -116,7 +122,7 @@ class Postings:
 
     def _read(self, table: str) -> DataFrame:
         columns = {"totals": "docs long, mean double", "blocks": "term string, level int, size long, top double, part int",
-                   "postings": f"term string, key {self.key_type}, __row long, tf long, length int, impact double, "
+                   "postings": f"term string, key {self.key_type}, __row long, tf int, length int, "
                                "level int, part int"}[table]
         return self.spark.read.schema(columns).parquet(f"{self.folder}/{table}")
 

@@ -60,3 +60,22 @@ def test_nothing_found(spark, stored, tmp_path):
     assert empty.rank("w0").columns == ["_id", "_score"] and empty.rank("w0").collect() == []
     with pytest.raises(TypeError):
         postings.build(docs, "_id", str(tmp_path / "x"))
+
+
+def test_postings_are_written_by_the_task_that_split_the_document(stored):
+    """No posting is sent to another task, and those of a segment are sorted by term and level."""
+    _, index = stored
+    rows = index._read("postings").withColumn("file", F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1))
+    tasks = rows.groupBy("__row").agg(F.count_distinct("file")).collect()
+    assert len(tasks) > 600 and {r[1] for r in tasks} == {1}
+    segments = {}
+    for r in rows.collect():
+        segments.setdefault((r.file, r.part), []).append((r.term, -r.level))
+    assert len(segments) > 20 and all(s == sorted(s) for s in segments.values())
+
+
+def test_postings_hold_every_term_of_every_document(spark, stored):
+    docs, index = stored
+    want = sorted((w, k or -1, t.lower().replace("!", "").split().count(w)) for k, t in docs.collect() if t
+                  for w in set(t.lower().replace("!", "").split()))
+    assert sorted((r.term, r.key or -1, r.tf) for r in index._read("postings").collect()) == want
