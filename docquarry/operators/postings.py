@@ -9,11 +9,14 @@ is the part of the BM25 score that doesn't depend on the query.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 from math import log
+from zlib import crc32
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +32,10 @@ PARTS, LEVELS = 64, 64
 SEEDS = 8
 #: Room for rounding in bounds.
 SLACK = 1e-9
+#: Words that are counted at once; a longer text is counted alone.
+RUN = 1 << 21
+
+_POSTING = "term string, key {}, __row long, tf int, length int, level int, part int"
 
 
 @dataclass(frozen=True)
@@ -66,23 +73,52 @@ class Term:
 
 
 def _part(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(PARTS)).cast("int")
+    return F.pmod(F.crc32(word.cast("binary")), F.lit(PARTS)).cast("int")
 
 
-def _weight(tf: Column, length: Column, mean: Column) -> Column:
+def _weight(tf, length, mean):
+    """Impact of columns, or of arrays."""
     return tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
 
 
-def _counted(docs: DataFrame) -> DataFrame:
-    """A row for each document and term, with the number of times it holds the term: equal words stand
-    together once a document's words are sorted."""
-    words, heads = F.col("words"), F.col("heads")
-    docs = docs.where("length > 0").withColumn("words", F.array_sort("words")).withColumn("heads", F.filter(
-        F.sequence(F.lit(0), F.col("length") - 1), lambda i: ~F.get(words, i).eqNullSafe(F.get(words, i - 1))))
-    terms = F.transform(heads, lambda at, i: F.struct(
-        F.get(words, at).alias("term"), (F.coalesce(F.get(heads, i + 1), F.col("length")) - at).alias("tf")))
-    # The outer form has no filter that would work out the terms a second time.
-    return docs.select("key", "__row", "length", F.inline_outer(terms)).select("term", "key", "__row", "tf", "length")
+def _counted(mean: float):
+    """Postings of batches of documents, sorted by part, term and level in runs of some documents."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.asarray(batch.column("length")).astype(np.int64)
+            total, at = np.r_[0, np.cumsum(sizes)], 0
+            while at < len(sizes):
+                end = max(at + 1, int(np.searchsorted(total, total[at] + RUN, "right")) - 1)
+                yield from _run_of(batch.slice(at, end - at), sizes[at:end])
+                at = end
+
+    def _run_of(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        coded = batch.column("words").flatten().dictionary_encode()
+        if not len(coded):
+            return
+        terms = coded.dictionary.to_pylist()
+        parts = [crc32(t.encode()) % PARTS for t in terms]
+        order = sorted(range(len(terms)), key=lambda i: (parts[i], terms[i]))
+        rank = np.empty(len(terms), np.int64)
+        rank[order] = np.arange(len(terms))
+        seen, tf = np.unique(rank[np.asarray(coded.indices)] << 32 | np.repeat(np.arange(len(sizes)), sizes),
+                             return_counts=True)
+        rank, doc = seen >> 32, seen & 0xFFFFFFFF
+        level = np.floor(_weight(tf.astype(float), sizes[doc], mean) * LEVELS).astype(np.int32)
+        sort = np.lexsort((-level, rank))
+        rank, doc, tf, level = rank[sort], doc[sort], tf[sort], level[sort]
+        term = np.asarray(order, np.int32)[rank]
+        for i in range(0, len(sort), RUN // 8):
+            some = slice(i, i + RUN // 8)
+            docs = pa.array(doc[some])
+            yield pa.RecordBatch.from_arrays(
+                [coded.dictionary.take(pa.array(term[some])), batch.column("key").take(docs),
+                 batch.column("__row").take(docs), pa.array(tf[some].astype(np.int32)),
+                 pa.array(sizes[doc[some]].astype(np.int32)), pa.array(level[some]),
+                 pa.array(np.asarray(parts, np.int32)[term[some]])],
+                ["term", "key", "__row", "tf", "length", "level", "part"])
+
+    return run
 
 
 def build(df: DataFrame, field: str, folder: str, *, key: str = ID, fields: FieldScope | None = None) -> Postings:
@@ -99,15 +135,16 @@ def build(df: DataFrame, field: str, folder: str, *, key: str = ID, fields: Fiel
     docs = df.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("__row"), ref.tokens().alias("words"))
     docs = docs.where("words IS NOT NULL").withColumn("length", F.size("words"))
     docs.agg(F.count(F.lit(1)).alias("docs"), F.avg("length").alias("mean")).coalesce(1).write.parquet(f"{folder}/totals")
-    mean = spark.read.parquet(f"{folder}/totals").select("mean").scalar()
-    impact = _weight(F.col("tf").cast("double"), F.col("length"), mean)
-    rows = _counted(docs).withColumns({"level": F.floor(impact * LEVELS).cast("int"), "part": _part(F.col("term"))})
+    mean = spark.read.parquet(f"{folder}/totals").first()["mean"] or 1.0
+    key_type = docs.schema["key"].dataType.simpleString()
+    rows = docs.mapInArrow(_counted(mean), _POSTING.format(key_type))
     rows.sortWithinPartitions("part", "term", F.desc("level")).write.partitionBy("part").parquet(f"{folder}/postings")
     stored = spark.read.schema(rows.schema).parquet(f"{folder}/postings")
+    impact = _weight(F.col("tf").cast("double"), F.col("length"), F.lit(mean))
     (stored.groupBy("part", "term", "level").agg(F.count(F.lit(1)).alias("size"), F.max(impact).alias("top"))
      .repartitionByRange("part", "term").sortWithinPartitions("part", "term")
      .write.partitionBy("part").parquet(f"{folder}/blocks"))
-    return Postings(spark, folder, ref.search_analyzer, docs.schema["key"].dataType.simpleString(), key)
+    return Postings(spark, folder, ref.search_analyzer, key_type, key)
 
 
 @dataclass(frozen=True)
@@ -122,8 +159,7 @@ class Postings:
 
     def _read(self, table: str) -> DataFrame:
         columns = {"totals": "docs long, mean double", "blocks": "term string, level int, size long, top double, part int",
-                   "postings": f"term string, key {self.key_type}, __row long, tf int, length int, "
-                               "level int, part int"}[table]
+                   "postings": _POSTING.format(self.key_type)}[table]
         return self.spark.read.schema(columns).parquet(f"{self.folder}/{table}")
 
     def _own(self, word: str) -> Column:

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +80,18 @@ def test_postings_hold_every_term_of_every_document(spark, stored):
     want = sorted((w, k or -1, t.lower().replace("!", "").split().count(w)) for k, t in docs.collect() if t
                   for w in set(t.lower().replace("!", "").split()))
     assert sorted((r.term, r.key or -1, r.tf) for r in index._read("postings").collect()) == want
+
+
+def test_batches_are_counted_in_sorted_runs(monkeypatch):
+    monkeypatch.setattr(postings, "RUN", 8)
+    texts = [["b", "a", "b"], [], ["c"] * 9, ["é", "a"], ["b"], []]
+    batch = pa.RecordBatch.from_pylist([{"key": None if i == 3 else i, "__row": 10 + i, "words": w, "length": len(w)}
+                                        for i, w in enumerate(texts)])
+    runs = [b.to_pylist() for b in postings._counted(2.5)(iter([batch, batch.slice(1, 1)]))]
+    order = lambda r: (r["part"], r["term"], -r["level"])
+    rows = [r for run in runs for r in run]
+    assert len(runs) > 3 and all(run == sorted(run, key=order) for run in runs)
+    assert sorted((r["__row"] - 10, r["term"], r["tf"], r["length"]) for r in rows) == sorted(
+        (i, t, w.count(t), len(w)) for i, w in enumerate(texts) for t in set(w))
+    assert all(r["key"] == (None if r["__row"] == 13 else r["__row"] - 10) for r in rows)
+    assert all(r["level"] == int(postings._weight(r["tf"], r["length"], 2.5) * postings.LEVELS) for r in rows)
