@@ -41,6 +41,25 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def homes(count: int) -> list[int]:
+    """For each of ``count`` shuffle partitions an int that Spark's hash (Murmur3) deals to it."""
+    found = {}
+    for first in range(0, 1 << 31, 1 << 16):
+        numbers = np.arange(first, first + (1 << 16))
+        x = (numbers * 0xCC9E2D51 & 0xFFFFFFFF).astype(np.uint64)
+        x = ((x << np.uint64(15) | x >> np.uint64(17)) & np.uint64(0xFFFFFFFF)) * np.uint64(0x1B873593) & np.uint64(0xFFFFFFFF)
+        x ^= np.uint64(42)
+        x = ((x << np.uint64(13) | x >> np.uint64(19)) & np.uint64(0xFFFFFFFF)) * np.uint64(5) + np.uint64(0xE6546B64) & np.uint64(0xFFFFFFFF)
+        x ^= np.uint64(4)
+        for shift, times in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+            x = (x ^ x >> np.uint64(shift)) * np.uint64(times) & np.uint64(0xFFFFFFFF)
+        for number, home in zip(numbers.tolist(), (x.astype(np.uint32).view(np.int32).astype(np.int64) % count).tolist()):
+            found.setdefault(home, number)
+        if len(found) == count:
+            break
+    return [found[i] for i in range(count)]
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``k`` (the id, NO_ID if null), ``th`` (hash of the text, tells apart rows that share
     an id), ``id`` and ``text`` of each row, whatever else the table holds."""

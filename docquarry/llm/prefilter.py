@@ -1,4 +1,4 @@
-"""Count-min prefilter for repeated windows, shared by the substring operators."""
+"""Count-min prefilters for repeated windows, used by the substring operators."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from docquarry.llm.common import binaries, mix, pieces, planes, unplanes
+from docquarry.llm.common import binaries, mix, partitions, pieces, planes, unplanes
 
 #: Counters of a sketch row, as a power of two.  A row is broadcast as one bit a counter
 #: ("two or more"): 32 MB each at 28, whatever the size of the input.
@@ -18,6 +18,11 @@ WIDTH_BITS = 28
 SHARD_BITS = 6
 #: Anchors a task holds before it sends their counters.
 HELD = 3_000_000
+#: Bytes that are hashed at a time, so that the arrays stay in the processor's cache.
+HASHED = 32 << 10
+#: Counters of the sketch that is counted by groups of documents, as a power of two: 2^40 take
+#: 4 G anchors with one in 250 wrongly held for shared.  40 at most (_packed).
+KEY_BITS = 40
 
 
 def cells(anchors: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -100,6 +105,85 @@ def repeated(anchors: np.ndarray, heavy: bytes, bits: int) -> np.ndarray:
     return some
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys below 2^40: byte planes of their differences."""
+    return planes(np.diff(keys, prepend=0), "<u8")[:5 * len(keys)]
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.cumsum(unplanes(raw + bytes(3 * (len(raw) // 5)), "<u8").astype(np.int64))
+
+
+def among(keys: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which keys are among the sorted ones."""
+    if not len(some):
+        return np.zeros(len(keys), bool)
+    return some[np.minimum(np.searchsorted(some, keys), len(some) - 1)] == keys
+
+
+def _by_key(keys: np.ndarray, names: np.ndarray, shared: np.ndarray):
+    """Each key once, in order, with one of its names and whether it has several or is known to be shared."""
+    order = np.argsort(keys)
+    keys, names, shared = keys[order], names[order], shared[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    shared[1:] |= ~new[1:] & (names[1:] != names[:-1])
+    heads = np.flatnonzero(new)
+    return keys[heads], names[heads], np.logical_or.reduceat(shared, heads) if len(heads) else shared
+
+
+def shared_counters(dealt: DataFrame, make: Callable, bits: int = KEY_BITS) -> DataFrame:
+    """``g`` and ``keys`` (read by ``unpacked``): the counters of each group of documents that have
+    two ids, or two groups, in the whole corpus.
+
+    A count-min sketch of one row of 2^bits counters, of which only those in use are kept.
+    ``dealt`` has the documents (``k``, ``bytes``) by group ``g``.  A group sends each of its
+    counters once, to the task that has this part of the row; that task sends back to each group
+    those that are shared.  So what a task holds doesn't grow with the corpus, as what is
+    broadcast to all would.  A string's anchor is in every document that has the string, so no
+    counter of a string that two ids have is left out.
+    """
+    parts = max(1, min(partitions(dealt.sparkSession) // 2, 1 << bits))
+
+    def ask(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows, held, waiting = make(), [], 0
+        for batch in batches:
+            names = np.asarray(batch.column("k"))
+            for at, data, offsets in pieces(batch.column("bytes"), HASHED):
+                anchor, row = windows.anchors(data, offsets)
+                held.append((cells(anchor, 0, bits), names[at + row], np.zeros(len(anchor), bool)))
+                waiting += len(anchor)
+                if waiting > HELD:
+                    held, waiting = [_by_key(*(np.concatenate(x) for x in zip(*held)))], 0
+        if not held:
+            return
+        keys, _, shared = _by_key(*(np.concatenate(x) for x in zip(*held)))
+        edges = np.searchsorted(keys * parts >> bits, np.arange(parts + 1))
+        used = np.flatnonzero(np.diff(edges))
+        runs = [slice(edges[i], edges[i + 1]) for i in used]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int32()), pa.array([key[0].as_py()] * len(used), pa.int32()),
+             pa.array([_packed(keys[x]) for x in runs], pa.binary()),
+             pa.array([np.packbits(shared[x]).tobytes() for x in runs], pa.binary())],
+            ["part", "g", "keys", "shared"])
+
+    def answer(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups, asked, known = [], [], []
+        for batch in batches:
+            for g, raw, bit in zip(*(batch.column(c).to_pylist() for c in ("g", "keys", "shared"))):
+                groups.append(g)
+                asked.append(unpacked(raw))
+                known.append(asked[-1][np.unpackbits(np.frombuffer(bit, np.uint8), count=len(asked[-1])) > 0])
+        every = np.sort(np.concatenate(asked))
+        shared = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *known]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(groups, pa.int32()), pa.array([_packed(x[among(x, shared)]) for x in asked], pa.binary())],
+            ["g", "keys"])
+
+    return (dealt.groupBy("g").applyInArrow(ask, "part int, g int, keys binary, shared binary")
+            .groupBy("part").applyInArrow(answer, "g int, keys binary"))
+
+
 def by_document(owner, start, names, texts) -> pa.RecordBatch:
     """Covered windows, one row for each document: first window and length of each run."""
     order = np.lexsort((start, owner))

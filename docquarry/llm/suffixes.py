@@ -8,17 +8,18 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import Hasher, keyed, mix, partitions, pieces, planes, unplanes
-from docquarry.llm.prefilter import WIDTH_BITS, by_document, repeated, sketch
+from docquarry.llm.common import Hasher, homes, keyed, mix, partitions, pieces, planes, unplanes
+from docquarry.llm.prefilter import HASHED, KEY_BITS, among, by_document, cells, shared_counters, unpacked
 
 #: Bytes of candidate text a task holds before it sends them on.
 HELD = 48 << 20
-
-_LONG = "k long, th long, runs binary"
+#: Parts of a bucket whose suffixes are sorted one after the other.
+PARTS = 64
+#: Bytes of segments in one batch of rows.
+BATCH = 8 << 20
 
 
 # Difference cover modulo 3: for any two places some shift below 3 leads both to places
@@ -26,9 +27,15 @@ _LONG = "k long, th long, runs binary"
 _SHIFT = np.array([[1, 1, 2], [1, 0, 0], [2, 0, 0]])
 
 
-def _named(keys: np.ndarray) -> np.ndarray:
-    """Names 1, 2, ... in order of the keys."""
-    return np.unique(keys, return_inverse=True)[1].astype(np.int64) + 1
+def _named(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names 1, 2, ... in order of the keys, and that order."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), np.int64)
+    new[1:] = ordered[1:] != ordered[:-1]
+    names = np.empty(len(keys), np.int64)
+    names[order] = np.cumsum(new)
+    return names, order
 
 
 def suffix_order(s: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -42,25 +49,26 @@ def suffix_order(s: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """
     n = len(s)
     if depth <= 1 or not n:
-        ranks = _named(s)
-        return np.argsort(ranks, kind="stable"), ranks
+        return _named(s)[::-1]
     s = np.r_[s.astype(np.int64) + 1, np.zeros(3, np.int64)]
     one, two = np.arange(1, n, 3), np.arange(2, n, 3)
     sample, base = np.concatenate([one, two]), int(s.max()) + 1
     if base < 1 << 20:
         key = lambda i: (s[i] * base + s[i + 1]) * base + s[i + 2]
-        names = _named(key(sample))
+        names, order = _named(key(sample))
     else:
         key = lambda i: s[i] * base + s[i + 1]
-        names = _named(_named(key(sample)) * base + s[sample + 2])
+        names, order = _named(_named(key(sample))[0] * base + s[sample + 2])
     if depth > 3:
-        _, deep = suffix_order(np.r_[names[:len(one)], 0, names[len(one):]], -(-depth // 3) + 1)
+        order, deep = suffix_order(np.r_[names[:len(one)], 0, names[len(one):]], -(-depth // 3) + 1)
         names = np.r_[deep[:len(one)], deep[len(one) + 1:]]
+        order = order[order != len(one)]
+        order = order - (order > len(one))
     rank = np.zeros(n + 3, np.int64)
     rank[sample] = names
-    sample = sample[np.argsort(names, kind="stable")]
+    sample = sample[order]
     rest = np.arange(0, n, 3)
-    rest = rest[np.argsort(s[rest] * (n + 2) + rank[rest + 1], kind="stable")]
+    rest = rest[np.argsort(s[rest] * (n + 2) + rank[rest + 1])]
     # Where each of the rest goes among the sample: among those with the same first items,
     # by binary search for all at once.
     low, high = (np.searchsorted(key(sample), key(rest), side) for side in ("left", "right"))
@@ -149,7 +157,7 @@ class Content:
         ends = np.cumsum(sizes)
         row = 0
         while row < len(sizes):  # bounded pieces: powers are kept up to the longest one
-            stop = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + (1 << 21), "right")))
+            stop = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + HASHED, "right")))
             base = ends[row - 1] if row else 0
             part = data[base:ends[stop - 1]]
             begin, end = ends[row:stop] - sizes[row:stop] - base, ends[row:stop] - base
@@ -165,8 +173,8 @@ class Content:
 
 def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The strings data[start:start+size], end to end."""
-    first = np.cumsum(sizes) - sizes
-    return data[np.arange(sizes.sum()) + np.repeat(starts - first, sizes)]
+    raw = memoryview(np.ascontiguousarray(data))
+    return np.frombuffer(b"".join([raw[i:j] for i, j in zip(starts.tolist(), (starts + sizes).tolist())]), data.dtype)
 
 
 def _least(number: np.ndarray, count: int, names: np.ndarray) -> np.ndarray:
@@ -175,45 +183,71 @@ def _least(number: np.ndarray, count: int, names: np.ndarray) -> np.ndarray:
     return out
 
 
-def _candidates(heavy: Broadcast, n: int, bits: int, buckets: int):
-    """Segments that the sketch holds for repeated, by bucket of their anchor.
+def _notes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.RecordBatch]]:
+    """(notes, documents) of each batch of a group; all notes come before the first document."""
+    begun = False
+    for batch in batches:
+        kinds = np.asarray(batch.column("kind"))
+        if (np.diff(kinds) < 0).any() or begun and len(kinds) and not kinds[0]:
+            raise RuntimeError("notes of a group came after its documents")
+        first = int(np.searchsorted(kinds, 1))
+        begun |= first < len(kinds)
+        yield batch.slice(0, first), batch.slice(first)
+
+
+def _candidates(n: int, bits: int, where: list[int]):
+    """Segments whose anchor is shared with another document, by bucket of the anchor.
 
-    Of segments with equal text only those of a task's smallest document go on; places in
+    Of segments with equal text only those of a group's smallest document go on; places in
     its other documents are covered already.
     """
-    def send(content, texts, anchor, owner, start, places, names, hashes):
+    def rows(*columns):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x, t) for x, t in zip(columns, (pa.int32(), pa.int32(), pa.binary()))], ["bucket", "g", "note"])
+
+    def send(group, content, texts, anchor, owner, start, places, names, hashes):
         data, sizes = np.concatenate(texts), places + n - 1
         number, first = content.classes(data, sizes)
         covered = names[owner] > _least(number, len(first), names[owner])[number]
         if covered.any():
             found = by_document(*_places(owner[covered], start[covered], places[covered]), names, hashes)
-            where = pa.array(-1 - (np.asarray(found.column("k")) % buckets).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([where, *found.columns], ["bucket", "k", "th", "runs"])
+            yield rows([-1 - group], [group], [_written(found)])
         begin = np.cumsum(sizes) - sizes
-        bucket = (mix(anchor) % np.uint64(buckets)).astype(np.int64)
+        bucket = (mix(anchor) % np.uint64(len(where))).astype(np.int64)
         left = np.flatnonzero(~covered)
         left = left[np.lexsort((start[left], owner[left], bucket[left]))]
-        edges = np.searchsorted(bucket[left], np.arange(buckets + 1))
+        edges = np.searchsorted(bucket[left], np.arange(len(where) + 1))
+        used, blobs, size = [], [], 0
         for i in np.flatnonzero(np.diff(edges)):
             part = left[edges[i]:edges[i + 1]]
             docs, own = np.unique(owner[part], return_inverse=True)
-            blob = b"".join([
+            used.append(where[i])
+            blobs.append(b"".join([
                 np.array([len(part), len(docs)], "<i8").tobytes(), (anchor[part] >> np.uint64(32)).astype("<u4").tobytes(),
                 planes(places[part]), planes(np.diff(own, prepend=0)), planes(start[part]),
                 names[docs].astype("<i8").tobytes(), hashes[docs].astype("<i8").tobytes(),
-                _gather(data, begin[part], sizes[part]).tobytes()])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([i], pa.int32()), pa.array([0], pa.int64()), pa.array([0], pa.int64()),
-                 pa.array([blob], pa.binary())], ["bucket", "k", "th", "runs"])
+                _gather(data, begin[part], sizes[part]).tobytes()]))
+            size += len(blobs[-1])
+            if size > BATCH:
+                yield rows(used, [group] * len(used), blobs)
+                used, blobs, size = [], [], 0
+        if blobs:
+            yield rows(used, [group] * len(used), blobs)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments, content = Segments(n), Content()
+        shared, told = np.zeros(0, np.int64), []
         texts, held, names, hashes, size, docs = [], [], [], [], 0, 0
-        for batch in batches:
+        for notes, batch in _notes(batches):
+            told += [unpacked(raw) for raw in notes.column("note").to_pylist()]
+            if not batch.num_rows:
+                continue
+            if told:
+                shared, told = np.sort(np.concatenate([shared, *told])), []
             k, th = (np.asarray(batch.column(c)) for c in ("k", "th"))
-            for at, data, offsets in pieces(batch.column("text")):
+            for at, data, offsets in pieces(batch.column("bytes"), HASHED):
                 anchor, row, start, places = segments.of(data, offsets)
-                some = repeated(anchor, heavy.value, bits)
+                some = among(cells(anchor, 0, bits), shared)
                 m = len(offsets) - 1
                 names.append(k[at:at + m])
                 hashes.append(th[at:at + m])
@@ -223,11 +257,11 @@ def _candidates(heavy: Broadcast, n: int, bits: int, buckets: int):
                     size += len(texts[-1])
                 docs += m
                 if size > HELD:
-                    yield from send(content, texts, *(np.concatenate(x) for x in zip(*held)),
+                    yield from send(key[0].as_py(), content, texts, *(np.concatenate(x) for x in zip(*held)),
                                     np.concatenate(names), np.concatenate(hashes))
                     texts, held, names, hashes, size, docs = [], [], [], [], 0, 0
         if held:
-            yield from send(content, texts, *(np.concatenate(x) for x in zip(*held)),
+            yield from send(key[0].as_py(), content, texts, *(np.concatenate(x) for x in zip(*held)),
                             np.concatenate(names), np.concatenate(hashes))
     return run
 
@@ -238,16 +272,45 @@ def _places(owner: np.ndarray, start: np.ndarray, places: np.ndarray) -> tuple[n
     return np.repeat(owner, places), np.arange(places.sum()) + np.repeat(start - first, places)
 
 
+def _settle(n: int, content: Content, anchor, places, owner, start, least_of, data):
+    """(owner, first place) of the covered places of segments: whole ones by equal text, then, for
+    anchors with several texts, place by place in the sorted suffixes of the distinct texts."""
+    sizes = places + n - 1
+    number, first = content.classes(data, sizes)
+    least = _least(number, len(first), least_of)
+    whole = least_of > least[number]
+    found = [_places(owner[whole], start[whole], places[whole])]
+    # Distinct texts of anchors that have several of them.
+    _, at, several = np.unique(anchor[first], return_inverse=True, return_counts=True)
+    some = np.flatnonzero(several[at] > 1)
+    if len(some):
+        begin = (np.cumsum(sizes) - sizes)[first[some]]
+        text = _gather(data, begin, sizes[first[some]])
+        ends = np.cumsum(sizes[first[some]])
+        owner_, start_ = _places(np.arange(len(some)), ends - sizes[first[some]], places[first[some]])
+        group = repeats_at(text, start_, n)
+        lowest = _least(group, group.max() + 1, least[some[owner_]])[group]
+        hit = np.flatnonzero(lowest < least[some[owner_]])
+        # Each such place in every segment of that text whose document is the smallest.
+        segment = some[owner_[hit]]
+        offset = start_[hit] - (ends - sizes[first[some]])[owner_[hit]]
+        rest = np.flatnonzero(~whole)
+        rest = rest[np.argsort(number[rest], kind="stable")]
+        low, high = np.searchsorted(number[rest], segment), np.searchsorted(number[rest], segment, "right")
+        turn, place = _places(np.arange(len(segment)), low, high - low)
+        found.append((owner[rest[place]], start[rest[place]] + offset[turn]))
+    return (np.concatenate(x) for x in zip(*found))
+
+
 def _resolve(n: int):
-    """Settles the segments of a bucket: whole ones by equal text, then, for anchors with
-    several texts, place by place in the sorted suffixes of the distinct texts."""
+    """Settles the segments of a bucket, a part of its anchors at a time."""
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
+        parts, group = [], []
         for batch in batches:
             if key[0].as_py() < 0:  # settled where they were found
-                yield batch.select(["k", "th", "runs"])
+                yield batch.select(["g", "note"])
                 continue
-            for blob in batch.column("runs"):
+            for g, blob in zip(batch.column("g").to_pylist(), batch.column("note")):
                 raw = blob.as_py()
                 count, m = np.frombuffer(raw, "<i8", 2)
                 at = 16
@@ -260,61 +323,92 @@ def _resolve(n: int):
                 places, own, start = (unplanes(take(count, "<u4")).astype(np.int64) for _ in range(3))
                 names, hashes = (np.frombuffer(take(m, "<i8"), "<i8") for _ in range(2))
                 parts.append((anchor, places, np.cumsum(own), start, names, hashes, np.frombuffer(raw, np.uint8)[at:]))
+                group.append(g)
         if not parts:
             return
         shift = np.cumsum([0] + [len(p[4]) for p in parts])
         anchor, places, start, names, hashes, data = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 3, 4, 5, 6))
         owner = np.concatenate([p[2] + s for p, s in zip(parts, shift)])
-        sizes = places + n - 1
-        number, first = Content().classes(data, sizes)
-        least = _least(number, len(first), names[owner])
-        whole = names[owner] > least[number]
-        found = [_places(owner[whole], start[whole], places[whole])]
-        # Distinct texts of anchors that have several of them.
-        _, at, several = np.unique(anchor[first], return_inverse=True, return_counts=True)
-        some = np.flatnonzero(several[at] > 1)
-        if len(some):
-            begin = (np.cumsum(sizes) - sizes)[first[some]]
-            text = _gather(data, begin, sizes[first[some]])
-            ends = np.cumsum(sizes[first[some]])
-            owner_, start_ = _places(np.arange(len(some)), ends - sizes[first[some]], places[first[some]])
-            group = repeats_at(text, start_, n)
-            lowest = _least(group, group.max() + 1, least[some[owner_]])[group]
-            hit = np.flatnonzero(lowest < least[some[owner_]])
-            # Each such place in every segment of that text whose document is the smallest.
-            segment = some[owner_[hit]]
-            offset = start_[hit] - (ends - sizes[first[some]])[owner_[hit]]
-            rest = np.flatnonzero(~whole)
-            rest = rest[np.argsort(number[rest], kind="stable")]
-            low, high = np.searchsorted(number[rest], segment), np.searchsorted(number[rest], segment, "right")
-            turn, place = _places(np.arange(len(segment)), low, high - low)
-            found.append((owner[rest[place]], start[rest[place]] + offset[turn]))
+        parts.clear()
+        begin = np.cumsum(places + n - 1) - (places + n - 1)
+        share, content, found = mix(anchor.astype(np.uint64)) % np.uint64(PARTS), Content(), []
+        for i in range(PARTS):
+            if len(own := np.flatnonzero(share == i)):
+                found.append(_settle(n, content, anchor[own], places[own], owner[own], start[own], names[owner[own]],
+                                     _gather(data, begin[own], places[own] + n - 1)))
         owner, start = (np.concatenate(x) for x in zip(*found))
-        if len(owner):
-            yield by_document(owner, start, names, hashes)
+        order = np.argsort(owner, kind="stable")
+        owner, start = owner[order], start[order]
+        edges = np.searchsorted(owner, shift)
+        used = np.flatnonzero(np.diff(edges))
+        notes = [_written(by_document(owner[x], start[x], names, hashes))
+                 for x in (slice(edges[i], edges[i + 1]) for i in used)]
+        yield pa.RecordBatch.from_arrays([pa.array([group[i] for i in used], pa.int32()), pa.array(notes, pa.binary())],
+                                         ["g", "note"])
     return run
 
 
-def repeated_strings(docs: DataFrame, n: int, bits: int = WIDTH_BITS) -> DataFrame:
-    """``k``, ``th`` and ``runs`` (binary lists of 32-bit first places and lengths): places of
-    each document whose n bytes also start in a document with a smaller id."""
-    keys = docs.select("k", "th", "text")
-    heavy = sketch(keys, partial(Segments, n), bits)
-    buckets = 8 * partitions(docs.sparkSession)
-    sent = keys.mapInArrow(_candidates(heavy, n, bits, buckets), f"bucket int, {_LONG}")
-    found = sent.groupBy("bucket").applyInArrow(_resolve(n), _LONG)
-    return found.groupBy("k", "th").agg(F.collect_list("runs").alias("runs"))
+def _written(found: pa.RecordBatch) -> bytes:
+    """Rows of ``by_document`` in one value."""
+    _, offsets, runs = found.column("runs").buffers()
+    counts = np.diff(np.frombuffer(offsets, np.int32)[:found.num_rows + 1]) // 8
+    return b"".join([np.array([found.num_rows], "<i8").tobytes(), *(np.asarray(found.column(c)).tobytes() for c in ("k", "th")),
+                     counts.astype("<i8").tobytes(), runs.to_pybytes()])
+
+
+def _runs(notes: list[bytes]) -> dict[tuple[int, int], np.ndarray]:
+    """First places and lengths by (k, th), of what was ``_written``."""
+    parts = []
+    for raw in notes:
+        m = int(np.frombuffer(raw, "<i8", 1)[0])
+        parts.append((*np.frombuffer(raw, "<i8", 3 * m, 8).reshape(3, m), np.frombuffer(raw, "<i8", offset=8 + 24 * m)))
+    k, th, counts, runs = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((th, k))
+    runs = _gather(runs, (np.cumsum(counts) - counts)[order], counts[order]).view("<i4").reshape(-1, 2)
+    k, th, ends = k[order], th[order], np.cumsum(counts[order])
+    last = np.flatnonzero(np.r_[(k[1:] != k[:-1]) | (th[1:] != th[:-1]), True])
+    first = np.r_[0, ends[last]]
+    return {x: runs[i:j] for x, i, j in zip(zip(k[last].tolist(), th[last].tolist()), first, ends[last])}
+
+
+def _dealt(docs: DataFrame, where: list[int]) -> DataFrame:
+    """Documents with the group ``g`` that ``k`` and ``th`` deal them to, one group a partition.
+
+    They are read three times in one plan.  Each reads all columns, and all columns are expressions:
+    so the three are equal to Spark and it shuffles the documents once.
+    """
+    every = F.split(F.lit(",".join(map(str, where))), ",")
+    group = every[F.pmod(F.xxhash64("k", "th"), F.lit(len(where))).cast("int")].cast("int")
+    return docs.select("k", "th", F.col("id").alias("number"), F.col("text").cast("binary").alias("bytes"),
+                       group.alias("g")).repartition(len(where), "g")
+
+
+def _beside(dealt: DataFrame, notes: DataFrame):
+    """Documents by group, behind the notes (``g``, ``note``) on the group.  Only notes are shuffled."""
+    of = dealt.select("g", F.lit(1).alias("kind"), "k", "th", "number", "bytes", F.lit(None).cast("binary").alias("note"))
+    none = [F.lit(None).cast(t) for t in ("long", "long", "long", "binary")]
+    on = notes.repartition(partitions(dealt.sparkSession), "g").select("g", F.lit(0), *none, "note")
+    return of.union(on).sortWithinPartitions("g", "kind").groupBy("g")
+
+
+def repeated_strings(dealt: DataFrame, where: list[int], n: int, bits: int = KEY_BITS) -> DataFrame:
+    """``g`` and ``note`` (read by ``_runs``): places of each document whose n bytes also start in a
+    document with a smaller id."""
+    shared = shared_counters(dealt, partial(Segments, n), bits).withColumnRenamed("keys", "note")
+    sent = _beside(dealt, shared).applyInArrow(_candidates(n, bits, where), "bucket int, g int, note binary")
+    return sent.groupBy("bucket").applyInArrow(_resolve(n), "g int, note binary")
 
 
 def remove_repeats(docs: DataFrame, n: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                   bits: int = WIDTH_BITS, kept: bool = False) -> DataFrame:
+                   bits: int = KEY_BITS, kept: bool = False) -> DataFrame:
     """Removes bytes covered by a string of n bytes that also starts in a smaller document.
 
     Strings that can't repeat are left out first: those whose anchor a count-min sketch
-    estimates at one.  The others are dealt out by anchor, so that equal strings meet, and
-    as segments of neighbouring places, so that no text travels n times.  Inside each part
+    estimates in one document.  The others are dealt out by anchor, so that equal strings meet,
+    and as segments of neighbouring places, so that no text travels n times.  Inside each part
     the suffixes of the distinct segments are sorted by the difference-cover method, and
     neighbours are compared in n bytes.  Strings are judged on the input; texts are UTF-8.
+    Documents are shuffled once, into groups; what is found out about a group comes to it.
 
     Returns, for each row, ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans`` (runs of removed
     bytes), ``kept_sha256`` and, with ``kept``, ``kept_bytes``.
@@ -323,17 +417,21 @@ def remove_repeats(docs: DataFrame, n: int = 50, id_col: str = "doc_id", text_co
     from each other; repeated rows are returned as often as they come.  Texts are read
     whole and matches end with them.  Other columns play no part.
     """
-    frame = keyed(docs, id_col, text_col)
-    hits = repeated_strings(frame, n, bits)
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    where = homes(partitions(docs.sparkSession))
+    dealt = _dealt(keyed(docs, id_col, text_col), where)
+    hits = repeated_strings(dealt, where, n, bits)
+
+    def finish(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told, runs = [], {}
+        for notes, batch in _notes(batches):
+            told += notes.column("note").to_pylist()
+            if told and batch.num_rows:
+                runs, told = _runs(told), []
             out = [[], [], [], [], []]
-            for value, runs in zip(batch.column("text"), batch.column("runs")):
-                raw = (value.as_py() or "").encode()
-                left, removed, spans, blobs = raw, 0, 0, runs.as_py()
-                if blobs:
-                    pairs = np.unique(np.frombuffer(b"".join(blobs), "<i4").reshape(-1, 2), axis=0)
+            for *of, value in zip(*(batch.column(c).to_pylist() for c in ("k", "th")), batch.column("bytes")):
+                raw = value.as_py() or b""
+                left, removed, spans = raw, 0, 0
+                if (pairs := runs.get(tuple(of))) is not None:
                     change = np.zeros(len(raw) + 2, np.int32)
                     np.add.at(change, pairs[:, 0] + 1, 1)
                     np.subtract.at(change, pairs.sum(axis=1) + n, 1)
@@ -344,14 +442,14 @@ def remove_repeats(docs: DataFrame, n: int = 50, id_col: str = "doc_id", text_co
                     removed = len(raw) - len(left)
                 for column, x in zip(out, (len(raw), removed, spans, hashlib.sha256(left).hexdigest(), left)):
                     column.append(x)
-            columns = [batch.column("id"), *(pa.array(c, pa.int64()) for c in out[:3]),
+            columns = [batch.column("number"), *(pa.array(c, pa.int64()) for c in out[:3]),
                        pa.array(out[3], pa.string())] + [pa.array(out[4], pa.binary())] * kept
             yield pa.RecordBatch.from_arrays(
                 columns, [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_bytes"] * kept)
 
     schema = (f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
               + ", kept_bytes binary" * kept)
-    return frame.join(hits, ["k", "th"], "left").select("id", "text", "runs").mapInArrow(finish, schema)
+    return _beside(dealt, hits).applyInArrow(finish, schema)
 
 
 #: The same rows in DuckDB, for strings of 50 bytes; a byte is two hexadecimal digits.

@@ -1,11 +1,15 @@
 import hashlib
 import random
+from functools import partial
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
-from docquarry.llm import suffixes
+from docquarry.llm import prefilter, suffixes
+from docquarry.llm.common import buffers, homes, keyed
 from llm.conftest import rows_of
 
 NO = 1 << 63
@@ -89,3 +93,52 @@ def test_one_passage_in_a_third_of_all_rows(make, monkeypatch):
     assert suffixes.remove_repeats(make(rows).limit(0), bits=20).collect() == []
     for r in suffixes.remove_repeats(make(rows[:50]), bits=20, kept=True).collect():
         assert hashlib.sha256(r.kept_bytes).hexdigest() == r.kept_sha256
+
+
+def test_each_group_is_told_the_counters_that_another_id_has_too(make):
+    """Of a sketch that grows with the corpus, a group gets its own counters only."""
+    own = lambda i: " ".join(f"{i}w{j * 7919}" for j in range(40))
+    passage = "a passage of two documents, long enough for a string of fifty bytes; "
+    rows = [(i, own(i) + passage * (i < 2)) for i in range(30)]
+    rows += [(50, own("x") * 3), (60, own("same row")), (60, own("same row")), (None, own("none")), (None, own("none") + "!")]
+    dealt = suffixes._dealt(keyed(make(rows)), homes(4))
+    texts, ids = {}, {}
+    for r in dealt.collect():
+        data, offsets = buffers(pa.array([bytes(r.bytes)]))
+        found = set(prefilter.cells(suffixes.Segments(50).anchors(data, offsets)[0], 0, 40).tolist())
+        texts.setdefault(r.g, set()).update(found)
+        for x in found:
+            ids.setdefault(x, set()).add(r.k)
+    groups = [x for found in texts.values() for x in found]
+    shared = {x for x, k in ids.items() if len(k) > 1 or groups.count(x) > 1}
+    got = {}
+    for r in prefilter.shared_counters(dealt, partial(suffixes.Segments, 50)).collect():
+        got.setdefault(r.g, set()).update(prefilter.unpacked(bytes(r["keys"])).tolist())
+    assert shared and len(texts) > 1 and len(shared) < len(ids) / 20
+    assert got == {g: found & shared for g, found in texts.items()}
+
+
+def test_documents_are_shuffled_once_and_nothing_is_broadcast(make, monkeypatch):
+    def broadcast(*_):
+        raise AssertionError("broadcast")
+    monkeypatch.setattr(SparkContext, "broadcast", broadcast)
+    rows = corpus(6)
+    got = suffixes.remove_repeats(make(rows))
+    assert rows_of(got) == brute(rows, 50)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 2 and plan.count("Scan ExistingRDD") == 1
+
+
+@pytest.mark.parametrize("count", [1, 2, 7, 211])
+def test_each_partition_has_a_home(spark, count):
+    got = spark.createDataFrame([(x,) for x in homes(count)], "g int").select(F.pmod(F.hash("g"), F.lit(count)))
+    assert [r[0] for r in got.collect()] == list(range(count))
+
+
+def test_notes_come_first():
+    batch = lambda *kinds: pa.RecordBatch.from_arrays([pa.array(kinds, "i4")], ["kind"])
+    assert [(a.num_rows, b.num_rows) for a, b in suffixes._notes([batch(0, 0), batch(0, 1), batch(1)])] == [(2, 0), (1, 1), (0, 1)]
+    for wrong in ([batch(1, 0)], [batch(1), batch(0)]):
+        with pytest.raises(RuntimeError):
+            list(suffixes._notes(wrong))
