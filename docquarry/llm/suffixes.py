@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import Hasher, homes, keyed, mix, partitions, pieces, planes, unplanes
-from docquarry.llm.prefilter import HASHED, KEY_BITS, among, by_document, cells, shared_counters, unpacked
+from docquarry.llm.prefilter import HASHED, KEY_BITS, among, cells, shared_counters, unpacked
 
 #: Bytes of candidate text a task holds before it sends them on.
 HELD = 48 << 20
@@ -195,6 +195,45 @@ def _notes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
         yield batch.slice(0, first), batch.slice(first)
 
 
+class Numbers:
+    """Numbers 0, 1, ... of a group's documents, which come in order of k and th; rows that share both
+    have one number."""
+
+    def __init__(self) -> None:
+        self.last, self.count = None, -1
+
+    def of(self, batch: pa.RecordBatch) -> np.ndarray:
+        k, th = (np.asarray(batch.column(c)) for c in ("k", "th"))
+        new = np.ones(len(k), np.int64)
+        new[1:] = (k[1:] != k[:-1]) | (th[1:] != th[:-1])
+        new[:1] = (k[0], th[0]) != self.last
+        numbers = self.count + np.cumsum(new)
+        self.last, self.count = (k[-1], th[-1]), int(numbers[-1])
+        return numbers
+
+
+def _joined(owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(owner and first place in one number, length) of each run of places, in order."""
+    key = owner << 32 | start
+    key.sort()
+    first = np.flatnonzero(np.diff(key, prepend=-2) > 1)
+    last = np.r_[first[1:], len(key)][:len(first)] - 1
+    return key[first], key[last] - key[first] + 1
+
+
+def _written(number: np.ndarray, start: np.ndarray, places: np.ndarray) -> bytes:
+    """Runs of places, in order of the documents' numbers."""
+    return planes(np.diff(number, prepend=0)) + planes(start) + planes(places)
+
+
+def _runs(notes: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All that was ``_written``, in order of the documents' numbers."""
+    parts = [[unplanes(raw[i:i + len(raw) // 3]).astype(np.int64) for i in range(0, len(raw), len(raw) // 3)] for raw in notes]
+    number = np.concatenate([np.cumsum(x[0]) for x in parts])
+    order = np.argsort(number)
+    return number[order], *(np.concatenate([x[i] for x in parts])[order] for i in (1, 2))
+
+
 def _candidates(n: int, bits: int, where: list[int]):
     """Segments whose anchor is shared with another document, by bucket of the anchor.
 
@@ -205,13 +244,13 @@ def _candidates(n: int, bits: int, where: list[int]):
         return pa.RecordBatch.from_arrays(
             [pa.array(x, t) for x, t in zip(columns, (pa.int32(), pa.int32(), pa.binary()))], ["bucket", "g", "note"])
 
-    def send(group, content, texts, anchor, owner, start, places, names, hashes):
+    def send(group, content, texts, anchor, owner, start, places, names, numbers):
         data, sizes = np.concatenate(texts), places + n - 1
         number, first = content.classes(data, sizes)
         covered = names[owner] > _least(number, len(first), names[owner])[number]
         if covered.any():
-            found = by_document(*_places(owner[covered], start[covered], places[covered]), names, hashes)
-            yield rows([-1 - group], [group], [_written(found)])
+            first, count = _joined(*_places(numbers[owner[covered]], start[covered], places[covered]))
+            yield rows([-1 - group], [group], [_written(first >> 32, first & 0xFFFFFFFF, count)])
         begin = np.cumsum(sizes) - sizes
         bucket = (mix(anchor) % np.uint64(len(where))).astype(np.int64)
         left = np.flatnonzero(~covered)
@@ -225,7 +264,7 @@ def _candidates(n: int, bits: int, where: list[int]):
             blobs.append(b"".join([
                 np.array([len(part), len(docs)], "<i8").tobytes(), (anchor[part] >> np.uint64(32)).astype("<u4").tobytes(),
                 planes(places[part]), planes(np.diff(own, prepend=0)), planes(start[part]),
-                names[docs].astype("<i8").tobytes(), hashes[docs].astype("<i8").tobytes(),
+                planes(np.diff(names[docs], prepend=0), "<u8"), planes(np.diff(numbers[docs], prepend=0)),
                 _gather(data, begin[part], sizes[part]).tobytes()]))
             size += len(blobs[-1])
             if size > BATCH:
@@ -237,20 +276,20 @@ def _candidates(n: int, bits: int, where: list[int]):
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments, content = Segments(n), Content()
         shared, told = np.zeros(0, np.int64), []
-        texts, held, names, hashes, size, docs = [], [], [], [], 0, 0
+        texts, held, names, numbers, size, docs, numbered = [], [], [], [], 0, 0, Numbers()
         for notes, batch in _notes(batches):
             told += [unpacked(raw) for raw in notes.column("note").to_pylist()]
             if not batch.num_rows:
                 continue
             if told:
                 shared, told = np.sort(np.concatenate([shared, *told])), []
-            k, th = (np.asarray(batch.column(c)) for c in ("k", "th"))
+            k, number = np.asarray(batch.column("k")), numbered.of(batch)
             for at, data, offsets in pieces(batch.column("bytes"), HASHED):
                 anchor, row, start, places = segments.of(data, offsets)
                 some = among(cells(anchor, 0, bits), shared)
                 m = len(offsets) - 1
                 names.append(k[at:at + m])
-                hashes.append(th[at:at + m])
+                numbers.append(number[at:at + m])
                 if some.any():
                     texts.append(_gather(data, start[some], places[some] + n - 1))
                     held.append((anchor[some], row[some] + docs, start[some] - offsets[row[some]], places[some]))
@@ -258,11 +297,11 @@ def _candidates(n: int, bits: int, where: list[int]):
                 docs += m
                 if size > HELD:
                     yield from send(key[0].as_py(), content, texts, *(np.concatenate(x) for x in zip(*held)),
-                                    np.concatenate(names), np.concatenate(hashes))
-                    texts, held, names, hashes, size, docs = [], [], [], [], 0, 0
+                                    np.concatenate(names), np.concatenate(numbers))
+                    texts, held, names, numbers, size, docs = [], [], [], [], 0, 0
         if held:
             yield from send(key[0].as_py(), content, texts, *(np.concatenate(x) for x in zip(*held)),
-                            np.concatenate(names), np.concatenate(hashes))
+                            np.concatenate(names), np.concatenate(numbers))
     return run
 
 
@@ -321,56 +360,34 @@ def _resolve(n: int):
                     return raw[at - size:at]
                 anchor = np.frombuffer(take(count, "<u4"), "<u4")
                 places, own, start = (unplanes(take(count, "<u4")).astype(np.int64) for _ in range(3))
-                names, hashes = (np.frombuffer(take(m, "<i8"), "<i8") for _ in range(2))
-                parts.append((anchor, places, np.cumsum(own), start, names, hashes, np.frombuffer(raw, np.uint8)[at:]))
+                names = np.cumsum(unplanes(take(m, "<u8"), "<u8").view(np.int64))
+                numbers = np.cumsum(unplanes(take(m, "<u4")).astype(np.int64))
+                parts.append((anchor, places, np.cumsum(own), start, names, numbers, np.frombuffer(raw, np.uint8)[at:]))
                 group.append(g)
         if not parts:
             return
         shift = np.cumsum([0] + [len(p[4]) for p in parts])
-        anchor, places, start, names, hashes, data = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 3, 4, 5, 6))
+        anchor, places, start, names, numbers, data = (np.concatenate([p[i] for p in parts]) for i in (0, 1, 3, 4, 5, 6))
         owner = np.concatenate([p[2] + s for p, s in zip(parts, shift)])
         parts.clear()
         begin = np.cumsum(places + n - 1) - (places + n - 1)
         share, content, found = mix(anchor.astype(np.uint64)) % np.uint64(PARTS), Content(), []
         for i in range(PARTS):
             if len(own := np.flatnonzero(share == i)):
-                found.append(_settle(n, content, anchor[own], places[own], owner[own], start[own], names[owner[own]],
-                                     _gather(data, begin[own], places[own] + n - 1)))
-        owner, start = (np.concatenate(x) for x in zip(*found))
-        order = np.argsort(owner, kind="stable")
-        owner, start = owner[order], start[order]
-        edges = np.searchsorted(owner, shift)
+                found.append(_joined(*_settle(n, content, anchor[own], places[own], owner[own], start[own], names[owner[own]],
+                                              _gather(data, begin[own], places[own] + n - 1))))
+        first, count = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(first)
+        first, count = first[order], count[order]
+        edges = np.searchsorted(first, shift << 32)
         used = np.flatnonzero(np.diff(edges))
-        notes = [_written(by_document(owner[x], start[x], names, hashes))
+        notes = [_written(numbers[first[x] >> 32], first[x] & 0xFFFFFFFF, count[x])
                  for x in (slice(edges[i], edges[i + 1]) for i in used)]
         yield pa.RecordBatch.from_arrays([pa.array([group[i] for i in used], pa.int32()), pa.array(notes, pa.binary())],
                                          ["g", "note"])
     return run
 
 
-def _written(found: pa.RecordBatch) -> bytes:
-    """Rows of ``by_document`` in one value."""
-    _, offsets, runs = found.column("runs").buffers()
-    counts = np.diff(np.frombuffer(offsets, np.int32)[:found.num_rows + 1]) // 8
-    return b"".join([np.array([found.num_rows], "<i8").tobytes(), *(np.asarray(found.column(c)).tobytes() for c in ("k", "th")),
-                     counts.astype("<i8").tobytes(), runs.to_pybytes()])
-
-
-def _runs(notes: list[bytes]) -> dict[tuple[int, int], np.ndarray]:
-    """First places and lengths by (k, th), of what was ``_written``."""
-    parts = []
-    for raw in notes:
-        m = int(np.frombuffer(raw, "<i8", 1)[0])
-        parts.append((*np.frombuffer(raw, "<i8", 3 * m, 8).reshape(3, m), np.frombuffer(raw, "<i8", offset=8 + 24 * m)))
-    k, th, counts, runs = (np.concatenate(x) for x in zip(*parts))
-    order = np.lexsort((th, k))
-    runs = _gather(runs, (np.cumsum(counts) - counts)[order], counts[order]).view("<i4").reshape(-1, 2)
-    k, th, ends = k[order], th[order], np.cumsum(counts[order])
-    last = np.flatnonzero(np.r_[(k[1:] != k[:-1]) | (th[1:] != th[:-1]), True])
-    first = np.r_[0, ends[last]]
-    return {x: runs[i:j] for x, i, j in zip(zip(k[last].tolist(), th[last].tolist()), first, ends[last])}
-
-
 def _dealt(docs: DataFrame, where: list[int]) -> DataFrame:
     """Documents with the group ``g`` that ``k`` and ``th`` deal them to, one group a partition.
 
@@ -384,11 +401,12 @@ def _dealt(docs: DataFrame, where: list[int]) -> DataFrame:
 
 
 def _beside(dealt: DataFrame, notes: DataFrame):
-    """Documents by group, behind the notes (``g``, ``note``) on the group.  Only notes are shuffled."""
+    """Documents by group in order of k and th, behind the notes (``g``, ``note``) on the group.  Only
+    notes are shuffled."""
     of = dealt.select("g", F.lit(1).alias("kind"), "k", "th", "number", "bytes", F.lit(None).cast("binary").alias("note"))
     none = [F.lit(None).cast(t) for t in ("long", "long", "long", "binary")]
     on = notes.repartition(partitions(dealt.sparkSession), "g").select("g", F.lit(0), *none, "note")
-    return of.union(on).sortWithinPartitions("g", "kind").groupBy("g")
+    return of.union(on).sortWithinPartitions("g", "kind", "k", "th").groupBy("g")
 
 
 def repeated_strings(dealt: DataFrame, where: list[int], n: int, bits: int = KEY_BITS) -> DataFrame:
@@ -422,19 +440,23 @@ def remove_repeats(docs: DataFrame, n: int = 50, id_col: str = "doc_id", text_co
     hits = repeated_strings(dealt, where, n, bits)
 
     def finish(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told, runs = [], {}
+        told, (number, start, places), numbered = [], np.zeros((3, 0), np.int64), Numbers()
         for notes, batch in _notes(batches):
             told += notes.column("note").to_pylist()
-            if told and batch.num_rows:
-                runs, told = _runs(told), []
+            if not batch.num_rows:
+                continue
+            if told:
+                (number, start, places), told = _runs(told), []
+            own = numbered.of(batch)
+            low, high = (np.searchsorted(number, own, side).tolist() for side in ("left", "right"))
             out = [[], [], [], [], []]
-            for *of, value in zip(*(batch.column(c).to_pylist() for c in ("k", "th")), batch.column("bytes")):
+            for value, i, j in zip(batch.column("bytes"), low, high):
                 raw = value.as_py() or b""
                 left, removed, spans = raw, 0, 0
-                if (pairs := runs.get(tuple(of))) is not None:
+                if i < j:
                     change = np.zeros(len(raw) + 2, np.int32)
-                    np.add.at(change, pairs[:, 0] + 1, 1)
-                    np.subtract.at(change, pairs.sum(axis=1) + n, 1)
+                    np.add.at(change, start[i:j] + 1, 1)
+                    np.subtract.at(change, start[i:j] + places[i:j] + n, 1)
                     gone = np.cumsum(change) > 0
                     spans = int((gone[1:] & ~gone[:-1]).sum())
                     gone = gone[1:-1]
